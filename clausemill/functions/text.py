@@ -31,7 +31,7 @@ _MARKUP = re.compile(
     rf"<!--.*?(?:--!?>|\Z)"
     rf"|<(?P<hidden>script|style)\b{_ATTRIBUTES}>.*?(?:</(?P=hidden)\s*>|\Z)"
     rf"|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attributes>{_ATTRIBUTES})>",
+    rf"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attributes>{_ATTRIBUTES})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
@@ -81,6 +81,11 @@ def html_lines(markup: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"lines": lines, "error": errors})
 
 
+# Not pure as far as the optimizer knows: a filter on the result may then not be moved below it, which
+# would read every document twice.
+html_lines = html_lines.asNondeterministic()
+
+
 def _document_rows(page: str) -> list[dict[str, str]]:
     """S5 for one index page: file name and type of each row of the first document table."""
     rows: list[list[dict]] = []

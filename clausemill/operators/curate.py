@@ -116,7 +116,7 @@ def sample_picks(
     pool = sample_pool(clauses, per_category, company_cap, seed, taxonomy)
     if per_category * labels * (labels + 1) // 2 > one_task_rows:
         return _draw_in_stages(pool, per_category, company_cap, labels)
-    return pool.groupBy(F.lit(0)).applyInPandas(
+    return pool.groupBy().applyInPandas(
         lambda rows: _draw(rows, per_category, company_cap), "ord int, clause_id string, position int"
     )
 

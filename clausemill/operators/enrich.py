@@ -34,7 +34,12 @@ def with_filing_date(clauses: DataFrame, filing_dates: DataFrame) -> DataFrame:
     return clauses.join(dates, ["cik", "accession"], "left")
 
 
-def enrich(clauses: DataFrame, companies: DataFrame, filing_dates: DataFrame) -> DataFrame:
-    """The fifteen columns of the clause store."""
-    joined = with_filing_date(with_industry(clauses, companies), filing_dates)
-    return joined.withColumns({"clause_id": clause_id(), "text_len": F.length("text")}).select(*ENRICHED_COLUMNS)
+def enrich(clauses: DataFrame, companies: DataFrame, filing_dates: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The fifteen columns of the clause store, and any others of the corpus to ``keep``.
+
+    Id and length are computed before the joins, so a reader that needs neither text nor header does
+    not carry them through a shuffle.
+    """
+    keyed = clauses.withColumns({"clause_id": clause_id(), "text_len": F.length("text")})
+    joined = with_filing_date(with_industry(keyed, companies), filing_dates)
+    return joined.select(*ENRICHED_COLUMNS, *keep)

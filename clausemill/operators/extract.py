@@ -19,6 +19,8 @@ from clausemill.functions.text import clean_spaces, exhibit_body, header_key, ht
 
 # Fixed value: shorter bodies are not clauses.
 MIN_CLAUSE_CHARS = 30
+# A manifest row is five short strings, so this many are below 100 MB.
+BROADCAST_ROWS = 500_000
 
 CLAUSE_COLUMNS = ["label", "section_header", "text", "cik", "company", "form_type", "file_type", "accession", "filename", "filing_year"]
 
@@ -171,17 +173,26 @@ def with_clauses(documents: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFr
     return found.drop("lines", "headers", "sections", "candidates")
 
 
+def array_rows(documents: DataFrame, array: str | Column, present: str, *kept: str) -> DataFrame:
+    """The structs of an array column as rows, next to the ``kept`` columns.
+
+    ``inline`` would make the optimizer infer "the array is not empty" and push that filter below the
+    projections that compute the array, which then all run twice, lambdas nested in lambdas. The outer
+    form infers nothing; rows of empty arrays are recognised by a field that is ``present`` otherwise.
+    """
+    return documents.select(*kept, F.inline_outer(array)).where(F.col(present).isNotNull())
+
+
 def header_rows(documents: DataFrame) -> DataFrame:
     """One row per header of a document."""
     found = with_headers(documents)
-    kept = [c for c in found.columns if c not in ("lines", "error", "headers")]
-    return found.select(*kept, F.inline("headers"))
+    return array_rows(found, "headers", "start_idx", *[c for c in found.columns if c not in ("lines", "error", "headers")])
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
     """One row per line, numbered from 0."""
     kept = [c for c in documents.columns if c not in ("lines", "error")]
-    return documents.select(*kept, F.posexplode("lines").alias("i", "line"))
+    return documents.select(*kept, F.posexplode_outer("lines").alias("i", "line")).where(F.col("i").isNotNull())
 
 
 def extract(documents: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -197,24 +208,20 @@ def extract(documents: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
     )
 
 
-def _fits_broadcast(table: DataFrame) -> bool:
-    """Whether the planner's size estimate of a table is below the session's broadcast limit."""
-    spark = table.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()) <= limit
-
-
-def extract_completed(documents: DataFrame, manifest: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
+def extract_completed(
+    documents: DataFrame, manifest: DataFrame, taxonomy: Taxonomy = CONTRACTS, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Extract the documents whose manifest row is completed, with the manifest's attributes.
 
-    ``documents`` has ``cik, accession, filename, raw``. A manifest below the broadcast limit is
-    joined first, so unfinished documents are never read. A larger one would force a shuffle of the
-    raw HTML; it is joined after extraction, where only clauses travel. The result is the same.
+    ``documents`` has ``cik, accession, filename, raw``. A manifest of up to ``broadcast_rows`` rows
+    (counted here) is broadcast, so unfinished documents are never read. For a longer one that join
+    would shuffle the raw HTML; it is joined after extraction, where only clauses travel. The rows are
+    the same.
     """
     done = manifest.where(F.col("status") == "done").select("accession", "filename", "company", "form_type", "file_type")
     keys = ["accession", "filename"]
-    if _fits_broadcast(done):
-        return extract(documents.join(done, keys), taxonomy)
+    if done.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return extract(documents.join(F.broadcast(done), keys), taxonomy)
     return extract(documents, taxonomy).join(done, keys)
 
 

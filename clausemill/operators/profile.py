@@ -178,15 +178,15 @@ def median_company_size(rows: DataFrame) -> DataFrame:
     return sizes.agg(F.percentile("n", F.lit(0.5), F.col("companies")).alias("median_size"))
 
 
-def concentration(rows: DataFrame, parts: int = 64) -> DataFrame:
+def concentration(rows: DataFrame) -> DataFrame:
     """Companies by size with ``rank``, running count and running percentage of all clauses.
 
-    Equal sizes are ordered by a hash part and then by name; the curve itself does not depend on that
-    order. Sorting all companies in one task is avoided: a table of (size, part) gives every group's
-    offset, and it is short, because sizes that differ must add up to the corpus (below
-    sqrt(2 x rows x parts) lines). Only within one (size, part) are companies numbered by name.
+    Equal sizes are ordered by one of 256 hash parts and then by name; the curve itself does not depend
+    on that order. Sorting all companies in one task is avoided: a table of (size, part) gives every
+    group's offset, and it is short, because sizes that differ must add up to the corpus (at most
+    sqrt(2 x 256 x rows) lines). Only within one (size, part) are companies numbered by name.
     """
-    sizes = company_sizes(rows).withColumn("part", F.pmod(F.crc32(F.col("company")), F.lit(parts)).cast("int"))
+    sizes = company_sizes(rows).withColumn("part", F.substring(F.md5("company"), 1, 2))
     groups = sizes.groupBy("n", "part").agg(F.count("*").alias("companies"))
     before = Window.orderBy(F.desc("n"), "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select(
@@ -233,7 +233,7 @@ def companies_for_half(rows: DataFrame) -> DataFrame:
 def label_by_form(rows: DataFrame, forms: list[str] = FORM_TYPES) -> DataFrame:
     """Share of each form type within a label; an absent pair is 0."""
     known = rows.where(F.col("form_type").isin(forms))
-    counts = known.groupBy("label").pivot("form_type", forms).agg(F.count("*")).na.fill(0)
+    counts = known.groupBy("label").pivot("form_type", forms).agg(F.count(F.lit(1))).na.fill(0)
     total = sum((F.col(f"`{form}`") for form in forms[1:]), F.col(f"`{forms[0]}`"))
     return counts.select("label", *[(F.col(f"`{form}`") / total).alias(form) for form in forms])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
-from clausemill.operators.extract import CLAUSE_COLUMNS, extract_completed, with_clauses, with_lines
+from clausemill.operators.extract import CLAUSE_COLUMNS, array_rows, extract_completed, with_clauses, with_lines
 from clausemill.operators.profile import documents_scanned, frequency_gate, label_frequencies
 from clausemill.functions.ids import filing_year
 from clausemill.sources.exhibits import read_exhibits, read_exhibits_anywhere
@@ -55,6 +55,6 @@ def build_corpus(
 def label_report(spark: SparkSession, folder: str, taxonomy: Taxonomy = CONTRACTS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Label frequencies, gate verdict and documents scanned for a folder of exhibits."""
     found = with_clauses(with_lines(read_exhibits_anywhere(spark, folder)), taxonomy)
-    labels = found.select(F.inline("clauses")).select("label")
+    labels = array_rows(found, "clauses", "seq").select("label")
     frequencies = label_frequencies(labels, taxonomy)
     return frequencies, frequency_gate(frequencies), documents_scanned(found)

@@ -14,7 +14,7 @@ from clausemill.operators.curate import assign_buckets, evaluation_candidates, o
 from clausemill.operators.enrich import ENRICHED_COLUMNS
 from clausemill.operators.profile import set_report
 from clausemill.sources import schemas
-from clausemill.sources.tables import read_assignments, read_json_lines, write_assignments, write_json_lines
+from clausemill.sources.tables import read_json_lines, write_assignments, write_json_lines
 
 
 @dataclass(frozen=True)
@@ -70,20 +70,28 @@ def check_sets(sets: DataFrame, assignments: DataFrame) -> None:
 def build_dataset(
     spark: SparkSession, store: DataFrame, out: str, sizes: SetSizes = SetSizes(), seed: int = SAMPLE_SEED
 ) -> DataFrame:
-    """Write split and sets, check them, and return the report.
+    """Draw the sets, check them, write them, and return the report.
 
-    The sets are bounded by ``sizes``; once written they are read back for the checks and the report,
-    so the store is not scanned for those again.
+    The sets are bounded by ``sizes``, so they are kept between the checks and the write and the store
+    is scanned once per set. Nothing is written when a check fails.
     """
-    write_assignments(assign_buckets(store), f"{out}/assignments")
-    assignments = read_assignments(spark, f"{out}/assignments")
-    for name, rows in curated_sets(store, sizes, seed).items():
-        write_json_lines(rows, f"{out}/{name}.jsonl")
-    written = {
-        "train": read_json_lines(spark, f"{out}/train.jsonl"),
-        "val": read_json_lines(spark, f"{out}/val.jsonl"),
-        "eval": read_json_lines(spark, f"{out}/eval_candidates.jsonl", schemas.CANDIDATES),
-    }
-    sets = labelled_sets(written)
-    check_sets(sets, assignments)
-    return set_report(sets)
+    assignments = assign_buckets(store)
+    sets = {name: rows.persist() for name, rows in curated_sets(store, sizes, seed).items()}
+    try:
+        together = labelled_sets({"eval" if name == "eval_candidates" else name: rows for name, rows in sets.items()})
+        check_sets(together, assignments)
+        write_assignments(assignments, f"{out}/assignments")
+        for name, rows in sets.items():
+            write_json_lines(rows, f"{out}/{name}.jsonl")
+    finally:
+        for rows in sets.values():
+            rows.unpersist()
+    return set_report(
+        labelled_sets(
+            {
+                "train": read_json_lines(spark, f"{out}/train.jsonl"),
+                "val": read_json_lines(spark, f"{out}/val.jsonl"),
+                "eval": read_json_lines(spark, f"{out}/eval_candidates.jsonl", schemas.CANDIDATES),
+            }
+        )
+    )

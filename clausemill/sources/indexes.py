@@ -65,7 +65,7 @@ def list_exhibits(pages: DataFrame, page: str = "html") -> DataFrame:
     The table is read by an Arrow UDF; the choice of exhibits and their address are native.
     """
     kept = [c for c in pages.columns if c != page]
-    listed = pages.select(*kept, F.inline(document_table(F.col(page))))
+    listed = pages.select(*kept, F.inline_outer(document_table(F.col(page))))
     return listed.where(F.col("exhibit_type").rlike(EXHIBIT_TYPE)).withColumn(
         "url", _document_url(F.col("cik"), F.col("accession"), F.col("filename"))
     )
@@ -94,4 +94,4 @@ def filing_dates_from(submissions: DataFrame) -> DataFrame:
     pairs = F.arrays_zip(
         F.slice(accessions, F.lit(1), shortest).alias("accession"), F.slice(dates, F.lit(1), shortest).alias("filing_date")
     )
-    return submissions.where(shortest > 0).select("cik", F.inline(pairs).alias("accession", "filing_date"))
+    return submissions.where(shortest > 0).select("cik", F.inline_outer(pairs).alias("accession", "filing_date"))
