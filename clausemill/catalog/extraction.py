@@ -122,7 +122,7 @@ def _with(*parts: str, select: str) -> str:
 
 
 def _document_lines(spark: SparkSession, folder: str) -> DataFrame:
-    documents = star.table(spark, folder, "documents").select("doc_id", "text")
+    documents = star.spread(star.table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
     return X.line_rows(X.with_plain_lines(documents))
 
 
@@ -182,7 +182,7 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY j) - 1 AS
 FROM split_lines WHERE trim(line) <> ''""",
 )
 def page_lines(spark, folder):
-    pages = star.table(spark, folder, "pages").select("page_id", "html")
+    pages = star.spread(star.table(spark, folder, "pages"), "page_id").select("page_id", "html")
     return X.line_rows(X.with_lines(pages, "html"))
 
 
@@ -243,7 +243,7 @@ def headers(spark, folder):
     _with(_DOC_LINES, _flags("doc_lines"), _HEADERS, select="SELECT doc_id, start_idx, title_idx, header_text, level FROM headers"),
 )
 def document_headers(spark, folder):
-    return X.header_rows(X.with_plain_lines(star.table(spark, folder, "documents").select("doc_id", "text")))
+    return X.header_rows(X.with_plain_lines(star.spread(star.table(spark, folder, "documents"), "doc_id").select("doc_id", "text")))
 
 
 @query(
@@ -263,7 +263,7 @@ def levels(spark, folder):
     ),
 )
 def neighbours(spark, folder):
-    read = X.with_plain_lines(star.table(spark, folder, "documents").select("doc_id", "text"))
+    read = X.with_plain_lines(star.spread(star.table(spark, folder, "documents"), "doc_id").select("doc_id", "text"))
     lengths = read.select("doc_id", F.transform("lines", F.length).alias("lengths"))
     around = F.transform(
         "lengths",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACT_LABELS
-from clausemill.operators.enrich import enrich
+from clausemill.operators.enrich import enrich, with_id_and_length
 from clausemill.operators.upsert import load
 from clausemill.session import tune
 
@@ -69,13 +69,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a table that has fewer files than there are cores.
+
+    The small test tables are one file with one row group each, which one task would read and carry
+    through all joins. A table of many files is left as it is scanned.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, *keys)
+
+
 def _choose(options: list[str], at: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, options)), (at + 1).cast("int"))
 
 
 def filings(spark: SparkSession, folder: str) -> DataFrame:
     """One filing per order with its company."""
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders, customer = spread(table(spark, folder, "orders"), "o_orderkey"), table(spark, folder, "customer")
     priority = F.substring("o_orderpriority", 1, 1)
     year = F.date_format("o_orderdate", "yyyy")
     cik = F.col("o_custkey").cast("string")
@@ -143,7 +153,7 @@ def filing_dates(spark: SparkSession, folder: str) -> DataFrame:
 def clauses(spark: SparkSession, folder: str) -> DataFrame:
     """One clause per line item, its text a whole document, with the load order of the rows."""
     documents = table(spark, folder, "documents")
-    lines = table(spark, folder, "lineitem").withColumns(
+    lines = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber").withColumns(
         {"doc_id": F.col("l_partkey") % documents.agg(F.count("*")).scalar(), "ord": F.col("l_partkey") % len(PHRASES)}
     )
     phrase = _choose(PHRASES, F.col("ord"))
@@ -185,7 +195,8 @@ def loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 def store(spark: SparkSession, folder: str) -> DataFrame:
     """One row per clause id, the last shipped."""
-    return load(loaded(spark, folder), [F.desc(c) for c in LOAD_ORDER]).drop(*LOAD_ORDER)
+    unique = load(with_id_and_length(clauses(spark, folder)), [F.desc(c) for c in LOAD_ORDER])
+    return enrich(unique, companies(spark, folder), filing_dates(spark, folder))
 
 
 def exhibits(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,7 +231,7 @@ def exhibits(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("</body></html>\n</TEXT>\n</DOCUMENT>"),
     )
     return (
-        table(spark, folder, "documents")
+        spread(table(spark, folder, "documents"), "doc_id")
         .join(filings(spark, folder), F.col("doc_id") == F.col("o_orderkey"))
         .select("doc_id", "cik", "accession", "filename", page.alias("raw"))
     )

@@ -102,8 +102,15 @@ class Taxonomy:
     def table(self, spark: SparkSession) -> DataFrame:
         """``(ord, label, keywords)`` with one row per label."""
         words = dict(self.rules)
-        rows = [(i, label, list(words.get(label, ()))) for i, label in enumerate(self.labels)]
-        return spark.createDataFrame(rows, "ord int, label string, keywords array<string>")
+        rows = [
+            F.struct(
+                F.lit(i).alias("ord"),
+                F.lit(label).alias("label"),
+                F.array(*map(F.lit, words.get(label, ()))).cast("array<string>").alias("keywords"),
+            )
+            for i, label in enumerate(self.labels)
+        ]
+        return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 CONTRACTS = Taxonomy.of(CONTRACT_LABELS, CONTRACT_KEYWORDS)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.functions.ids import clause_id
+from clausemill.operators.sizes import broadcast_if_small
 
 ENRICHED_COLUMNS = [
     "clause_id", "label", "section_header", "text", "cik", "company", "form_type", "file_type",
@@ -20,18 +21,19 @@ def completed(documents: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def with_industry(clauses: DataFrame, companies: DataFrame) -> DataFrame:
-    """Industry of the company; NULL when the company is unknown.
-
-    No broadcast hint: the planner broadcasts the dimension when its size allows, and otherwise the
-    sort-merge join is split by AQE where one company holds much of the corpus.
-    """
-    return clauses.join(companies.select("cik", "sic", "sic_description"), "cik", "left")
+    """Industry of the company; NULL when the company is unknown."""
+    return clauses.join(broadcast_if_small(companies.select("cik", "sic", "sic_description")), "cik", "left")
 
 
 def with_filing_date(clauses: DataFrame, filing_dates: DataFrame) -> DataFrame:
     """Exact filing date; NULL when unknown or not a date."""
     dates = filing_dates.select("cik", "accession", F.try_to_date(F.col("filing_date").cast("string")).alias("filing_date"))
-    return clauses.join(dates, ["cik", "accession"], "left")
+    return clauses.join(broadcast_if_small(dates), ["cik", "accession"], "left")
+
+
+def with_id_and_length(clauses: DataFrame) -> DataFrame:
+    """K3: add ``clause_id`` and ``text_len``."""
+    return clauses.withColumns({"clause_id": clause_id(), "text_len": F.length("text")})
 
 
 def enrich(clauses: DataFrame, companies: DataFrame, filing_dates: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -40,6 +42,6 @@ def enrich(clauses: DataFrame, companies: DataFrame, filing_dates: DataFrame, ke
     Id and length are computed before the joins, so a reader that needs neither text nor header does
     not carry them through a shuffle.
     """
-    keyed = clauses.withColumns({"clause_id": clause_id(), "text_len": F.length("text")})
+    keyed = clauses if "clause_id" in clauses.columns else with_id_and_length(clauses)
     joined = with_filing_date(with_industry(keyed, companies), filing_dates)
     return joined.select(*ENRICHED_COLUMNS, *keep)

@@ -16,11 +16,10 @@ from clausemill.functions import headers as H
 from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.functions.text import clean_spaces, exhibit_body, header_key, html_lines, plain_lines
+from clausemill.operators.sizes import BROADCAST_ROWS, is_small
 
 # Fixed value: shorter bodies are not clauses.
 MIN_CLAUSE_CHARS = 30
-# A manifest row is five short strings, so this many are below 100 MB.
-BROADCAST_ROWS = 500_000
 
 CLAUSE_COLUMNS = ["label", "section_header", "text", "cik", "company", "form_type", "file_type", "accession", "filename", "filing_year"]
 
@@ -220,7 +219,7 @@ def extract_completed(
     """
     done = manifest.where(F.col("status") == "done").select("accession", "filename", "company", "form_type", "file_type")
     keys = ["accession", "filename"]
-    if done.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if is_small(done, broadcast_rows):
         return extract(documents.join(F.broadcast(done), keys), taxonomy)
     return extract(documents, taxonomy).join(done, keys)
 

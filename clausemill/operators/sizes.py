@@ -1,0 +1,24 @@
+"""Broadcast only what has been counted."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of the tables joined here are a few short strings, so this many stay below about 100 MB.
+BROADCAST_ROWS = 500_000
+
+
+def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most so many rows; counting stops soon after."""
+    return table.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A table of short rows, marked for broadcast if it is small.
+
+    The planner's own estimate is far too high for tables that come out of joins, and it would then
+    shuffle the clause texts to meet a small dimension. A larger table is left to a sort-merge join,
+    which AQE splits where one key holds much of the data.
+    """
+    return F.broadcast(table) if is_small(table, rows) else table

@@ -51,6 +51,15 @@ def rejected(enriched: DataFrame) -> DataFrame:
     return enriched.where(~is_loadable())
 
 
-def load(enriched: DataFrame, newest_first: list[Column]) -> DataFrame:
-    """K4: one row per ``clause_id``, the newest; loading the same rows again changes nothing."""
-    return latest_per_key(enriched.where(is_loadable()), ["clause_id"], newest_first)
+def load(clauses: DataFrame, newest_first: list[Column]) -> DataFrame:
+    """K4: one row per ``clause_id``, the newest; loading the same rows again changes nothing.
+
+    Ids seldom repeat, and the rows are wide. So the ids alone are counted first; rows whose id occurs
+    once pass without a shuffle as long as the table of repeated ids is small enough to broadcast, and
+    only rows with a repeated id are ranked. The input is read three times, once without its texts.
+    """
+    rows = clauses.where(is_loadable())
+    repeated = rows.groupBy("clause_id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1).select("clause_id")
+    once = rows.join(repeated, "clause_id", "left_anti")
+    again = rows.join(repeated, "clause_id", "left_semi")
+    return once.unionByName(latest_per_key(again, ["clause_id"], newest_first))
