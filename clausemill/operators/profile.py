@@ -29,7 +29,7 @@ def label_shares(rows: DataFrame) -> DataFrame:
     """A2, A3: count and percentage per label."""
     counts = count_by(rows, "label")
     total = F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("pct", F.lit(100.0) * F.col("n") / total)
+    return counts.withColumn("pct", F.try_divide(F.lit(100.0) * F.col("n"), total))
 
 
 def label_frequencies(rows: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -93,7 +93,7 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def imbalance(rows: DataFrame) -> DataFrame:
     """Largest label over smallest."""
-    return count_by(rows, "label").agg((F.max("n") / F.min("n")).alias("ratio"))
+    return count_by(rows, "label").agg(F.try_divide(F.max("n"), F.min("n")).alias("ratio"))
 
 
 def length_counts(rows: DataFrame) -> DataFrame:
@@ -124,8 +124,8 @@ def length_summary(lengths: DataFrame) -> DataFrame:
     count, total, squares = F.col("count").cast("double"), F.col("total").cast("double"), F.col("squares").cast("double")
     return sums.select(
         "count",
-        (total / count).alias("mean"),
-        F.when(F.col("count") > 1, F.sqrt((squares - total * total / count) / (count - 1))).alias("std"),
+        F.try_divide(total, count).alias("mean"),
+        F.when(F.col("count") > 1, F.sqrt(F.greatest(squares - total * total / count, F.lit(0.0)) / (count - 1))).alias("std"),
         "min", "q1", "median", "q3", "max",
     )
 
@@ -164,7 +164,7 @@ def length_boxes(lengths: DataFrame) -> DataFrame:
 def over_length(lengths: DataFrame, threshold: int = LONG_TEXT) -> DataFrame:
     """Clauses longer than a threshold, and their percentage."""
     over = F.sum(F.when(F.col("text_len") > threshold, F.col("n")).otherwise(0))
-    return lengths.agg(over.alias("over"), (F.lit(100.0) * over / F.sum("n")).alias("pct"))
+    return lengths.agg(over.alias("over"), F.try_divide(F.lit(100.0) * over, F.sum("n")).alias("pct"))
 
 
 def company_sizes(rows: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def companies_for_half(rows: DataFrame) -> DataFrame:
     room = F.expr("(total - 2 * before) div (2 * n)")
     below = F.greatest(F.lit(0), F.least(F.col("companies"), room))
     return placed.agg((F.sum(below) + 1).alias("n_for_half"), F.sum("companies").alias("companies")).withColumn(
-        "pct_of_companies", F.lit(100.0) * F.col("n_for_half") / F.col("companies")
+        "pct_of_companies", F.try_divide(F.lit(100.0) * F.col("n_for_half"), F.col("companies"))
     )
 
 
@@ -235,7 +235,7 @@ def label_by_form(rows: DataFrame, forms: list[str] = FORM_TYPES) -> DataFrame:
     known = rows.where(F.col("form_type").isin(forms))
     counts = known.groupBy("label").pivot("form_type", forms).agg(F.count(F.lit(1))).na.fill(0)
     total = sum((F.col(f"`{form}`") for form in forms[1:]), F.col(f"`{forms[0]}`"))
-    return counts.select("label", *[(F.col(f"`{form}`") / total).alias(form) for form in forms])
+    return counts.select("label", *[F.try_divide(F.col(f"`{form}`"), total).alias(form) for form in forms])
 
 
 def is_unclassified() -> Column:
@@ -254,8 +254,8 @@ def coverage(rows: DataFrame) -> DataFrame:
     )
     return counted.withColumns(
         {
-            "missing_sic_pct": F.lit(100.0) * F.col("missing_sic") / F.col("rows"),
-            "missing_date_pct": F.lit(100.0) * F.col("missing_date") / F.col("rows"),
+            "missing_sic_pct": F.try_divide(F.lit(100.0) * F.col("missing_sic"), F.col("rows")),
+            "missing_date_pct": F.try_divide(F.lit(100.0) * F.col("missing_date"), F.col("rows")),
         }
     )
 
@@ -287,7 +287,7 @@ def top_industries(rows: DataFrame, n: int = 15) -> DataFrame:
 
 def top_industry_share(rows: DataFrame, n: int = 10) -> DataFrame:
     """Percentage of all rows that the largest industries hold."""
-    return top_industries(rows, n).agg((F.lit(100.0) * F.sum("n") / F.max("rows")).alias("top_pct"))
+    return top_industries(rows, n).agg(F.try_divide(F.lit(100.0) * F.sum("n"), F.max("rows")).alias("top_pct"))
 
 
 def set_report(sets: DataFrame) -> DataFrame:

@@ -90,8 +90,9 @@ def companies_from(submissions: DataFrame) -> DataFrame:
 def filing_dates_from(submissions: DataFrame) -> DataFrame:
     """The parallel arrays as rows; the longer array's surplus is dropped."""
     accessions, dates = F.col("recent.accessionNumber"), F.col("recent.filingDate")
-    shortest = F.least(F.size(accessions), F.size(dates))
+    shortest = F.least(F.coalesce(F.size(accessions), F.lit(0)), F.coalesce(F.size(dates), F.lit(0)))
     pairs = F.arrays_zip(
         F.slice(accessions, F.lit(1), shortest).alias("accession"), F.slice(dates, F.lit(1), shortest).alias("filing_date")
     )
-    return submissions.where(shortest > 0).select("cik", F.inline_outer(pairs).alias("accession", "filing_date"))
+    rows = submissions.where(shortest > 0).select("cik", F.inline_outer(pairs).alias("accession", "filing_date"))
+    return rows.where(F.col("accession").isNotNull() & F.col("filing_date").isNotNull())
