@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
+from clausemill.functions.text import strip_space
 
 # The split is the hash of this seed and the company key, cut at 70 % and 85 %.
 SPLIT_SEED = "lora-clause-split-v1"
@@ -32,24 +35,38 @@ def clause_id() -> Column:
     return F.sha1(F.concat_ws(":", "accession", "filename", "label", "section_header"))
 
 
-def split_point(cik: Column, seed: str = SPLIT_SEED) -> Column:
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row.
+
+    In a filter Spark computes a repeated subexpression anew each time; the variable of a lambda is bound
+    once.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def split_point(cik: Column | str, seed: str = SPLIT_SEED) -> Column:
     """SHA-256 of ``seed:cik`` as a 256-bit number, modulo 10,000.
 
     The digest is read in pieces that fit a BIGINT and folded with Horner's rule.
     """
-    digest = F.sha2(F.concat(F.lit(f"{seed}:"), cik), 256)
-    folded = F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint")
-    for start in range(5, 65, 12):
-        piece = F.conv(F.substring(digest, start, 12), 16, 10).cast("bigint")
-        folded = (folded * F.lit(pow(16, 12, 10000)) + piece) % F.lit(10000)
-    return folded.cast("int")
+
+    def fold(digest: Column) -> Column:
+        folded = F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint")
+        for start in range(5, 65, 12):
+            piece = F.conv(F.substring(digest, start, 12), 16, 10).cast("bigint")
+            folded = (folded * F.lit(pow(16, 12, 10000)) + piece) % F.lit(10000)
+        return folded.cast("int")
+
+    return _once(F.sha2(F.concat(F.lit(f"{seed}:"), cik), 256), fold)
 
 
 def split_bucket(cik: Column, seed: str = SPLIT_SEED) -> Column:
     """The bucket of a company. A pure function of the key, so it needs no lookup join."""
     (first, first_cut), (second, second_cut), (last, _) = SPLIT_CUTS
-    point = split_point(cik, seed)
-    return F.when(point < first_cut, F.lit(first)).when(point < second_cut, F.lit(second)).otherwise(F.lit(last))
+    return _once(
+        split_point(cik, seed),
+        lambda point: F.when(point < first_cut, F.lit(first)).when(point < second_cut, F.lit(second)).otherwise(F.lit(last)),
+    )
 
 
 def shuffle_key(identifier: Column, seed: int = SAMPLE_SEED) -> Column:
@@ -59,7 +76,7 @@ def shuffle_key(identifier: Column, seed: int = SAMPLE_SEED) -> Column:
 
 def ambiguity_score(header: Column, text_len: Column, taxonomy: Taxonomy = CONTRACTS) -> Column:
     """P10: extra categories in the header, plus one for a short text, plus one for a bare header."""
-    bare = F.lower(F.rtrim(F.regexp_replace(header, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), F.lit(".:")))
+    bare = F.lower(F.rtrim(strip_space(header), F.lit(".:")))
     return (
         taxonomy.label_count(header)
         - 1

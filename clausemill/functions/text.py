@@ -141,9 +141,16 @@ def exhibit_body(raw: Column) -> Column:
     return F.element_at(F.split(raw, "(?i)<TEXT>", 2), -1)
 
 
+# The white space that is stripped from lines.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_space(text: Column) -> Column:
-    """Remove Unicode white space at both ends (``trim`` removes U+0020 only)."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    """Remove Unicode white space at both ends (plain ``trim`` removes U+0020 only)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def plain_lines(text: Column) -> Column:
@@ -152,9 +159,17 @@ def plain_lines(text: Column) -> Column:
     return F.filter(F.transform(pieces, strip_space), lambda line: line != "")
 
 
+def collapse_spaces(text: Column) -> Column:
+    """Runs of blanks, tabs and no-break spaces become one blank; line breaks stay.
+
+    Single blanks, which are most of them, are not matched.
+    """
+    return F.regexp_replace(text, r"[\t\x{a0}][ \t\x{a0}]*| [ \t\x{a0}]+", " ")
+
+
 def clean_spaces(text: Column) -> Column:
-    """Runs of blanks, tabs and no-break spaces become one blank; line breaks stay."""
-    return strip_space(F.regexp_replace(text, r"[ \t\x{a0}]+", " "))
+    """Collapsed spaces, stripped at both ends."""
+    return strip_space(collapse_spaces(text))
 
 
 def header_key(header: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clausemill.functions.ids import SAMPLE_SEED, SPLIT_SEED, ambiguity_score, shuffle_key, split_bucket
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
+from clausemill.operators.sizes import broadcast_if_small
 from clausemill.operators.topk import first_k
 from clausemill.session import scratch_path
 
@@ -28,7 +29,8 @@ def assign_buckets(clauses: DataFrame, seed: str = SPLIT_SEED) -> DataFrame:
 
 def in_bucket(clauses: DataFrame, assignments: DataFrame, bucket: str) -> DataFrame:
     """Clauses of the companies that a recorded assignment puts in a bucket."""
-    return clauses.join(assignments.where(F.col("bucket") == bucket).select("cik"), "cik", "left_semi")
+    members = assignments.where(F.col("bucket") == bucket).select("cik")
+    return clauses.join(broadcast_if_small(members), "cik", "left_semi")
 
 
 def of_bucket(clauses: DataFrame, bucket: str, seed: str = SPLIT_SEED) -> DataFrame:
@@ -38,7 +40,7 @@ def of_bucket(clauses: DataFrame, bucket: str, seed: str = SPLIT_SEED) -> DataFr
 
 def picked(candidates: DataFrame, picked_ids: DataFrame) -> DataFrame:
     """Candidates a reviewer chose."""
-    return candidates.join(picked_ids.select("clause_id"), "clause_id", "left_semi")
+    return candidates.join(broadcast_if_small(picked_ids.select("clause_id")), "clause_id", "left_semi")
 
 
 def sample_pool(clauses: DataFrame, per_category: int, company_cap: int, seed: int, taxonomy: Taxonomy) -> DataFrame:
@@ -170,9 +172,12 @@ def evaluation_candidates(clauses: DataFrame, per_category: int, taxonomy: Taxon
 
 
 def one_per_label(clauses: DataFrame, seed: int = 1) -> DataFrame:
-    """One seeded random clause per label with the start of its text."""
+    """One seeded random clause per label with the start of its text.
+
+    The choice has one row per label, so it is broadcast to the wide rows.
+    """
     rows = clauses.select("clause_id", "label", shuffle_key(F.col("clause_id"), seed).alias("key"))
     chosen = first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 1).select("clause_id")
-    return picked(clauses, chosen).select(
+    return clauses.join(F.broadcast(chosen), "clause_id", "left_semi").select(
         "label", "company", "section_header", "clause_id", F.substring("text", 1, 300).alias("excerpt")
     )

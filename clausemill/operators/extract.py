@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from clausemill.functions import headers as H
 from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
-from clausemill.functions.text import clean_spaces, exhibit_body, header_key, html_lines, plain_lines
+from clausemill.functions.text import collapse_spaces, exhibit_body, header_key, html_lines, plain_lines
 from clausemill.operators.sizes import BROADCAST_ROWS, is_small
 
 # Fixed value: shorter bodies are not clauses.
@@ -115,9 +115,9 @@ def with_sections(documents: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataF
 
 
 def _body(lines: Column, section: Column) -> Column:
-    """The text of a section."""
+    """The text of a section. Lines are stripped and not empty, so its ends are clean."""
     start, end = section["first_line"], section["end_line"]
-    return clean_spaces(F.array_join(F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))), "\n"))
+    return collapse_spaces(F.array_join(F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))), "\n"))
 
 
 def with_candidates(documents: DataFrame, min_chars: int = MIN_CLAUSE_CHARS) -> DataFrame:
@@ -127,7 +127,7 @@ def with_candidates(documents: DataFrame, min_chars: int = MIN_CLAUSE_CHARS) ->
         "sections",
         lambda s: F.struct(
             s["label"].alias("label"),
-            clean_spaces(s["header_text"]).alias("section_header"),
+            collapse_spaces(s["header_text"]).alias("section_header"),
             _body(lines, s).alias("text"),
         ),
     )

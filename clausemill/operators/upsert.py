@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from clausemill.operators.sizes import is_small
 from clausemill.operators.topk import latest_per_key
+from clausemill.session import scratch_path
 
 REQUIRED_COLUMNS = ["clause_id", "label", "section_header", "text", "cik", "accession", "filename"]
 
@@ -51,15 +53,25 @@ def rejected(enriched: DataFrame) -> DataFrame:
     return enriched.where(~is_loadable())
 
 
-def load(clauses: DataFrame, newest_first: list[Column]) -> DataFrame:
+def load(clauses: DataFrame, newest_first: list[Column], offered: Observation | None = None) -> DataFrame:
     """K4: one row per ``clause_id``, the newest; loading the same rows again changes nothing.
 
-    Ids seldom repeat, and the rows are wide. So the ids alone are counted first; rows whose id occurs
-    once pass without a shuffle as long as the table of repeated ids is small enough to broadcast, and
-    only rows with a repeated id are ranked. The input is read three times, once without its texts.
+    Ids seldom repeat, and the rows are wide. So the ids that repeat are found first, from the id
+    columns alone, and written to the shared folder. If they are few, rows whose id occurs once are
+    told apart by a broadcast and are not shuffled; only rows with a repeated id are ranked. If they
+    are many, all rows are. ``offered`` observes rows and refused rows in the read that brings the rows.
     """
-    rows = clauses.where(is_loadable())
-    repeated = rows.groupBy("clause_id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1).select("clause_id")
-    once = rows.join(repeated, "clause_id", "left_anti")
-    again = rows.join(repeated, "clause_id", "left_semi")
+    spark = clauses.sparkSession
+    path = scratch_path(spark, "repeated-ids")
+    copies = clauses.groupBy("clause_id").agg(F.count("*").alias("copies"))
+    copies.where(F.col("copies") > 1).select("clause_id").write.parquet(path)
+    repeated = spark.read.schema("clause_id string").parquet(path)
+
+    observed = clauses
+    if offered is not None:
+        observed = clauses.observe(offered, F.count("*").alias("rows"), F.count_if(~is_loadable()).alias("refused"))
+    if not is_small(repeated):
+        return latest_per_key(observed.where(is_loadable()), ["clause_id"], newest_first)
+    once = observed.where(is_loadable()).join(F.broadcast(repeated), "clause_id", "left_anti")
+    again = clauses.where(is_loadable()).join(F.broadcast(repeated), "clause_id", "left_semi")
     return once.unionByName(latest_per_key(again, ["clause_id"], newest_first))

@@ -23,16 +23,27 @@ def with_path_keys(files: DataFrame) -> DataFrame:
     )
 
 
-def read_exhibits(spark: SparkSession, folder: str) -> DataFrame:
+def read_exhibits(spark: SparkSession, folder: str, companies: str = "*") -> DataFrame:
     """Every ``{cik}/{accession}/{filename}.htm`` below a folder, one row per file.
 
-    Files are packed into partitions by ``spark.sql.files.maxPartitionBytes``, so a partition's
-    memory does not grow with the number of files.
+    Files are packed into partitions by size, so a partition's memory does not grow with the number of
+    files. ``companies`` is a glob over company folders.
     """
-    files = _files(spark.read.format("binaryFile"), f"{folder.rstrip('/')}/*/*/*.htm")
+    files = _files(spark.read.format("binaryFile"), f"{folder.rstrip('/')}/{companies}/*/*.htm")
     return with_path_keys(files).select("cik", "accession", "filename", "raw")
 
 
+def pack_exhibits(spark: SparkSession, folder: str, out: str, slices: list[str]) -> None:
+    """S1 for a corpus of many millions of files: copy them into one table of raw documents.
+
+    Listing files is the driver's work, so it is done for one glob of company folders at a time (such as
+    ``["0*", "1*", ...]``). Each slice replaces only its own part of the table, so a failed one can be
+    repeated. The table is what ``build_corpus`` reads.
+    """
+    for number, companies in enumerate(slices):
+        read_exhibits(spark, folder, companies).write.mode("overwrite").parquet(f"{out.rstrip('/')}/slice={number}")
+
+
 def read_exhibits_anywhere(spark: SparkSession, folder: str) -> DataFrame:
     """S3: every ``.htm`` file at any depth, keyed by its path."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.htm")

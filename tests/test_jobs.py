@@ -50,6 +50,14 @@ def test_files(spark, raw):
     assert exhibits.read_exhibits_anywhere(spark, raw).count() == 5
 
 
+def test_packed_files(spark, raw, tmp_path):
+    out = str(tmp_path / "packed")
+    for _ in range(2):
+        exhibits.pack_exhibits(spark, raw, out, ["1*", "[2-9]*"])
+    packed = spark.read.parquet(out)
+    assert sorted(packed.select("cik", "filename", "raw").collect()) == sorted(exhibits.read_exhibits(spark, raw).select("cik", "filename", "raw").collect())
+
+
 def test_corpus_job(spark, raw, tmp_path):
     result = build_corpus(spark, raw, _manifest(spark), str(tmp_path / "corpus"))
     assert (result.clauses, result.failed) == (3, 0)
