@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.operators.extract import CLAUSE_COLUMNS, array_rows, extract_completed, with_clauses, with_lines
 from clausemill.operators.profile import documents_scanned, frequency_gate, label_frequencies
-from clausemill.functions.ids import filing_year
+from clausemill.session import scratch_path
 from clausemill.sources.exhibits import read_exhibits, read_exhibits_anywhere
 
 
@@ -53,8 +54,14 @@ def build_corpus(
 
 
 def label_report(spark: SparkSession, folder: str, taxonomy: Taxonomy = CONTRACTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Label frequencies, gate verdict and documents scanned for a folder of exhibits."""
+    """Label frequencies, gate verdict and documents scanned for a folder of exhibits.
+
+    The exhibits are read once: what the reports need, the labels per document, is written to the shared
+    folder, and all three tables come from there.
+    """
     found = with_clauses(with_lines(read_exhibits_anywhere(spark, folder)), taxonomy)
-    labels = array_rows(found, "clauses", "seq").select("label")
-    frequencies = label_frequencies(labels, taxonomy)
-    return frequencies, frequency_gate(frequencies), documents_scanned(found)
+    path = scratch_path(spark, "document-labels")
+    found.select(F.transform("clauses", lambda c: F.struct(c["label"].alias("label"))).alias("clauses")).write.parquet(path)
+    documents = spark.read.parquet(path)
+    frequencies = label_frequencies(array_rows(documents, "clauses", "label"), taxonomy)
+    return frequencies, frequency_gate(frequencies), documents_scanned(documents)
