@@ -1,0 +1,26 @@
+"""Registration of this package's queries and their SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query and, where there is one, the SQL that must give the same rows."""
+
+    def register(run: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"query {name} is registered twice")
+        QUERIES[name] = run
+        if sql is not None:
+            ORACLES[name] = sql.strip()
+        return run
+
+    return register
