@@ -57,15 +57,15 @@ def line_fails(line: Column) -> Column:
     """Whether a line breaks the punctuation, navigation or boilerplate rule."""
 
     def rules(n: Column) -> Column:
-        separators = _count(line, SEPARATOR)
+        separators = F.when(line.rlike(SEPARATOR), _count(line, SEPARATOR)).otherwise(0)
         punctuation = (
-            ~line.rlike(SIGN) | (_count(line, MARKED_WORD) * 3 >= n) | ((n <= 2) & ~line.rlike(ENDS_WELL))
+            ~line.rlike(SIGN) | (line.rlike(MARKED_WORD) & (_count(line, MARKED_WORD) * 3 >= n)) | ((n <= 2) & ~line.rlike(ENDS_WELL))
         )
-        navigation = ((separators > 0) & (n - separators <= ITEM_WORDS * (separators + 1))) | line.rlike(MENU_LINE)
+        navigation = ((separators > 0) & (n - separators <= ITEM_WORDS * (separators + 1))) | ((n <= ITEM_WORDS) & line.rlike(MENU_LINE))
         boilerplate = (n <= STOCK_LINE_WORDS) & line.rlike(STOCK_PHRASE)
         return (n > 0) & (punctuation | navigation | boilerplate)
 
-    return let(_count(line, WORD), rules)
+    return let(F.size(words(line)), rules)
 
 
 def repeated_words(ws: Column) -> Column:
@@ -108,7 +108,6 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.select(
         "row",
         words(F.col("text")).alias("words"),
-        F.length(_joined(F.col("text"))).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"),
     )
@@ -117,7 +116,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.select(
         "row",
         F.size("words").cast("long").alias("n_words"),
-        "word_chars",
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         "n_symbols",
         let(with_word, lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
