@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clausemill.llm import line_spread, mixing
 from clausemill.llm import quality_rules as quality
 from clausemill.llm.common import table
 from clausemill.llm.registry import query
@@ -67,3 +68,85 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+# The target weights of the sources, in parts; every other source shares the last entry.
+TARGET_PARTS: dict[str | None, int] = {
+    "src0": 10,
+    **{f"src{k}": 4 for k in range(1, 10)},
+    **{f"src{k}": 2 for k in range(10, 20)},
+    None: 1,
+}
+_NAMES = [name for name in TARGET_PARTS if name is not None]
+_PARTS, _TOTAL = list(TARGET_PARTS.values()), sum(TARGET_PARTS.values())
+
+# Here the period is scheduled by recursion and the final order by one sort.
+MIXING_SQL = f"""
+WITH RECURSIVE params AS (SELECT {_PARTS}::BIGINT[] AS p),
+state AS (
+  SELECT 0::BIGINT AS slot, list_transform(p, lambda x: 0::BIGINT) AS done FROM params
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda n, i: n + (i = pick)::BIGINT)
+  FROM (SELECT slot, done, list_min(list_transform(
+            list_filter(range(1, {len(_PARTS) + 1}), lambda m: done[m] < p[m] AND (done[m] * {_TOTAL}) // p[m] <= slot),
+            lambda m: {{'d': ((done[m] + 1) * {_TOTAL} + p[m] - 1) // p[m], 'm': m}}))['m'] AS pick
+        FROM state, params WHERE slot < {_TOTAL})),
+period AS (
+  SELECT a.slot, m - 1 AS member, a.done[m] AS k, (a.done[m] * {_TOTAL}) // p[m] AS release,
+         ((a.done[m] + 1) * {_TOTAL} + p[m] - 1) // p[m] AS deadline
+  FROM state a JOIN state b ON b.slot = a.slot + 1, params, unnest(range(1, {len(_PARTS) + 1})) AS t(m)
+  WHERE b.done[m] > a.done[m]),
+ranked AS (
+  SELECT doc_id, source, member, p[member + 1] AS p,
+         row_number() OVER (PARTITION BY member ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST) - 1 AS rank
+  FROM (SELECT doc_id, source, coalesce(list_position({_NAMES}, source) - 1, {len(_NAMES)}) AS member FROM documents), params),
+placed AS (
+  SELECT doc_id, source, rank, rank // {mixing.BLOCK_ROWS} AS block,
+         (rank // {mixing.BLOCK_ROWS} // p) * {_TOTAL} AS base, s.release, s.deadline, s.slot
+  FROM ranked JOIN period s ON s.member = ranked.member AND s.k = (rank // {mixing.BLOCK_ROWS}) % p)
+SELECT doc_id, source, rank::BIGINT AS rank, block::BIGINT AS block, (base + release)::BIGINT AS release,
+       (base + deadline)::BIGINT AS deadline, (base + slot)::BIGINT AS slot,
+       (row_number() OVER (ORDER BY base + slot, rank) - 1)::BIGINT AS position
+FROM placed
+"""
+
+
+@query("op3_mixing", MIXING_SQL)
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every document in a mix with the target weights."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(docs, TARGET_PARTS).selectExpr(
+        "row.doc_id AS doc_id", "row.source AS source", "CAST(rank AS BIGINT) AS rank", "block", "release", "deadline", "slot", "position"
+    )
+
+
+LINE_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, source, text, pos, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS bare
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)),
+common AS (
+  SELECT bare FROM lines WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= {line_spread.MIN_SITES}),
+marked AS (SELECT l.*, c.bare IS NOT NULL AS gone,
+                  length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+           FROM lines l LEFT JOIN common c ON c.bare = l.bare),
+by_doc AS (
+  SELECT doc_id, any_value(text) AS text, count(*) FILTER (gone) AS n_boilerplate,
+         coalesce(sum(chars) FILTER (gone), 0) AS boilerplate_chars, sum(chars) AS chars,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS rest
+  FROM marked GROUP BY doc_id)
+SELECT doc_id, n_boilerplate::BIGINT AS n_boilerplate, boilerplate_chars::BIGINT AS boilerplate_chars,
+       boilerplate_chars * 100 > chars * {line_spread.MAX_LOST_PERCENT} AS kept_whole,
+       CASE WHEN n_boilerplate = 0 OR boilerplate_chars * 100 > chars * {line_spread.MAX_LOST_PERCENT} THEN text ELSE rest END AS text
+FROM by_doc
+"""
+
+
+@query("op7_line_spread", LINE_SQL)
+def op7_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that stand on many sites."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return line_spread.dedup(docs).selectExpr(
+        "row.doc_id AS doc_id", "n_boilerplate", "boilerplate_chars", "kept_whole", "clean AS text"
+    )
