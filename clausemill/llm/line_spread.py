@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clausemill.llm.common import GAP, row_key, whole
+from clausemill.llm.common import GAP, row_key, stored, whole
 
 MIN_SITES = 5
 MAX_LOST_PERCENT = 50
@@ -95,7 +95,9 @@ def dedup(
     """
     keyed = docs.select(F.struct("*").alias("row"), row_key(doc_id, text).alias("key"))
     narrow = docs.select(F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
-    removed = removed_lines(narrow, spread(docs, text, site, min_sites))
+    # Written first, so that the join below meets two shuffled sides, of which a very common line can be split.
+    boilerplate = stored(docs.sparkSession, spread(docs, text, site, min_sites), "boilerplate-lines")
+    removed = removed_lines(narrow, boilerplate)
     rows = keyed.join(removed, "key", "left").drop("key")
     body = F.col("row")[text]
     positions = F.coalesce("positions", F.array().cast("array<int>"))
