@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clausemill.llm import line_spread, mixing
+from clausemill.llm import line_spread, mixing, piece_sampling
 from clausemill.llm import quality_rules as quality
 from clausemill.llm.common import table
 from clausemill.llm.registry import query
@@ -150,3 +150,9 @@ def op7_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     return line_spread.dedup(docs).selectExpr(
         "row.doc_id AS doc_id", "n_boilerplate", "boilerplate_chars", "kept_whole", "clean AS text"
     )
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """A sampled segmentation of every document, and whether it decodes to the text."""
+    return piece_sampling.encode(table(spark, folder, "documents").select("doc_id", "text"))
