@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clausemill.llm import line_spread, mixing, piece_sampling
+from clausemill.llm import line_spread, mixing, personal_data, piece_sampling
 from clausemill.llm import quality_rules as quality
 from clausemill.llm.common import table
 from clausemill.llm.registry import query
@@ -156,3 +157,22 @@ def op7_line_spread(spark: SparkSession, folder: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """A sampled segmentation of every document, and whether it decodes to the text."""
     return piece_sampling.encode(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """The personal data of every document: base spans by kind, and all spans."""
+    found = personal_data.find(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in personal_data.BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
