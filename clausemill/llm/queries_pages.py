@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clausemill.llm import url_rules, warc_archives
+from clausemill.llm import page_wrappers, url_rules, warc_archives
 from clausemill.llm.common import table
 from clausemill.llm.registry import query
 
@@ -70,3 +70,20 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Host, path, deciding rule and verdict of every page's URL."""
     rules = spark.createDataFrame([(host, path, verdict) for verdict, host, path in URL_RULES], url_rules.RULES)
     return url_rules.judge(table(spark, folder, "pages").select("page_id", "url"), rules)
+
+
+# On these tables an article element holds the text; SQL reads it by patterns.
+ARTICLE_SQL = """
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*)</article>', 1) AS body FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(?:p|h[1-6]|div|br|ul|ol|li)\\b[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') AS body FROM a),
+c AS (SELECT page_id, url, replace(replace(replace(replace(replace(body, '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS body FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(body, '[\\s]+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM d
+"""
+
+
+@query("op6_page_wrappers", ARTICLE_SQL)
+def op6_page_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    """The article of every page, read with its host's wrapper."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return page_wrappers.extract(pages, page_wrappers.infer(pages))
