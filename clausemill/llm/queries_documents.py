@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clausemill.llm import line_spread, mixing, personal_data, piece_sampling
+from clausemill.llm import chosen_path, line_spread, mixing, personal_data, piece_sampling
 from clausemill.llm import quality_rules as quality
 from clausemill.llm.common import table
 from clausemill.llm.registry import query
@@ -176,3 +176,28 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
     )
+
+
+# Here all pairs with a shingle in common are compared, and components grow by recursion.
+NEAR_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d),
+k AS (SELECT s AS ks, min(doc_id) AS id, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM g) WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT id, n, hash(unnest(ks)) AS x FROM k),
+pairs AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.x = b.x AND a.id < b.id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+          GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+sym AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT id, id AS r FROM k UNION SELECT reach.id, sym.b FROM reach JOIN sym ON sym.a = reach.r),
+c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, coalesce(c.component_id, g.doc_id) AS component_id,
+       coalesce(c.component_id, g.doc_id) = g.doc_id AS kept
+FROM g LEFT JOIN k ON k.ks = list_sort(g.s) LEFT JOIN c ON c.id = k.id
+"""
+
+
+@query("op8_chosen_path", NEAR_SQL)
+def op8_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component of near copies."""
+    return chosen_path.link(table(spark, folder, "documents").select("doc_id", "text"))
