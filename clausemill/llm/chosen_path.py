@@ -7,10 +7,10 @@ most ``NODE_ROWS`` sets are compared exhaustively by their tokens, larger ones b
 small node in some tree with a probability that the number of trees brings near one.
 
 Pairs whose tokens agree often enough are candidates, and every link is confirmed on full sets. Only links that
-join components matter, so first a tree of candidates per node is confirmed; then all remaining candidates between
-different components. Groups of near copies that no branching can divide are joined by links to a common member;
-members that are not linked to it are compared with all others of the node, in blocks. So nothing is capped and no
-group is expanded into all its pairs.
+join components matter, so first a tree of candidates per node is confirmed; then nodes that still hold several components are
+compared on full sets and return the links that join them. Groups of near copies that no branching can divide are
+joined by links to a common member; members that are not linked to it are compared with all others of the node, in
+blocks. So nothing is capped and no group is expanded into all its pairs.
 
 Words are split by white space, A-Z are lower-cased. A document with fewer than five words has its whole sequence
 as one shingle; without words it has an empty set, linked with nothing. Rows without an id have no component and are
@@ -137,7 +137,10 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sizes.append(len(shingles))
             digests.append(hashlib.md5(shingles.tobytes()).digest() if len(shingles) else None)
             sketches.append(tokens.of(shingles).tobytes() if len(shingles) else None)
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes, "digest": digests, "tokens": sketches})
+        short = [None if x is None else np.frombuffer(x, dtype=np.uint32).astype(np.uint8).tobytes() for x in sketches]
+        yield pd.DataFrame(
+            {"doc_id": batch["doc_id"], "n_shingles": sizes, "digest": digests, "tokens": sketches, "short": short}
+        )
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,6 +210,7 @@ def _branched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 _PAIR = "a long, b long"
+_MEMBER = ("node", "id", "component", "asks", "shingles")
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -216,7 +220,8 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
 def _spanning(rows: pd.DataFrame) -> pd.DataFrame:
     """A forest of candidate pairs of a node, grown from the smallest ids breadth first."""
     rows = rows.sort_values("id")
-    ids, tokens = rows["id"].to_numpy(), _matrix(rows["tokens"]).astype(np.uint8)
+    ids = rows["id"].to_numpy()
+    tokens = np.frombuffer(b"".join(rows["short"]), dtype=np.uint8).reshape(-1, TOKENS)
     close = _agreeing(tokens, tokens) >= AGREE
     left, a, b = np.ones(len(ids), dtype=bool), [], []
     for root in range(len(ids)):
@@ -234,22 +239,59 @@ def _spanning(rows: pd.DataFrame) -> pd.DataFrame:
     return _pairs(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))
 
 
+def _common(asking: list[np.ndarray], all_: list[np.ndarray]) -> np.ndarray:
+    """Shingles in common, for all pairs of two lists of sets; the second list holds the first."""
+    values, place, counts = np.unique(np.concatenate(all_), return_inverse=True, return_counts=True)
+    shared = np.cumsum(counts > 1) - 1
+    shared[counts < 2] = -1
+    width = int(shared.max(initial=-1)) + 1
+    column = shared[place]
+    row = np.repeat(np.arange(len(all_)), [len(x) for x in all_])
+    asked = [np.searchsorted(values, x) for x in asking]
+    asked_row = np.repeat(np.arange(len(asking)), [len(x) for x in asking])
+    asked_column = shared[np.concatenate(asked)]
+    out = np.zeros((len(asking), len(all_)), dtype=np.float32)
+    for at in range(0, width, 4096):
+        left, right = (np.zeros((n, min(4096, width - at)), dtype=np.float32) for n in (len(asking), len(all_)))
+        inside = (column >= at) & (column < at + 4096)
+        right[row[inside], column[inside] - at] = 1
+        inside = (asked_column >= at) & (asked_column < at + 4096)
+        left[asked_row[inside], asked_column[inside] - at] = 1
+        out += left @ right.T
+    return out.astype(np.int64)
+
+
 def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """All candidate pairs of a node, or of a block of one, that join different components; ``asks`` marks one side."""
+    """Links of a node, or of a block of one, that join its components: as many as it takes; ``asks`` marks one side."""
     asking = rows[rows["asks"]]
-    if asking.empty or rows["component"].nunique() < 2:
-        return _pairs(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-    ids, theirs = asking["id"].to_numpy(), rows["id"].to_numpy()
-    close = _agreeing(_matrix(asking["tokens"]).astype(np.uint8), _matrix(rows["tokens"]).astype(np.uint8)) >= AGREE
-    close &= asking["component"].to_numpy()[:, None] != rows["component"].to_numpy()[None, :]
-    a, b = np.nonzero(close)
-    return _pairs(ids[a], theirs[b]).drop_duplicates()
+    found: list[tuple[int, int]] = []
+    if not asking.empty and rows["component"].nunique() > 1:
+        a_sets, b_sets = list(asking["shingles"]), list(rows["shingles"])
+        a_size, b_size = (np.array([len(x) for x in sets]) for sets in (a_sets, b_sets))
+        common = _common(a_sets, b_sets)
+        linked = common * 100 >= (a_size[:, None] + b_size[None, :] - common) * PERCENT
+        a_parts, b_parts = asking["component"].to_numpy(), rows["component"].to_numpy()
+        linked &= a_parts[:, None] != b_parts[None, :]
+        a_ids, b_ids = asking["id"].to_numpy(), rows["id"].to_numpy()
+        head: dict[int, int] = {}
+
+        def part(x: int) -> int:
+            while x in head:
+                x = head[x]
+            return x
+
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            x, y = part(a_parts[i]), part(b_parts[j])
+            if x != y:
+                head[max(x, y)] = min(x, y)
+                found.append((a_ids[i], b_ids[j]))
+    return _pairs(*(np.array([f[k] for f in found], dtype=np.int64) for k in (0, 1)))
 
 
 def sketches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``n_shingles``, a digest of the set and its minwise tokens, as a written table."""
+    """``doc_id``, ``n_shingles``, a digest of the set, its minwise tokens and their last bytes, as a written table."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    kind = "doc_id long, n_shingles long, digest binary, tokens binary"
+    kind = "doc_id long, n_shingles long, digest binary, tokens binary, short binary"
     return stored(docs.sparkSession, rows.mapInPandas(_sketched, kind), "sketches")
 
 
@@ -271,8 +313,9 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     rows = sketches(docs, text, doc_id)
     known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = stored(spark, known.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
-    tokens = known.select(F.col("doc_id").alias("id"), "digest", "tokens").join(classes, ["id", "digest"], "left_semi")
-    tokens = stored(spark, tokens.dropDuplicates(["id"]).select("id", "tokens"), "tokens")
+    tokens = known.select(F.col("doc_id").alias("id"), "digest", "tokens", "short").join(classes, ["id", "digest"], "left_semi")
+    tokens = stored(spark, tokens.dropDuplicates(["id"]).select("id", "tokens", "short"), "tokens")
+    short, tokens = tokens.select("id", "short"), tokens.select("id", "tokens")
 
     def counted(members: DataFrame) -> DataFrame:
         """Members of nodes that hold two sets or more, with their number and a common member."""
@@ -302,7 +345,7 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     nodes = nodes.select("node", "id")
 
     # Round one: links to common members of large nodes, and a forest of each small node.
-    forest = nodes.join(tokens, "id").groupBy("node").applyInPandas(_spanning, _PAIR)
+    forest = nodes.join(short, "id").groupBy("node").applyInPandas(_spanning, _PAIR)
     for more in pairs:
         forest = forest.unionByName(more)
     first = stored(spark, forest.distinct(), "pairs")
@@ -317,26 +360,24 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     links = stored(spark, _confirmed(first, sets), "links")
     labels = components(links)
 
-    # Round two: what else may join components.
+    # Round two: what else joins components. A set without any candidate in round one has none in small nodes.
     def labelled(members: DataFrame) -> DataFrame:
-        of_member = members.join(labels, "id", "left")
-        return of_member.withColumn("component", F.coalesce("component", "id"))
+        return members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    rest = labelled(nodes)
+    rest = labelled(nodes.join(involved, "id", "left_semi"))
     mixed = rest.groupBy("node").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("node")
-    # A set without any candidate in round one has none in small nodes.
-    rest = rest.join(involved, "id", "left_semi").join(mixed, "node", "left_semi").join(tokens, "id")
-    second = rest.withColumn("asks", F.lit(True)).groupBy("node").applyInPandas(_across, _PAIR)
+    rest = rest.join(mixed, "node", "left_semi").join(sets, "id").withColumn("asks", F.lit(True))
+    second = rest.select(*_MEMBER).groupBy("node").applyInPandas(_across, _PAIR)
     if large is not None and not large.isEmpty():
-        second = second.unionByName(_undivided(labelled(large), labels, tokens))
-    second = stored(spark, second.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        missing = _ends(second).join(involved, "id", "left_anti")
-        if not missing.isEmpty():
+        members = stored(spark, _undivided(labelled(large), labels), "undivided")
+        if not members.isEmpty():
+            missing = members.select("id").distinct().join(involved, "id", "left_anti")
             sets = sets.unionByName(sets_of(missing))
-        more = stored(spark, _confirmed(second, sets), "links")
-        if not more.isEmpty():
-            labels = components(links.unionByName(more))
+            blocks = members.join(sets, "id").select(*_MEMBER, "block", "ask_block")
+            second = second.unionByName(blocks.groupBy("node", "block", "ask_block").applyInPandas(_across, _PAIR))
+    second = stored(spark, second.distinct(), "links")
+    if not second.isEmpty():
+        labels = components(links.unionByName(second))
     of_class = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     of_class = stored(spark, of_class, "components")
     narrow = rows.select("doc_id", "n_shingles", "digest")
@@ -345,19 +386,26 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _undivided(members: DataFrame, labels: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Candidates of members that are not in the common member's component, with all members, in blocks."""
+def _undivided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of large nodes in blocks; those outside the common member's component ask all blocks of the node."""
     of_common = labels.select(F.col("id").alias("common"), F.col("component").alias("common_component"))
     members = members.join(of_common, "common", "left")
     members = members.withColumn("apart", F.col("component") != F.coalesce("common_component", "common"))
-    members = members.withColumn("blocks", F.ceil(F.col("n") / NODE_ROWS).cast("int")).join(tokens, "id")
-    nodes = members.where("apart").select("node").distinct()
-    members = members.join(nodes, "node", "left_semi")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    columns = ["node", "id", "tokens", "component"]
-    held = members.select(*columns, own.alias("block"), F.lit(False).alias("asks"))
-    asked = members.where("apart").select(*columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"))
-    return held.unionByName(asked).groupBy("node", "block").applyInPandas(_across, _PAIR)
+    apart = members.where("apart").groupBy("node").agg(F.ceil(F.count("*") / NODE_ROWS).cast("int").alias("ask_blocks"))
+    members = members.join(apart, "node").withColumn("blocks", F.ceil(F.col("n") / NODE_ROWS).cast("int"))
+
+    def own(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
+
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    columns = ["node", "id", "component"]
+    held = members.select(*columns, F.lit(False).alias("asks"), own("blocks").alias("block"), every("ask_blocks").alias("ask_block"))
+    asked = members.where("apart").select(
+        *columns, F.lit(True).alias("asks"), every("blocks").alias("block"), own("ask_blocks").alias("ask_block")
+    )
+    return held.unionByName(asked)
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
