@@ -158,7 +158,7 @@ def _matrix(tokens: pd.Series) -> np.ndarray:
 def _chosen(node: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For nodes, the positions they branch on: one each, and a second one for so many that 1 / threshold is the mean."""
     first = (_mixed(node + _GOLDEN) % np.uint64(TOKENS)).astype(np.int64)
-    draw = _mixed(node + _GOLDEN * np.uint64(2))
+    draw = _mixed(_mixed(node) + _GOLDEN)
     second = (first + 1 + (draw >> np.uint64(32)).astype(np.int64) % (TOKENS - 1)) % TOKENS
     also = (draw & np.uint64(0xFFFF)) < np.uint64(int((1 / _T - 1) * 65536))
     return [(np.ones(len(node), dtype=bool), first), (also, second)]

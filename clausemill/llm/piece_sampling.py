@@ -118,7 +118,7 @@ class Sampler:
         self.nodes = 0
         self.keys = np.zeros(0)  # for each edge, its end node plus the share of weight up to it
         self.start = np.zeros(0, dtype=np.int64)
-        self.piece = np.zeros(0, dtype=np.int32)  # or minus the code point of a character without a piece
+        self.piece = np.zeros(0, dtype=np.int32)  # or -1 minus the code point of a character without a piece
 
     def _learn(self) -> None:
         """Forward filtering of the new units, all at once."""
@@ -146,7 +146,7 @@ class Sampler:
                 missing = at[~hit]
                 starts.append(node[missing])
                 ends.append(node[missing] + 1)
-                pieces.append(-codes[missing].astype(np.int32))
+                pieces.append(-1 - codes[missing].astype(np.int32))
                 size = 1 + (codes[missing] > 0x7F) + (codes[missing] > 0x7FF) + (codes[missing] > 0xFFFF)
                 weights.append(self.byte_weight * size)
                 ends_at.append(offset[missing] + 1)
@@ -212,7 +212,7 @@ class Sampler:
         if not len(spelled):
             return out, counts
         unit = np.repeat(np.arange(len(counts)), counts)
-        encoded = [chr(-c).encode("utf-8", "surrogatepass") for c in out[spelled].tolist()]
+        encoded = [chr(-1 - c).encode("utf-8", "surrogatepass") for c in out[spelled].tolist()]
         sizes = np.ones(len(out), dtype=np.int64)
         sizes[spelled] = [len(b) for b in encoded]
         longer = np.repeat(out, sizes)
