@@ -72,11 +72,11 @@ def _bucket(spark: SparkSession, folder: str, bucket: str) -> DataFrame:
 
 @query(
     "c1_seeded_order",
-    _with(_SPLIT, select="SELECT clause_id, row_number() OVER (PARTITION BY label ORDER BY key, clause_id) AS place FROM keyed QUALIFY place <= 50"),
+    _with(_SPLIT, select="SELECT label, clause_id, key FROM keyed"),
 )
 def seeded_order(spark, folder):
     rows = star.store(spark, folder).select("label", "clause_id", shuffle_key(F.col("clause_id")).alias("key"))
-    return first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 50, "place").select("clause_id", "place")
+    return rows
 
 
 @query("c2_company_split", _with(_SPLIT, select="SELECT cik, point, bucket FROM assignments"))
@@ -112,11 +112,11 @@ def bucket_filter(spark, folder):
 
 @query(
     "w7_company_turns",
-    _with(_SPLIT, select="SELECT clause_id, row_number() OVER (PARTITION BY label, cik ORDER BY key, clause_id) AS turn FROM keyed QUALIFY turn <= 3"),
+    _with(_SPLIT, select=f"SELECT clause_id, row_number() OVER (PARTITION BY label, cik ORDER BY key, clause_id) AS turn FROM keyed QUALIFY turn <= {SIZES.train_company_cap}"),
 )
 def company_turns(spark, folder):
     rows = star.store(spark, folder).select("label", "cik", "clause_id", shuffle_key(F.col("clause_id")).alias("key"))
-    return first_k(rows, ["label", "cik"], [F.col("key"), F.col("clause_id")], 3, "turn").select("clause_id", "turn")
+    return first_k(rows, ["label", "cik"], [F.col("key"), F.col("clause_id")], SIZES.train_company_cap, "turn").select("clause_id", "turn")
 
 
 @query("c3_train_sample", _with(_SPLIT, _TRAIN, select="SELECT clause_id, cik, label FROM train"))

@@ -148,12 +148,12 @@ def path_keys(spark, folder):
 
 @query(
     "x1_exhibit_body",
-    """SELECT doc_id, lang <> 'de' AS had_preamble, 1 AS first_character FROM documents JOIN filings ON doc_id = o_orderkey""",
+    "SELECT doc_id, md5(CASE WHEN lang = 'de' THEN text ELSE chr(10) || text END) AS body FROM documents",
 )
 def body(spark, folder):
-    pages = star.exhibits(spark, folder).withColumn("body", exhibit_body(F.col("raw")))
-    start = F.instr(F.ltrim("body", F.lit("\n")), "<!DOCTYPE html>")
-    return pages.select("doc_id", (F.length("body") < F.length("raw")).alias("had_preamble"), start.alias("first_character"))
+    start = F.when(F.col("lang") == "de", "").when(F.col("lang") == "es", "<document>\n<text>\n").otherwise("<DOCUMENT>\n<TYPE>EX-10\n<TEXT>\n")
+    pages = star.table(spark, folder, "documents").select("doc_id", F.concat(start, "text").alias("raw"))
+    return pages.select("doc_id", F.md5(exhibit_body(F.col("raw"))).alias("body"))
 
 
 @query("x2_exhibit_lines", "SELECT doc_id, i, line FROM lines")
@@ -259,7 +259,7 @@ def levels(spark, folder):
     _with(
         _DOC_LINES,
         select="SELECT doc_id, i, lag(length(line)) OVER w AS before, lead(length(line)) OVER w AS after "
-        "FROM doc_lines WINDOW w AS (PARTITION BY doc_id ORDER BY i) QUALIFY before IS NOT NULL AND after IS NOT NULL",
+        "FROM doc_lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)",
     ),
 )
 def neighbours(spark, folder):
@@ -269,8 +269,7 @@ def neighbours(spark, folder):
         "lengths",
         lambda _, i: F.struct(i.alias("i"), F.get("lengths", i - 1).alias("before"), F.get("lengths", i + 1).alias("after")),
     )
-    both = F.filter(around, lambda x: x["before"].isNotNull() & x["after"].isNotNull())
-    return X.array_rows(lengths, both, "i", "doc_id")
+    return X.array_rows(lengths, around, "i", "doc_id")
 
 
 # --- headers to clauses ------------------------------------------------------------------------

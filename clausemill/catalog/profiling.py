@@ -11,7 +11,10 @@ from clausemill.operators import checks as U
 from clausemill.operators import profile as A
 from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, with_filing_date, with_industry
 from clausemill.operators.topk import latest_per_key
-from clausemill.operators.upsert import is_loadable, load, rejected, upsert_manifest, upsert_rows
+from clausemill.operators.upsert import load, rejected, upsert_manifest, upsert_rows
+from clausemill.plans.store import build_store
+from clausemill.session import scratch_path
+from clausemill.sources.tables import read_store
 
 KEY = ["accession", "filename", "label", "section_header"]
 
@@ -54,6 +57,44 @@ def keyed_load(spark, folder):
     return _slim(star.store(spark, folder))
 
 
+def _load(spark: SparkSession, folder: str, rows: DataFrame, path: str, recreate: bool = False):
+    return build_store(
+        rows, star.companies(spark, folder), star.filing_dates(spark, folder), path, load_order=star.LOAD_ORDER, recreate=recreate
+    )
+
+
+def _half(rows: DataFrame, which: int) -> DataFrame:
+    """The clauses of filings whose digest is even or odd; a clause id belongs to one filing."""
+    return rows.where(F.pmod(F.conv(F.substring(F.md5("accession"), 1, 4), 16, 10).cast("int"), F.lit(2)) == which)
+
+
+@query("k4_load_twice", f"SELECT {_SLIM_SQL} FROM store")
+def load_twice(spark, folder):
+    path, rows = scratch_path(spark, "store"), star.clauses(spark, folder)
+    _load(spark, folder, rows, path)
+    _load(spark, folder, rows, path)
+    return _slim(read_store(spark, path))
+
+
+@query("k4_load_in_two_parts", f"SELECT {_SLIM_SQL} FROM store")
+def load_in_two_parts(spark, folder):
+    path, rows = scratch_path(spark, "store"), star.clauses(spark, folder)
+    for which in (0, 1):
+        _load(spark, folder, _half(rows, which), path)
+    return _slim(read_store(spark, path))
+
+
+@query(
+    "k5_rebuild",
+    f"SELECT {_SLIM_SQL} FROM store WHERE CAST('0x' || substr(md5(accession), 1, 4) AS INTEGER) % 2 = 1",
+)
+def rebuild(spark, folder):
+    path, rows = scratch_path(spark, "store"), star.clauses(spark, folder)
+    for which in (0, 1):
+        _load(spark, folder, _half(rows, which), path, recreate=True)
+    return _slim(read_store(spark, path))
+
+
 @query(
     "k4_refused_rows",
     "SELECT company, form_type, count(*) AS n FROM loaded WHERE company IS NULL GROUP BY ALL",
@@ -69,11 +110,14 @@ def refused(spark, folder):
     "SELECT count(*) AS offered, count(company) AS accepted, count(DISTINCT CASE WHEN company IS NOT NULL THEN clause_id END) AS stored FROM loaded",
 )
 def load_counts(spark, folder):
-    rows = star.loaded(spark, folder).withColumn("label", F.when(F.col("company").isNotNull(), F.col("label")))
-    return rows.agg(
-        F.count("*").alias("offered"),
-        F.count_if(is_loadable()).alias("accepted"),
-        F.count_distinct(F.when(is_loadable(), F.col("clause_id"))).alias("stored"),
+    # The counts of the job itself. Here the company name stands for a required column.
+    rows = star.clauses(spark, folder).withColumn("label", F.when(F.col("company").isNotNull(), F.col("label")))
+    path = scratch_path(spark, "store")
+    result = _load(spark, folder, rows, path)
+    return read_store(spark, path).agg(
+        F.lit(result.rows).cast("long").alias("offered"),
+        F.lit(result.rows - result.refused).cast("long").alias("accepted"),
+        F.count_distinct("clause_id").alias("stored"),
     )
 
 
@@ -82,7 +126,7 @@ def load_counts(spark, folder):
     """, finished AS (
   SELECT f.accession, f.filename, f.cik, c.c_mktsegment AS company, l.l_returnflag AS form_type, l.l_linestatus AS file_type, l.l_shipdate AS downloaded_at
   FROM lineitem l JOIN filings f ON l_orderkey = o_orderkey JOIN customer c ON f.cik = CAST(c.c_custkey AS VARCHAR)),
-old AS (SELECT * FROM manifest WHERE status = 'failed'),
+old AS (SELECT * FROM manifest),
 firsts AS (
   SELECT * FROM finished
   QUALIFY row_number() OVER (PARTITION BY accession, filename ORDER BY downloaded_at, cik, company, form_type, file_type) = 1),
@@ -97,7 +141,7 @@ FROM old o FULL JOIN firsts f ON o.accession = f.accession AND o.filename = f.fi
      LEFT JOIN lasts l ON l.accession = f.accession AND l.filename = f.filename""",
 )
 def manifest_upsert(spark, folder):
-    known = star.manifest(spark, folder).where(F.col("status") == "failed")
+    known = star.manifest(spark, folder)
     segment = star.table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("cik"), "c_mktsegment")
     finished = (
         star.table(spark, folder, "lineitem")
@@ -351,16 +395,19 @@ def top_companies(spark, folder):
     return A.top_terms(star.loaded(spark, folder), "company", 10)
 
 
-@query(
-    "a20_label_by_form",
-    "SELECT label, "
-    + ", ".join(f"count(*) FILTER (WHERE form_type = '{f}')::DOUBLE / count(form_type) AS \"{f}\"" for f in A.FORM_TYPES)
-    + " FROM loaded GROUP BY label",
-)
+_FORM_SHARES = "SELECT label, form_type, count(*) AS n, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY label) AS share"
+
+
+@query("a20_label_by_form", f"{_FORM_SHARES} FROM loaded WHERE form_type IS NOT NULL GROUP BY label, form_type")
 def label_by_form(spark, folder):
     return A.label_by_form(star.loaded(spark, folder))
 
 
+@query("a20_any_form", f"{_FORM_SHARES} FROM (SELECT label, coalesce(form_type, 'D') AS form_type FROM loaded) GROUP BY label, form_type")
+def label_by_any_form(spark, folder):
+    return A.label_by_form(star.loaded(spark, folder).withColumn("form_type", F.coalesce("form_type", F.lit("D"))))
+
+
 @query("a21_form_counts", "SELECT form_type, count(*) AS n FROM loaded WHERE form_type IS NOT NULL GROUP BY form_type")
 def form_counts(spark, folder):
     return A.count_by(star.loaded(spark, folder), "form_type")

@@ -74,6 +74,14 @@ def exhibit_listing(spark, folder):
     return indexes.list_exhibits(index_pages(spark, folder))
 
 
+@query("s5_unreadable_pages", "SELECT cik, accession, 'TypeError' AS error_type FROM filings WHERE o_orderpriority = '5-LOW'")
+def unreadable_pages(spark, folder):
+    low = star.filings(spark, folder).where(F.col("o_orderpriority") == "5-LOW").select("accession", F.lit(True).alias("lost"))
+    pages = index_pages(spark, folder).join(low, "accession", "left").withColumn("html", F.when(F.col("lost").isNull(), F.col("html")))
+    found = indexes.unreadable_pages(pages.drop("lost"))
+    return found.select("cik", "accession", F.substring_index("error", ":", 1).alias("error_type"))
+
+
 def submissions(spark: SparkSession, folder: str) -> DataFrame:
     """One submissions document per filing; low-priority ones name two accessions but one date, pending
     ones have no recent filings, annual reports no industry."""
@@ -100,6 +108,26 @@ def submission_companies(spark, folder):
     return indexes.companies_from(indexes.parse_submissions(submissions(spark, folder)))
 
 
+def _broken_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Submissions of which those with an odd last digit are missing, cut off or no JSON."""
+    digit = F.substring("cik", -1, 1)
+    broken = F.when(digit == "1", None).when(digit == "3", "<html>503</html>").when(digit == "5", F.substring("body", 1, 8)).otherwise(F.col("body"))
+    return submissions(spark, folder).withColumn("body", broken)
+
+
+@query(
+    "s6_malformed_bodies",
+    "SELECT DISTINCT cik, right(cik, 1) IN ('1', '3', '5') AS asked_again FROM filings",
+)
+def malformed_bodies(spark, folder):
+    """The companies that J6 asks for again after a load of broken bodies."""
+    bodies = _broken_bodies(spark, folder)
+    known = indexes.companies_from(indexes.parse_submissions(bodies))
+    every = star.filings(spark, folder).select("cik")
+    again = L.unknown_companies(every, known).select("cik", F.lit(True).alias("again"))
+    return every.distinct().join(again, "cik", "left").select("cik", F.coalesce("again", F.lit(False)).alias("asked_again"))
+
+
 @query(
     "s6_submission_dates",
     "SELECT cik, accession, strftime(o_orderdate, '%Y-%m-%d') AS filing_date FROM filings WHERE o_orderstatus <> 'P'",

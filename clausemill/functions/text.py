@@ -25,6 +25,7 @@ READ_RESULT = T.StructType([T.StructField("lines", T.ArrayType(T.StringType())),
 TABLE_ROWS = T.ArrayType(
     T.StructType([T.StructField("filename", T.StringType()), T.StructField("exhibit_type", T.StringType())])
 )
+TABLE_RESULT = T.StructType([T.StructField("rows", TABLE_ROWS), T.StructField("error", T.StringType())])
 
 _ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')|=)*+"""
 _MARKUP = re.compile(
@@ -124,16 +125,21 @@ def _document_rows(page: str) -> list[dict[str, str]]:
     ]
 
 
-@F.pandas_udf(TABLE_ROWS)
-def document_table(page: pd.Series) -> pd.Series:
-    """The rows of a filing's document table; an unreadable or missing page has none."""
-    def rows(text):
+@F.pandas_udf(TABLE_RESULT)
+def document_table(page: pd.Series) -> pd.DataFrame:
+    """The rows of a filing's document table, or the error that kept a page from being read."""
+    rows, errors = [], []
+    for text in page:
         try:
-            return _document_rows(text) if text is not None else []
-        except Exception:
-            return []
+            rows.append(_document_rows(text))
+            errors.append(None)
+        except Exception as problem:  # one bad page must not fail the job
+            rows.append(None)
+            errors.append(f"{type(problem).__name__}: {problem}")
+    return pd.DataFrame({"rows": rows, "error": errors})
+
 
-    return page.map(rows)
+document_table = document_table.asNondeterministic()
 
 
 def exhibit_body(raw: Column) -> Column:

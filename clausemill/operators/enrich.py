@@ -31,6 +31,12 @@ def with_filing_date(clauses: DataFrame, filing_dates: DataFrame) -> DataFrame:
     return clauses.join(broadcast_if_small(dates), ["cik", "accession"], "left")
 
 
+def first_per_key(dimension: DataFrame, *keys: str) -> DataFrame:
+    """K2: one row per key, so that a dimension with repeated keys does not multiply clauses."""
+    rest = [c for c in dimension.columns if c not in keys]
+    return dimension.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_last")).select(*keys, *[F.col(f"_last.{c}") for c in rest])
+
+
 def with_id_and_length(clauses: DataFrame) -> DataFrame:
     """K3: add ``clause_id`` and ``text_len``."""
     return clauses.withColumns({"clause_id": clause_id(), "text_len": F.length("text")})

@@ -7,6 +7,8 @@ quartiles need neither a sort of the corpus nor a group collected in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,6 @@ from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 
 # Fixed values of the profile.
 UNCLASSIFIED = ["", "0000"]
-FORM_TYPES = ["10-K", "10-Q", "8-K", "S-1"]
 LONG_TEXT = 10_000
 HISTOGRAM_LIMIT = 5_000
 HISTOGRAM_BINS = 60
@@ -60,8 +61,18 @@ def top_terms(rows: DataFrame, key: str, n: int = 20) -> DataFrame:
 
 
 def distinct_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows and distinct values per column, in one row."""
-    return rows.agg(F.count("*").alias("rows"), *[F.count_distinct(c).alias(f"distinct_{c}") for c in columns])
+    """Rows and distinct values per column, in one row.
+
+    Each column is grouped by itself, from a scan of that column alone; several distinct counts in one
+    aggregate would send every row through the shuffle once per column.
+    """
+    parts = []
+    for c in columns:
+        values = rows.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        parts.append(values.agg(F.sum("n").alias("rows"), F.count("value").alias("n")).withColumn("of", F.lit(c)))
+    every = reduce(DataFrame.unionByName, parts)
+    found = [F.max(F.when(F.col("of") == c, F.col("n"))).alias(f"distinct_{c}") for c in columns]
+    return every.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("rows"), *found)
 
 
 def null_counts(rows: DataFrame) -> DataFrame:
@@ -230,12 +241,11 @@ def companies_for_half(rows: DataFrame) -> DataFrame:
     )
 
 
-def label_by_form(rows: DataFrame, forms: list[str] = FORM_TYPES) -> DataFrame:
-    """Share of each form type within a label; an absent pair is 0."""
-    known = rows.where(F.col("form_type").isin(forms))
-    counts = known.groupBy("label").pivot("form_type", forms).agg(F.count(F.lit(1))).na.fill(0)
-    total = sum((F.col(f"`{form}`") for form in forms[1:]), F.col(f"`{forms[0]}`"))
-    return counts.select("label", *[F.try_divide(F.col(f"`{form}`"), total).alias(form) for form in forms])
+def label_by_form(rows: DataFrame) -> DataFrame:
+    """Rows and share of each form type within a label; a pair without rows has a share of 0 and no row."""
+    counts = rows.where(F.col("form_type").isNotNull()).groupBy("label", "form_type").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("label"))
+    return counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total))
 
 
 def is_unclassified() -> Column:

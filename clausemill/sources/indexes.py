@@ -59,29 +59,51 @@ def _document_url(cik: Column, accession: Column, filename: Column) -> Column:
     return F.concat_ws("/", F.lit(ARCHIVE), cik, F.replace(accession, F.lit("-"), F.lit("")), filename)
 
 
-def list_exhibits(pages: DataFrame, page: str = "html") -> DataFrame:
-    """Stored index pages (``cik, accession`` and the page) to the exhibits they list.
+def read_index_pages(pages: DataFrame, page: str = "html") -> DataFrame:
+    """Stored index pages (``cik, accession`` and the page) with ``rows`` of their table, or an ``error``.
 
-    The table is read by an Arrow UDF; the choice of exhibits and their address are native.
+    The table is read by an Arrow UDF.
     """
     kept = [c for c in pages.columns if c != page]
-    listed = pages.select(*kept, F.inline_outer(document_table(F.col(page))))
+    return pages.select(*kept, document_table(F.col(page)).alias("_table")).select(*kept, "_table.rows", "_table.error")
+
+
+def list_exhibits(pages: DataFrame, page: str = "html") -> DataFrame:
+    """Stored index pages to the exhibits they list."""
+    read = read_index_pages(pages, page)
+    kept = [c for c in read.columns if c not in ("rows", "error")]
+    listed = read.select(*kept, F.inline_outer("rows"))
     return listed.where(F.col("exhibit_type").rlike(EXHIBIT_TYPE)).withColumn(
         "url", _document_url(F.col("cik"), F.col("accession"), F.col("filename"))
     )
 
 
+def unreadable_pages(pages: DataFrame, page: str = "html") -> DataFrame:
+    """Pages that could not be read, with the reason, so that they are not taken for pages without exhibits."""
+    return read_index_pages(pages, page).where(F.col("error").isNotNull()).drop("rows")
+
+
+def _parsed(bodies: DataFrame, body: str) -> DataFrame:
+    options = {"columnNameOfCorruptRecord": "_malformed"}
+    parsed = F.from_json(F.col(body), f"{SUBMISSIONS}, _malformed string", options)
+    return bodies.withColumn("_s", parsed).withColumn("_good", F.col("_s").isNotNull() & F.col("_s._malformed").isNull())
+
+
 def parse_submissions(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """One JSON document per company to ``cik, sic, sic_description, recent``."""
-    parsed = F.from_json(F.col(body), SUBMISSIONS)
-    return bodies.select("cik", parsed.alias("s")).select(
+    """One JSON document per company to ``cik, sic, sic_description, recent``; malformed bodies give no row."""
+    return _parsed(bodies, body).where("_good").select(
         "cik",
-        F.col("s.sic").alias("sic"),
-        F.col("s.sicDescription").alias("sic_description"),
-        F.col("s.filings.recent").alias("recent"),
+        F.col("_s.sic").alias("sic"),
+        F.col("_s.sicDescription").alias("sic_description"),
+        F.col("_s.filings.recent").alias("recent"),
     )
 
 
+def malformed_submissions(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """Companies whose body could not be parsed or is missing; they stay unknown and are asked for again."""
+    return _parsed(bodies, body).where("NOT _good").select("cik", body)
+
+
 def companies_from(submissions: DataFrame) -> DataFrame:
     """The company dimension rows."""
     return submissions.select("cik", "sic", "sic_description")

@@ -14,6 +14,8 @@ from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.operators.extract import extract
 from clausemill.sources.exhibits import with_path_keys
 
+# Exhibits arrive in any order and may keep old times, so no file may be too old to be read.
+ANY_AGE = "36500d"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -23,6 +25,7 @@ def stream_exhibits(spark: SparkSession, folder: str, files_per_batch: int = 10_
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
         .load(f"{folder.rstrip('/')}/*/*/*.htm")
         .select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("raw"))
     )

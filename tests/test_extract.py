@@ -1,73 +1,119 @@
 import random
 import time
 
-import brute
 from pyspark.sql import functions as F
 
 from clausemill.functions import headers as H
 from clausemill.functions.taxonomy import CONTRACT_LABELS, CONTRACTS
 from clausemill.operators import extract as X
 
-PIECES = [
-    "1.", "2", "3.1", "(4.2)", "(5.2).", "6.1.1", "7.2.3.4", "12.", "2021", "9.3 ",
-    "Termination", "TERMINATION", "Governing Law", "Limitation of Liability", "CONFIDENTIAL", "Payment Terms,", "Force Majeure",
-    "Section 5 Indemnification", "Article 2 assignment", "ARTICLE IV - Assignment", "article iv-assignment of rights and duties here",
-    "5.1 Orders and Forecasts", "5.1  NOTICES", "8. the parties agree", "10.1. Choice of Law / Arbitration", "3.2 2020 Plan",
-    "Dispute Resolution....... 12", "Payment   7", "Warranty\t3", "Term 7", "Exhibit A", "Of the Company", "the Company Of",
-    "A B C D E F G H", "A B C D E F G H I", "Non-Disclosure", "of", "Ⅷ Schedule", "État Final", "ÉTAT ÜBER", "ABCDEFGHIj",
-    "ABCDEFGHIJKLMNOPQRSj", "x" * 101, "T" * 100, "T" * 101,
-    "This Agreement shall be governed by the laws of the state, whatever they are.",
-    "the licensee will make such payment within thirty days after the date of notice.",
-    "short body", "—", "$100", "“Termination”", "reassignment", "Reassignment Clause", "_warranty", "Pre_Payment Rules",
-]
+# Lines by hand: (line, plausible header, all capitals, title, labels).
+LINES = [
+    ("Termination", True, False, True, ["Termination"]),
+    ("TERMINATION", True, True, True, ["Termination"]),
+    ("Governing Law", True, False, True, ["Governing Law"]),
+    ("Law of the Land", True, False, True, []),
+    ("Land of the", True, False, False, []),
+    ("of Law", True, False, False, []),
+    ("Ships sail East", True, False, False, []),
+    ("One Two Three Four Five Six Seven Eight", True, False, True, []),
+    ("One Two Three Four Five Six Seven Eight Nine", True, False, False, []),
+    ("MILLS AND RIVERS x", True, True, False, []),
+    ("MILLS x", True, False, False, []),
+    ("ÜBER ÉTAT", True, True, True, []),
+    ("Termination ..... 12", False, False, False, ["Termination"]),
+    ("Warranty\t3", False, False, False, ["Warranty/Representations"]),
+    ("Payment 7", True, False, False, ["Payment Terms"]),
+    ("T" * 100, True, True, True, []),
+    ("T" * 101, False, True, True, []),
+    ("—", True, False, False, []),
+    ("reassignment of mills", True, False, False, []),
+]
+
+# Documents by hand: lines, and the headers (start, title, text, level) that they hold.
+BODY = "The parties agree to the terms that are set out in this section."
+DOCUMENTS = [
+    ([BODY, "Mills", BODY], [(1, 1, "Mills", 1)]),
+    (["3.", "RIVER RIGHTS", BODY], [(0, 1, "RIVER RIGHTS", 1)]),
+    (["(3.2)", "River Rights", BODY, "4.1.7", "no title here"], [(0, 1, "River Rights", 2)]),
+    (["3.2 River Rights", BODY], [(0, 0, "3.2 River Rights", 2)]),
+    (["Section 8 Grain", BODY], [(0, 0, "Section 8 Grain", 1)]),
+    (["3.2 the grain is ground", BODY], []),
+    (["ARTICLE IV the mill", "article of trade", BODY], [(0, 0, "ARTICLE IV the mill", 1)]),
+    (["7", "Grain Stores \t12", BODY], []),
+    ([], []),
+]
 
 
-def _documents(count, seed):
-    rng = random.Random(seed)
-    return [(n, [rng.choice(PIECES).strip() for _ in range(rng.randrange(0, 40))]) for n in range(count)]
+def _lines_table(spark, documents):
+    return spark.createDataFrame(list(enumerate(documents)), "doc int, lines array<string>").withColumn("error", F.lit(None).cast("string"))
 
 
-def test_line_tests_agree_with_brute_force(spark):
-    lines = sorted({p.strip() for p in PIECES})
-    rows = spark.createDataFrame([(line,) for line in lines], "line string")
+def test_line_tests_by_hand(spark):
     line = F.col("line")
-    got = rows.select(
+    got = spark.createDataFrame([(x[0],) for x in LINES], "line string").select(
         "line",
         H.is_plausible(line).alias("plausible"),
         H.is_all_caps(line).alias("caps"),
         H.is_title(line).alias("title"),
-        F.size(CONTRACTS.all_labels(line)).alias("labels"),
-        CONTRACTS.label_count(line).alias("label_count"),
+        CONTRACTS.all_labels(line).alias("labels"),
         CONTRACTS.first_label(line).alias("first"),
-    ).collect()
-    for row in got:
-        found = brute.labels(row["line"])
-        assert row["plausible"] == brute.plausible(row["line"]), row
-        assert row["caps"] == (brute.upper_share(row["line"]) > 0.9), row
-        assert row["title"] == brute.title(row["line"]), row
-        assert row["labels"] == row["label_count"] == len(found), row
-        assert row["first"] == (found[0] if found else None), row
-
-
-def test_headers_and_clauses_agree_with_a_scan_from_the_top(spark):
-    documents = _documents(1500, 7)
-    rows = spark.createDataFrame(documents, "doc int, lines array<string>").withColumn("error", F.lit(None).cast("string")).repartition(8)
-    heads = {}
+    )
+    found = {r["line"]: r for r in got.collect()}
+    for text, plausible, caps, title, labels in LINES:
+        r = found[text]
+        assert (r["plausible"], r["caps"], r["title"], r["first"]) == (plausible, caps, title, labels[0] if labels else None), r
+        assert len(r["labels"]) == len(labels), r
+
+
+def test_headers_by_hand(spark):
+    rows = _lines_table(spark, [lines for lines, _ in DOCUMENTS])
+    found = {}
     for r in X.header_rows(rows).collect():
-        heads.setdefault(r["doc"], []).append((r["start_idx"], r["title_idx"], r["header_text"], r["level"]))
-    found = {r["doc"]: [(c["label"], c["section_header"], c["text"], c["seq"]) for c in r["clauses"]] for r in X.with_clauses(rows).collect()}
-    for doc, lines in documents:
-        assert sorted(heads.get(doc, [])) == brute.headers(lines), lines
-        in_order = [c[:3] for c in sorted(found[doc], key=lambda c: c[3])]
-        assert in_order == brute.clauses(lines), lines
-    assert sum(map(len, found.values())) > 1000
+        found.setdefault(r["doc"], []).append((r["start_idx"], r["title_idx"], r["header_text"], r["level"]))
+    for doc, (_, expected) in enumerate(DOCUMENTS):
+        assert sorted(found.get(doc, [])) == expected, doc
 
 
-def _filing(*lines):
-    return "<DOCUMENT>\n<TYPE>EX-10\n<TEXT>\n<html><body>" + "".join(f"<p>{line}</p>" for line in lines) + "</body></html>"
+def _documents(count, seed):
+    """Documents of titles, numbers, contents rows and bodies in any order."""
+    rng = random.Random(seed)
+    pieces = ["1.", "2.3", "(4.5.6)", "TERMINATION", "Termination", "Payment Terms", "3.1 Grain Assignment", "Warranty\t8", "the end", BODY, BODY + " " + BODY]
+    return [[rng.choice(pieces) for _ in range(rng.randrange(40))] for _ in range(count)]
+
+
+def test_sections_end_where_an_equal_or_higher_rank_begins(spark):
+    documents = _documents(300, 7)
+    rows = X.with_sections(X.with_headers(_lines_table(spark, documents))).select("doc", "headers", "sections").collect()
+    seen = 0
+    for r in rows:
+        lines = documents[r["doc"]]
+        rank = {h["start_idx"]: h["level"] for h in r["headers"]}
+        for s in r["sections"]:
+            seen += 1
+            inside = [rank[i] for i in range(s["first_line"], s["end_line"]) if i in rank]
+            assert all(level > s["level"] for level in inside)
+            assert s["end_line"] == len(lines) or rank[s["end_line"]] <= s["level"]
+    assert seen > 500
+
+
+def test_kept_clauses_are_the_longest_of_their_header(spark):
+    documents = _documents(300, 8)
+    held = X.with_candidates(X.with_sections(X.with_headers(_lines_table(spark, documents))))
+    rows = X.keep_longest(held).select("doc", "candidates", "clauses").collect()
+    for r in rows:
+        groups = {}
+        for c in r["candidates"]:
+            assert len(c["text"]) >= 30 and c["text"] == " ".join(c["text"].split(" ")).strip()
+            groups.setdefault((c["label"], c["section_header"].lower().replace(" - ", "-")), []).append(c["text"])
+        kept = sorted(r["clauses"], key=lambda c: c["seq"])
+        assert len(kept) == len(groups)
+        for c, (key, texts) in zip(kept, groups.items(), strict=True):
+            assert (c["label"], c["text"]) == (key[0], max(texts, key=len))
 
 
-BODY = "The parties agree to the terms that are set out in this section."
+def _filing(*lines):
+    return "<DOCUMENT>\n<TYPE>EX-10\n<TEXT>\n<html><body>" + "".join(f"<p>{line}</p>" for line in lines) + "</body></html>"
 
 
 def _extract(spark, raws):
@@ -81,8 +127,8 @@ def test_mini_filings(spark):
         spark,
         [
             _filing("Short", "nothing here"),
-            _filing("ARTICLE VI - CONFIDENTIAL INFORMATION", "too short", "ARTICLE VI- CONFIDENTIAL INFORMATION", BODY, BODY),
-            _filing("9.5 Consequences of Termination", BODY),
+            _filing("ARTICLE IX - CONFIDENTIAL RECIPES", "too short", "ARTICLE IX- CONFIDENTIAL RECIPES", BODY, BODY),
+            _filing("4.2 Termination by the Miller", BODY),
             _filing("5", "TERMINATION", BODY, "5.1", "Payment After Termination", BODY, "6.", "NOTICES", BODY),
             _filing("CONFIDENTIAL", BODY),
             _filing("Termination......... 4", BODY),
@@ -90,8 +136,8 @@ def test_mini_filings(spark):
         ],
     )
     assert clauses == [
-        (1, "Confidentiality", "ARTICLE VI- CONFIDENTIAL INFORMATION", f"{BODY}\n{BODY}"),
-        (2, "Termination", "9.5 Consequences of Termination", BODY),
+        (1, "Confidentiality", "ARTICLE IX- CONFIDENTIAL RECIPES", f"{BODY}\n{BODY}"),
+        (2, "Termination", "4.2 Termination by the Miller", BODY),
         (3, "Termination", "TERMINATION", f"{BODY}\n5.1\nPayment After Termination\n{BODY}"),
         (3, "Termination", "Payment After Termination", BODY),
         (4, "Confidentiality", "CONFIDENTIAL", BODY),
@@ -100,7 +146,7 @@ def test_mini_filings(spark):
 
 
 def test_labels_are_in_the_taxonomy(spark):
-    clauses, _ = _extract(spark, [_filing(*lines) for _, lines in _documents(50, 3)])
+    clauses, _ = _extract(spark, [_filing(*lines) for lines in _documents(50, 3)])
     assert clauses and {c[1] for c in clauses} <= set(CONTRACT_LABELS)
 
 

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,8 +131,13 @@ def test_submissions(spark):
         ("1", '{"sic": "1000", "sicDescription": "Mining", "filings": {"recent": {"accessionNumber": ["a", "b"], "filingDate": ["2023-01-01"]}}}'),
         ("2", '{"filings": {}}'),
         ("3", '{"sic": "", "filings": {"recent": {"accessionNumber": ["c"]}}}'),
+        ("4", "<html>503</html>"),
+        ("5", None),
+        ("6", '{"sic": "10'),
     ]
-    parsed = indexes.parse_submissions(spark.createDataFrame(bodies, "cik string, body string"))
+    bodies = spark.createDataFrame(bodies, "cik string, body string")
+    assert sorted(r["cik"] for r in indexes.malformed_submissions(bodies).collect()) == ["4", "5", "6"]
+    parsed = indexes.parse_submissions(bodies)
     assert [tuple(r) for r in indexes.companies_from(parsed).orderBy("cik").collect()] == [("1", "1000", "Mining"), ("2", None, None), ("3", "", None)]
     assert [tuple(r) for r in indexes.filing_dates_from(parsed).collect()] == [("1", "a", "2023-01-01")]
 
@@ -138,6 +145,7 @@ def test_submissions(spark):
 def test_listing_without_a_table(spark):
     pages = spark.createDataFrame([("1", "a-1", "<html>nothing</html>"), ("1", "a-2", None)], "cik string, accession string, html string")
     assert indexes.list_exhibits(pages).count() == 0
+    assert [r["accession"] for r in indexes.unreadable_pages(pages).collect()] == ["a-2"]
 
 
 def test_stream_resumes(spark, raw, tmp_path):
@@ -154,6 +162,10 @@ def test_stream_resumes(spark, raw, tmp_path):
 
     _write(Path(raw), "4", "0000000004-23-000001", "new.htm", b"Assignment", BODY)
     assert run() == sorted([*first, ("new.htm", "Assignment")])
+    _write(Path(raw), "5", "0000000005-20-000001", "old.htm", b"Assignment", BODY)
+    month_ago = time.time() - 30 * 86400
+    os.utime(Path(raw) / "5" / "0000000005-20-000001" / "old.htm", (month_ago, month_ago))
+    assert ("old.htm", "Assignment") in run()
 
 
 # --- shape of the plans ------------------------------------------------------------------------

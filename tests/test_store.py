@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from clausemill.functions.ids import clause_id
 from clausemill.operators import profile as A
 from clausemill.operators import upsert as K
-from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, with_filing_date
+from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, first_per_key, with_filing_date
 from clausemill.operators.topk import first_k
 from clausemill.operators.worklist import next_documents, not_yet_done, quarters_backward, unknown_companies
 from clausemill.sources import schemas
@@ -58,6 +58,17 @@ def test_enrich_and_load(spark):
     assert corpus.select(clause_id()).distinct().count() == 2
 
 
+def test_dimensions_with_repeated_keys_do_not_multiply_clauses(spark):
+    companies = spark.createDataFrame([("1", "10", "a"), ("1", "20", "b"), ("2", None, None)], schemas.COMPANIES)
+    assert sorted(tuple(r) for r in first_per_key(companies, "cik").collect()) == [("1", "20", "b"), ("2", None, None)]
+
+
+def test_forms_of_a_label_add_up(spark):
+    rows = [("L", "10-K"), ("L", "10-K/A"), ("M", "10-KT"), ("M", None)]
+    found = A.label_by_form(spark.createDataFrame(rows, "label string, form_type string")).collect()
+    assert sorted((r["label"], r["form_type"], r["share"]) for r in found) == [("L", "10-K", 0.5), ("L", "10-K/A", 0.5), ("M", "10-KT", 1.0)]
+
+
 def test_large_dimensions_give_the_same_rows(spark, monkeypatch):
     corpus = spark.createDataFrame(CORPUS, schemas.CLAUSES)
     dates = spark.createDataFrame([("1", "a-23-1", "2023-02-03")], "cik string, accession string, filing_date string")
