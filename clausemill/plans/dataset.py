@@ -7,14 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clausemill.functions.ids import SAMPLE_SEED
+from clausemill.functions.ids import SAMPLE_SEED, SPLIT_SEED
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.operators.checks import misplaced, shared_companies, unknown_buckets
-from clausemill.operators.curate import assign_buckets, evaluation_candidates, of_bucket, stratified_sample, with_ambiguity
+from clausemill.operators.curate import (
+    assign_buckets,
+    evaluation_candidates,
+    in_bucket,
+    of_bucket,
+    picked,
+    shortfall,
+    stratified_sample,
+    with_ambiguity,
+)
 from clausemill.operators.enrich import ENRICHED_COLUMNS
 from clausemill.operators.profile import set_report
+from clausemill.session import scratch_path
 from clausemill.sources import schemas
-from clausemill.sources.tables import read_json_lines, write_assignments, write_json_lines
+from clausemill.sources.tables import read_assignments, read_json_lines, write_assignments, write_json_lines
 
 
 @dataclass(frozen=True)
@@ -28,11 +38,33 @@ class SetSizes:
     eval_per_category: int = 8
 
 
-def curated_sets(store: DataFrame, sizes: SetSizes = SetSizes(), seed: int = SAMPLE_SEED, taxonomy: Taxonomy = CONTRACTS) -> dict[str, DataFrame]:
-    """The three sets as DataFrames, ordered by label turn and pick."""
-    train = stratified_sample(of_bucket(store, "train"), sizes.train_per_category, sizes.train_company_cap, seed, taxonomy)
-    val = stratified_sample(of_bucket(store, "val"), sizes.val_per_category, sizes.val_company_cap, seed, taxonomy)
-    candidates = evaluation_candidates(of_bucket(store, "test"), sizes.eval_per_category, taxonomy)
+@dataclass(frozen=True)
+class DatasetResult:
+    """A26 per set and label, and C4 per set: what was wanted and found."""
+
+    report: DataFrame
+    shortfall: DataFrame
+
+
+def curated_sets(
+    store: DataFrame,
+    sizes: SetSizes = SetSizes(),
+    seed: int = SAMPLE_SEED,
+    taxonomy: Taxonomy = CONTRACTS,
+    split_seed: str = SPLIT_SEED,
+    assignments: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The three sets as DataFrames, ordered by label turn and pick.
+
+    Companies belong to the buckets of a recorded split, if ``assignments`` has one, else to those of ``split_seed``.
+    """
+
+    def members(bucket: str) -> DataFrame:
+        return of_bucket(store, bucket, split_seed) if assignments is None else in_bucket(store, assignments, bucket)
+
+    train = stratified_sample(members("train"), sizes.train_per_category, sizes.train_company_cap, seed, taxonomy)
+    val = stratified_sample(members("val"), sizes.val_per_category, sizes.val_company_cap, seed, taxonomy)
+    candidates = evaluation_candidates(members("test"), sizes.eval_per_category, taxonomy)
     return {
         "train": train.orderBy("ord", "position").select(*ENRICHED_COLUMNS),
         "val": val.orderBy("ord", "position").select(*ENRICHED_COLUMNS),
@@ -68,30 +100,41 @@ def check_sets(sets: DataFrame, assignments: DataFrame) -> None:
 
 
 def build_dataset(
-    spark: SparkSession, store: DataFrame, out: str, sizes: SetSizes = SetSizes(), seed: int = SAMPLE_SEED
-) -> DataFrame:
-    """Draw the sets, check them, write them, and return the report.
-
+    spark: SparkSession,
+    store: DataFrame,
+    out: str,
+    sizes: SetSizes = SetSizes(),
+    seed: int = SAMPLE_SEED,
+    split_seed: str = SPLIT_SEED,
+    assignments: DataFrame | None = None,
+    picked_ids: DataFrame | None = None,
+) -> DatasetResult:
+    """Draw the sets, check them, write them, and return the reports.
+
+    ``assignments`` is a recorded split that takes the place of the seed's. The evaluation set holds the
+    candidates whose ids a reviewer picked; before there are ``picked_ids`` it is neither written nor reported.
     The sets are bounded by ``sizes``, so they are kept between the checks and the write and the store
-    is scanned once per set. Nothing is written when a check fails.
+    is scanned once per set. Nothing is written to ``out`` when a check fails.
     """
-    assignments = assign_buckets(store)
-    sets = {name: rows.persist() for name, rows in curated_sets(store, sizes, seed).items()}
+    split_path = scratch_path(spark, "assignments")
+    write_assignments(assign_buckets(store, split_seed) if assignments is None else assignments, split_path)
+    recorded = read_assignments(spark, split_path)
+    drawn = curated_sets(store, sizes, seed, split_seed=split_seed, assignments=None if assignments is None else recorded)
+    sets = {name: rows.persist() for name, rows in drawn.items()}
     try:
         together = labelled_sets({"eval" if name == "eval_candidates" else name: rows for name, rows in sets.items()})
-        check_sets(together, assignments)
-        write_assignments(assignments, f"{out}/assignments")
+        check_sets(together, recorded)
+        write_assignments(recorded, f"{out}/assignments")
         for name, rows in sets.items():
             write_json_lines(rows, f"{out}/{name}.jsonl")
     finally:
         for rows in sets.values():
             rows.unpersist()
-    return set_report(
-        labelled_sets(
-            {
-                "train": read_json_lines(spark, f"{out}/train.jsonl"),
-                "val": read_json_lines(spark, f"{out}/val.jsonl"),
-                "eval": read_json_lines(spark, f"{out}/eval_candidates.jsonl", schemas.CANDIDATES),
-            }
-        )
-    )
+    written = {name: read_json_lines(spark, f"{out}/{name}.jsonl") for name in ("train", "val")}
+    if picked_ids is not None:
+        candidates = read_json_lines(spark, f"{out}/eval_candidates.jsonl", schemas.CANDIDATES)
+        write_json_lines(picked(candidates, picked_ids), f"{out}/eval.jsonl")
+        written["eval"] = read_json_lines(spark, f"{out}/eval.jsonl", schemas.CANDIDATES)
+    wanted = {"train": sizes.train_per_category, "val": sizes.val_per_category}
+    missing = [shortfall(spark, written[name], n).withColumn("set", F.lit(name)) for name, n in wanted.items()]
+    return DatasetResult(set_report(labelled_sets(written)), missing[0].unionByName(missing[1]))

@@ -100,9 +100,21 @@ def test_store_and_dataset_jobs(spark, folder, tmp_path):
     assert counts.first()["agree"] and top.count() == 10
 
     out = str(tmp_path / "curated")
-    report = build_dataset(spark, store, out, SetSizes(20, 4, 6, 2, 4))
-    totals = {r["set"]: r["examples"] for r in report.collect() if r["label"] == "(all)"}
-    assert totals["train"] <= 200 and totals["val"] <= 60 and totals["eval"] <= 40 and min(totals.values()) > 0
+    sizes = SetSizes(20, 4, 6, 2, 4)
+    result = build_dataset(spark, store, out, sizes)
+    totals = {r["set"]: r["examples"] for r in result.report.collect() if r["label"] == "(all)"}
+    assert set(totals) == {"train", "val"} and totals["train"] <= 200 and totals["val"] <= 60 and min(totals.values()) > 0
+    assert {r["set"]: 0 for r in result.shortfall.collect()} == {"train": 0, "val": 0}
+    candidates = tables.read_json_lines(spark, f"{out}/eval_candidates.jsonl", schemas.CANDIDATES)
+    picks = candidates.orderBy("clause_id").limit(5).select("clause_id")
+    again = str(tmp_path / "again")
+    recorded = assign_buckets(store, "another seed")
+    moved = build_dataset(spark, store, again, sizes, assignments=recorded, picked_ids=picks)
+    assert {r["set"] for r in moved.report.collect()} <= {"train", "val", "eval"}
+    train = tables.read_json_lines(spark, f"{again}/train.jsonl").select("cik").distinct().join(recorded, "cik")
+    assert [r["bucket"] for r in train.select("bucket").distinct().collect()] == ["train"]
+    third = build_dataset(spark, store, str(tmp_path / "third"), sizes, picked_ids=picks)
+    assert [r["examples"] for r in third.report.collect() if (r["set"], r["label"]) == ("eval", "(all)")] == [5]
     lines = [json.loads(line) for part in (tmp_path / "curated" / "train.jsonl").glob("part-*") for line in part.read_text().splitlines()]
     assert len(lines) == totals["train"] and all(set(schemas.ENRICHED.replace(",", "").split()[::2]) == set(line) for line in lines)
     with pytest.raises(LeakError):
