@@ -21,6 +21,9 @@ from clausemill.operators.sizes import BROADCAST_ROWS, is_small
 # Fixed value: shorter bodies are not clauses.
 MIN_CLAUSE_CHARS = 30
 
+# Ends of sections gathered at a time.
+EXTENT_BLOCK = 128
+
 CLAUSE_COLUMNS = ["label", "section_header", "text", "cik", "company", "form_type", "file_type", "accession", "filename", "filing_year"]
 
 
@@ -75,10 +78,15 @@ def _extent_ends(headers: Column, line_count: Column) -> Column:
     One walk from the last header to the first. ``next_start[k-1]`` is the start of the nearest later
     header with level <= k; a header reads its own level's entry and then overwrites that entry and
     all deeper ones. Levels are not limited: the state is as long as the document's deepest level.
+    An array that grows by one is copied each time, so ends are gathered in blocks of ``EXTENT_BLOCK``.
     """
     deepest = F.greatest(F.coalesce(F.array_max(F.transform(headers, lambda h: h["level"])), F.lit(1)), F.lit(1))
     nothing = F.array().cast("array<int>")
-    state = F.struct(F.array_repeat(line_count, deepest).alias("next_start"), nothing.alias("ends"))
+    state = F.struct(F.array_repeat(line_count, deepest).alias("next_start"), F.array().cast("array<array<int>>").alias("ends"))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(headers) - 1, F.lit(0)), F.lit(EXTENT_BLOCK)),
+        lambda at: F.slice(F.reverse(headers), at + 1, EXTENT_BLOCK),
+    )
 
     def step(seen: Column, header: Column) -> Column:
         level = header["level"]
@@ -90,7 +98,17 @@ def _extent_ends(headers: Column, line_count: Column) -> Column:
             F.concat(seen["ends"], F.array(F.get(seen["next_start"], level - 1))).alias("ends"),
         )
 
-    return F.reverse(F.aggregate(F.reverse(headers), state, step, lambda seen: seen["ends"]))
+    def block_step(seen: Column, block: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.struct(seen["next_start"].alias("next_start"), nothing.alias("ends")),
+            step,
+            lambda inner: F.struct(
+                inner["next_start"].alias("next_start"), F.concat(seen["ends"], F.array(inner["ends"])).alias("ends")
+            ),
+        )
+
+    return F.reverse(F.flatten(F.aggregate(blocks, state, block_step, lambda seen: seen["ends"])))
 
 
 def with_sections(documents: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -138,31 +156,41 @@ def keep_longest(documents: DataFrame) -> DataFrame:
     """One clause per label and header spelling of a document, as rows with ``seq``.
 
     Of the same header in a contents list and in the body the longer text stays, the earlier one on a
-    tie. ``seq`` is where the header first occurred. Sorting small keys (label and spelling, minus
-    length, position) puts the winner first in its run; the texts are fetched by position afterwards.
+    tie. ``seq`` is where the header first occurred. Small keys are sorted twice: with minus length and
+    position, which puts the winner first in its run, and with the position alone, which puts the first
+    occurrence there. Both orders have the same runs; the texts are fetched by position afterwards.
     """
-    candidates, keys, ranked = F.col("candidates"), F.col("_keys"), F.col("_ranked")
-    keyed = F.transform(candidates, lambda c: F.concat(c["label"], F.lit("\n"), header_key(c["section_header"])))
-    ranking = F.transform(
-        candidates, lambda c, i: F.struct(F.get(keys, i).alias("key"), (-F.length(c["text"])).alias("neg_len"), i.alias("at"))
+    candidates, ranked, placed = F.col("candidates"), F.col("_ranked"), F.col("_placed")
+    keyed = F.transform(
+        candidates,
+        lambda c, i: F.struct(
+            F.concat(c["label"], F.lit("\n"), header_key(c["section_header"])).alias("key"),
+            (-F.length(c["text"])).alias("neg_len"),
+            i.alias("at"),
+        ),
     )
-    winners = F.filter(ranked, lambda r, i: (i == 0) | (F.get(ranked, i - 1)["key"] != r["key"]))
+
+    def heads(runs: Column) -> Column:
+        return F.filter(runs, lambda r, i: (i == 0) | (F.get(runs, i - 1)["key"] != r["key"]))
+
     return (
-        documents.withColumn("_keys", keyed)
-        .withColumn("_ranked", F.array_sort(ranking))
+        documents.withColumn("_keyed", keyed)
+        .withColumn("_ranked", F.array_sort("_keyed"))
+        .withColumn("_placed", F.array_sort(F.transform("_keyed", lambda k: F.struct(k["key"].alias("key"), k["at"].alias("at")))))
         .withColumn(
             "clauses",
-            F.transform(
-                winners,
-                lambda r: F.struct(
-                    F.array_position(keys, r["key"]).cast("int").alias("seq"),
+            F.zip_with(
+                heads(ranked),
+                heads(placed),
+                lambda r, first: F.struct(
+                    (first["at"] + 1).alias("seq"),
                     F.get(candidates, r["at"])["label"].alias("label"),
                     F.get(candidates, r["at"])["section_header"].alias("section_header"),
                     F.get(candidates, r["at"])["text"].alias("text"),
                 ),
             ),
         )
-        .drop("_keys", "_ranked")
+        .drop("_keyed", "_ranked", "_placed")
     )
 
 
