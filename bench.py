@@ -78,8 +78,8 @@ def main() -> None:
     timed("top_industries", drain(profile.top_industries(store)))
     timed("null_counts", drain(profile.null_counts(store)))
     timed("duplicate_rows", drain(profile.duplicate_rows(store)))
-    timed("concentration", drain(profile.concentration(store)))
-    timed("companies_for_half", drain(profile.companies_for_half(store)))
+    timed("concentration", drain(profile.concentration(profile.company_sizes(store))))
+    timed("companies_for_half", drain(profile.companies_for_half(profile.company_sizes(store))))
 
     count = documents.count()
     print(

@@ -12,7 +12,6 @@ from clausemill.functions.ids import clause_id, filing_year, source_id
 from clausemill.functions.taxonomy import CONTRACT_KEYWORDS, CONTRACTS, Taxonomy
 from clausemill.functions.text import clean_spaces, exhibit_body
 from clausemill.operators import extract as X
-from clausemill.operators.enrich import completed
 from clausemill.operators.profile import documents_scanned, frequency_gate, label_frequencies
 from clausemill.sources.exhibits import with_path_keys
 
@@ -437,7 +436,7 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
 )
 def completed_documents(spark, folder):
     documents = star.exhibits(spark, folder).select("doc_id", "accession", "filename")
-    return completed(documents, star.manifest(spark, folder)).select("doc_id", "company", "form_type", "file_type")
+    return documents.join(X.completed(star.manifest(spark, folder)), ["accession", "filename"]).select("doc_id", "company", "form_type", "file_type")
 
 
 @query(

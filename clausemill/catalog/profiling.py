@@ -12,6 +12,7 @@ from clausemill.operators import profile as A
 from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, with_filing_date, with_industry
 from clausemill.operators.topk import latest_per_key
 from clausemill.operators.upsert import load, rejected, upsert_manifest, upsert_rows
+from clausemill.plans.profile import build_profile
 from clausemill.plans.store import build_store
 from clausemill.session import scratch_path
 from clausemill.sources.tables import read_store
@@ -348,7 +349,7 @@ def label_medians(spark, folder):
     "SELECT quantile_cont(n, 0.5) AS median_size FROM (SELECT count(*) AS n FROM loaded WHERE company IS NOT NULL GROUP BY company)",
 )
 def median_company_size(spark, folder):
-    return A.median_company_size(star.loaded(spark, folder))
+    return A.median_company_size(A.company_sizes(star.loaded(spark, folder)))
 
 
 @query(
@@ -471,7 +472,7 @@ _SIZES = ", sizes AS (SELECT company, count(*) AS n FROM loaded WHERE company IS
        100.0::DOUBLE * sum(n) OVER (ORDER BY n DESC ROWS UNBOUNDED PRECEDING) / sum(n) OVER () AS running_pct FROM sizes""",
 )
 def concentration(spark, folder):
-    return A.concentration(star.loaded(spark, folder)).drop("company")
+    return A.concentration(A.company_sizes(star.loaded(spark, folder))).drop("company")
 
 
 @query(
@@ -482,7 +483,7 @@ SELECT count(*) FILTER (WHERE below) + 1 AS n_for_half, count(*) AS companies,
        100.0::DOUBLE * (count(*) FILTER (WHERE below) + 1) / count(*) AS pct_of_companies FROM curve""",
 )
 def companies_for_half(spark, folder):
-    return A.companies_for_half(star.loaded(spark, folder))
+    return A.companies_for_half(A.company_sizes(star.loaded(spark, folder)))
 
 
 @query(
@@ -490,7 +491,7 @@ def companies_for_half(spark, folder):
     _SIZES + "SELECT row_number() OVER (ORDER BY n DESC, substr(md5(company), 1, 2), company) AS rank, company, n FROM sizes",
 )
 def company_ranks(spark, folder):
-    return A.concentration(star.loaded(spark, folder)).select("rank", "company", "n")
+    return A.concentration(A.company_sizes(star.loaded(spark, folder))).select("rank", "company", "n")
 
 
 @query(
@@ -509,3 +510,29 @@ def reconciliation(spark, folder):
 def distinct_reconciliation(spark, folder):
     rows = star.loaded(spark, folder)
     return U.reconcile(rows.select("clause_id").distinct(), load(rows, [F.desc(c) for c in star.LOAD_ORDER]))
+
+
+@query(
+    "w3_profile_job",
+    _SIZES.replace("FROM loaded", "FROM store")
+    + """, medians AS (SELECT label, median(text_len) AS median_len, count(*) AS n FROM store GROUP BY label)
+SELECT 'label' AS part, label AS key, n, median_len::DOUBLE AS value FROM medians
+UNION ALL SELECT 'form', form_type, count(*), NULL FROM store WHERE form_type IS NOT NULL GROUP BY form_type
+UNION ALL SELECT 'companies', NULL, count(*), median(n)::DOUBLE FROM sizes
+UNION ALL SELECT 'long', NULL, CAST(count_if(text_len > 10000) AS BIGINT), 100.0::DOUBLE * count_if(text_len > 10000) / count(*) FROM store""",
+)
+def profile_job(spark, folder):
+    """Some of the tables that the profile job writes for the loaded store."""
+    path = scratch_path(spark, "store")
+    _load(spark, folder, star.clauses(spark, folder), path)
+    paths = build_profile(spark, read_store(spark, path), scratch_path(spark, "profile"))
+    made = {name: spark.read.parquet(place) for name, place in paths.items()}
+    nothing = F.lit(None)
+    labels = made["label_shares"].join(made["label_medians"], "label")
+    companies = made["companies_for_half"].withColumn("median_size", made["median_company_size"].scalar())
+    return (
+        labels.select(F.lit("label").alias("part"), F.col("label").alias("key"), "n", F.col("median_len").alias("value"))
+        .unionByName(made["form_types"].select(F.lit("form").alias("part"), F.col("form_type").alias("key"), "n", nothing.cast("double").alias("value")))
+        .unionByName(companies.select(F.lit("companies").alias("part"), nothing.cast("string").alias("key"), F.col("companies").alias("n"), F.col("median_size").alias("value")))
+        .unionByName(made["over_length"].select(F.lit("long").alias("part"), nothing.cast("string").alias("key"), F.col("over").alias("n"), F.col("pct").alias("value")))
+    )

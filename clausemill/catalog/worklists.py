@@ -10,6 +10,8 @@ from clausemill.catalog.extraction import _CANDIDATES, _CORPUS, _FOUND, _HEADERS
 from clausemill.catalog.registry import query
 from clausemill.operators import worklist as L
 from clausemill.plans.corpus import build_corpus
+from clausemill.plans.dimensions import backfill
+from clausemill.plans.worklist import next_work, record_finished
 from clausemill.session import scratch_path
 from clausemill.sources import indexes, tables
 
@@ -231,3 +233,64 @@ def filings_per_quarter(spark, folder):
     counts = listed.groupBy("year", "quarter").agg(F.count("*").alias("filings"))
     back = L.quarters_backward(spark, newest["year"], newest["quarter"])
     return back.join(counts, ["year", "quarter"], "left").na.fill(0, ["filings"])
+
+
+# --- jobs --------------------------------------------------------------------------------------
+
+
+@query(
+    "j6_backfill_job",
+    """, unknown AS (SELECT DISTINCT cik FROM clauses WHERE cik NOT IN (SELECT cik FROM companies)),
+bodies AS (SELECT cik, CASE WHEN form_type IS DISTINCT FROM '10-K' THEN file_type END AS sic, company AS sic_description FROM filings
+  WHERE cik IN (SELECT cik FROM unknown) AND right(cik, 1) NOT IN ('1', '3', '5')),
+new_dates AS (SELECT cik, accession, CAST(o_orderdate AS DATE) AS filing_date FROM filings
+  WHERE o_orderstatus <> 'P' AND cik IN (SELECT cik FROM bodies))
+SELECT 'company' AS kind, cik, sic AS key, sic_description AS value FROM companies
+UNION ALL SELECT 'company', * FROM bodies QUALIFY row_number() OVER (PARTITION BY cik ORDER BY sic DESC NULLS LAST, sic_description DESC NULLS LAST) = 1
+UNION ALL SELECT 'date', cik, accession, CAST(TRY_CAST(filing_date AS DATE) AS VARCHAR) FROM filing_dates
+  WHERE (cik, accession) NOT IN (SELECT cik, accession FROM new_dates)
+UNION ALL SELECT 'date', cik, accession, CAST(filing_date AS VARCHAR) FROM new_dates
+UNION ALL SELECT DISTINCT 'malformed', cik, NULL, NULL FROM filings WHERE cik IN (SELECT cik FROM unknown) AND right(cik, 1) IN ('1', '3', '5')""",
+)
+def backfill_job(spark, folder):
+    """Both dimensions after a backfill from bodies of which some are broken."""
+    corpus = star.filings(spark, folder).join(
+        star.table(spark, folder, "lineitem").select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"
+    )
+    bodies = _broken_bodies(spark, folder)
+    out = scratch_path(spark, "backfill")
+    done = backfill(spark, corpus.select("cik"), bodies, star.companies(spark, folder), star.filing_dates(spark, folder), out)
+    companies = tables.read_companies(spark, done.companies_path)
+    dates = tables.read_filing_dates(spark, done.filing_dates_path)
+    malformed = spark.read.schema("cik string, body string").parquet(done.malformed_path).select("cik").distinct()
+    nothing = F.lit(None).cast("string")
+    return (
+        companies.select(F.lit("company").alias("kind"), "cik", F.col("sic").alias("key"), F.col("sic_description").alias("value"))
+        .unionByName(dates.select(F.lit("date").alias("kind"), "cik", F.col("accession").alias("key"), F.col("filing_date").cast("string").alias("value")))
+        .unionByName(malformed.select(F.lit("malformed").alias("kind"), "cik", nothing.alias("key"), nothing.alias("value")))
+    )
+
+
+@query(
+    "c6_work_list_job",
+    """, listed AS (
+  SELECT accession, 'second&' || filename AS filename, cik, company, form_type, 'ex-10.22' AS file_type, 'done' AS status, o_orderdate, o_orderkey FROM filings
+  WHERE o_orderstatus <> 'P' AND form_type IS NOT NULL AND company IS NOT NULL AND o_orderpriority <> '3-MEDIUM' AND extract(year FROM o_orderdate) >= 2001),
+fetched AS (
+  SELECT accession, filename, cik, company, form_type, file_type, status FROM listed
+  ORDER BY extract(year FROM o_orderdate) DESC, extract(quarter FROM o_orderdate) DESC, o_orderkey LIMIT 500)
+SELECT accession, filename, cik, company, form_type, file_type, status FROM manifest UNION ALL SELECT * FROM fetched""",
+)
+def work_list_job(spark, folder):
+    """The manifest after the next 500 documents were fetched; the first exhibit of each page is completed already.
+
+    Quarters before the first one covered (2001) are never walked.
+    """
+    days = star.filings(spark, folder).select("o_orderkey", F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"))
+    lines = index_lines(spark, folder).join(days, "o_orderkey").withColumnRenamed("o_orderkey", "position")
+    newest = days.agg(F.max(F.struct("year", "quarter")).alias("q")).select("q.*").first()
+    filings, manifest = indexes.parse_index_lines(lines), star.manifest(spark, folder)
+    fetched = next_work(spark, filings, index_pages(spark, folder), manifest, newest["year"], newest["quarter"], 500)
+    out = scratch_path(spark, "manifest")
+    record_finished(manifest, fetched, F.lit("2024-01-01"), out)
+    return spark.read.parquet(out).drop("downloaded_at")

@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.functions.ids import SAMPLE_SEED, SPLIT_SEED, ambiguity_score, shuffle_key, split_bucket
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
-from clausemill.operators.sizes import broadcast_if_small
 from clausemill.operators.topk import first_k
 from clausemill.session import scratch_path
 
-# ``_draw`` travels to the executors by value, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Up to this many short rows the last, sequential part of a sample runs in one task.
-ONE_TASK_ROWS = 500_000
-
 
 def assign_buckets(clauses: DataFrame, seed: str = SPLIT_SEED) -> DataFrame:
     """One ``(cik, bucket)`` row per company."""
@@ -30,7 +19,7 @@ def assign_buckets(clauses: DataFrame, seed: str = SPLIT_SEED) -> DataFrame:
 def in_bucket(clauses: DataFrame, assignments: DataFrame, bucket: str) -> DataFrame:
     """Clauses of the companies that a recorded assignment puts in a bucket."""
     members = assignments.where(F.col("bucket") == bucket).select("cik")
-    return clauses.join(broadcast_if_small(members), "cik", "left_semi")
+    return clauses.join(members, "cik", "left_semi")
 
 
 def of_bucket(clauses: DataFrame, bucket: str, seed: str = SPLIT_SEED) -> DataFrame:
@@ -40,7 +29,7 @@ def of_bucket(clauses: DataFrame, bucket: str, seed: str = SPLIT_SEED) -> DataFr
 
 def picked(candidates: DataFrame, picked_ids: DataFrame) -> DataFrame:
     """Candidates a reviewer chose."""
-    return candidates.join(broadcast_if_small(picked_ids.select("clause_id")), "clause_id", "left_semi")
+    return candidates.join(picked_ids.select("clause_id"), "clause_id", "left_semi")
 
 
 def sample_pool(clauses: DataFrame, per_category: int, company_cap: int, seed: int, taxonomy: Taxonomy) -> DataFrame:
@@ -63,69 +52,39 @@ def sample_pool(clauses: DataFrame, per_category: int, company_cap: int, seed: i
     )
 
 
-def _draw(pool: pd.DataFrame, per_category: int, company_cap: int) -> pd.DataFrame:
-    """Label after label: the first rows whose company still has room."""
-    used: pd.Series = pd.Series(dtype="int64")
-    drawn = []
-    for _, rows in pool.sort_values(["ord", "position"]).groupby("ord"):
-        room = company_cap - rows["cik"].map(used).fillna(0)
-        chosen = rows[rows["turn"] <= room].head(per_category)
-        used = used.add(chosen["cik"].value_counts(), fill_value=0)
-        drawn.append(chosen)
-    return pd.concat(drawn)[["ord", "clause_id", "position"]]
-
-
-def _draw_in_stages(pool: DataFrame, per_category: int, company_cap: int, labels: int) -> DataFrame:
-    """The same draw for samples too large for one task: one distributed stage per label.
+def sample_picks(
+    clauses: DataFrame, per_category: int, company_cap: int, seed: int = SAMPLE_SEED, taxonomy: Taxonomy = CONTRACTS
+) -> DataFrame:
+    """``(ord, clause_id, position)`` of the sampled rows.
 
-    Each stage's picks are written to the shared folder, so a lost executor costs one stage.
+    Labels take turns in reporting order. Within a label rows come in the seeded order, a row is
+    passed over when its company already has ``company_cap`` picks under any label, and the label
+    stops at ``per_category`` picks. The pool is written once, and each label is one small distributed
+    stage whose picks are written to the shared folder, so a lost executor costs one stage.
     """
-    spark = pool.sparkSession
-    path = scratch_path(spark, "sample-pool")
+    spark = clauses.sparkSession
+    path, folder = scratch_path(spark, "sample-pool"), scratch_path(spark, "sample-picks")
+    pool = sample_pool(clauses, per_category, company_cap, seed, taxonomy)
     pool.write.partitionBy("ord").parquet(path)
     pool = spark.read.schema(pool.schema).parquet(path)
-    folder = scratch_path(spark, "sample-picks")
-    schema = pool.schema
-    drawn = spark.createDataFrame([], schema)
-    for ordinal in range(labels):
+    names = pool.columns
+    drawn = spark.createDataFrame([], pool.schema)
+    for ordinal in range(len(taxonomy.labels)):
         used = drawn.groupBy("cik").agg(F.count("*").alias("used"))
         eligible = (
             pool.where(F.col("ord") == ordinal)
             .join(used, "cik", "left")
             .where(F.col("turn") <= company_cap - F.coalesce("used", F.lit(0)))
-            .select(*schema.names)
+            .select(*names)
         )
         eligible.orderBy("position").limit(per_category).write.parquet(f"{folder}/stage={ordinal}")
-        drawn = spark.read.schema(schema).parquet(*[f"{folder}/stage={done}" for done in range(ordinal + 1)])
+        drawn = spark.read.schema(pool.schema).parquet(*[f"{folder}/stage={done}" for done in range(ordinal + 1)])
     return drawn.select("ord", "clause_id", "position")
 
 
-def sample_picks(
-    clauses: DataFrame,
-    per_category: int,
-    company_cap: int,
-    seed: int = SAMPLE_SEED,
-    taxonomy: Taxonomy = CONTRACTS,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """``(ord, clause_id, position)`` of the sampled rows.
-
-    Labels take turns in reporting order. Within a label rows come in the seeded order, a row is
-    passed over when its company already has ``company_cap`` picks under any label, and the label
-    stops at ``per_category`` picks.
-    """
-    labels = len(taxonomy.labels)
-    pool = sample_pool(clauses, per_category, company_cap, seed, taxonomy)
-    if per_category * labels * (labels + 1) // 2 > one_task_rows:
-        return _draw_in_stages(pool, per_category, company_cap, labels)
-    return pool.groupBy().applyInPandas(
-        lambda rows: _draw(rows, per_category, company_cap), "ord int, clause_id string, position int"
-    )
-
-
-def _whole_rows(clauses: DataFrame, chosen: DataFrame, most: int) -> DataFrame:
-    """Fetch the wide rows of at most ``most`` chosen ids; broadcast only while that bound is small."""
-    return clauses.join(F.broadcast(chosen) if most <= ONE_TASK_ROWS else chosen, "clause_id")
+def _whole_rows(clauses: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Fetch the wide rows of chosen ids. They come from a written table, whose size lets the planner broadcast it."""
+    return clauses.join(chosen, "clause_id")
 
 
 def stratified_sample(
@@ -136,7 +95,7 @@ def stratified_sample(
     The choice runs on ids; the texts are read once more for the chosen rows only.
     """
     chosen = sample_picks(clauses, per_category, company_cap, seed, taxonomy)
-    return _whole_rows(clauses, chosen, per_category * len(taxonomy.labels))
+    return _whole_rows(clauses, chosen)
 
 
 def shortfall(spark, sampled: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -168,7 +127,9 @@ def evaluation_candidates(clauses: DataFrame, per_category: int, taxonomy: Taxon
     )
     order = [F.desc("ambiguity_score"), F.asc("clause_id")]
     chosen = first_k(scored.where(F.col("ord") >= 0), ["ord"], order, per_category)
-    return _whole_rows(clauses, chosen, per_category * len(taxonomy.labels))
+    path = scratch_path(clauses.sparkSession, "candidates")
+    chosen.write.parquet(path)
+    return _whole_rows(clauses, clauses.sparkSession.read.schema(chosen.schema).parquet(path))
 
 
 def one_per_label(clauses: DataFrame, seed: int = 1) -> DataFrame:

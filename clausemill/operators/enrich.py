@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.functions.ids import clause_id
-from clausemill.operators.sizes import broadcast_if_small
 
 ENRICHED_COLUMNS = [
     "clause_id", "label", "section_header", "text", "cik", "company", "form_type", "file_type",
@@ -14,21 +13,15 @@ ENRICHED_COLUMNS = [
 ]
 
 
-def completed(documents: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Documents with a completed manifest row, with its attributes."""
-    done = manifest.where(F.col("status") == "done").select("accession", "filename", "company", "form_type", "file_type")
-    return documents.join(done, ["accession", "filename"])
-
-
 def with_industry(clauses: DataFrame, companies: DataFrame) -> DataFrame:
     """Industry of the company; NULL when the company is unknown."""
-    return clauses.join(broadcast_if_small(companies.select("cik", "sic", "sic_description")), "cik", "left")
+    return clauses.join(companies.select("cik", "sic", "sic_description"), "cik", "left")
 
 
 def with_filing_date(clauses: DataFrame, filing_dates: DataFrame) -> DataFrame:
     """Exact filing date; NULL when unknown or not a date."""
     dates = filing_dates.select("cik", "accession", F.try_to_date(F.col("filing_date").cast("string")).alias("filing_date"))
-    return clauses.join(broadcast_if_small(dates), ["cik", "accession"], "left")
+    return clauses.join(dates, ["cik", "accession"], "left")
 
 
 def first_per_key(dimension: DataFrame, *keys: str) -> DataFrame:
@@ -37,6 +30,11 @@ def first_per_key(dimension: DataFrame, *keys: str) -> DataFrame:
     return dimension.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_last")).select(*keys, *[F.col(f"_last.{c}") for c in rest])
 
 
+def needed(dimension: DataFrame, clauses: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a dimension that some clause asks for."""
+    return dimension.join(clauses.select(*keys).distinct(), [*keys], "left_semi")
+
+
 def with_id_and_length(clauses: DataFrame) -> DataFrame:
     """K3: add ``clause_id`` and ``text_len``."""
     return clauses.withColumns({"clause_id": clause_id(), "text_len": F.length("text")})

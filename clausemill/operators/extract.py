@@ -16,7 +16,6 @@ from clausemill.functions import headers as H
 from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.functions.text import collapse_spaces, exhibit_body, header_key, html_lines, plain_lines
-from clausemill.operators.sizes import BROADCAST_ROWS, is_small
 
 # Fixed value: shorter bodies are not clauses.
 MIN_CLAUSE_CHARS = 30
@@ -235,21 +234,19 @@ def extract(documents: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
     )
 
 
-def extract_completed(
-    documents: DataFrame, manifest: DataFrame, taxonomy: Taxonomy = CONTRACTS, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def completed(manifest: DataFrame) -> DataFrame:
+    """Keys and attributes of the completed manifest rows."""
+    return manifest.where(F.col("status") == "done").select("accession", "filename", "company", "form_type", "file_type")
+
+
+def extract_completed(documents: DataFrame, manifest: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
     """Extract the documents whose manifest row is completed, with the manifest's attributes.
 
-    ``documents`` has ``cik, accession, filename, raw``. A manifest of up to ``broadcast_rows`` rows
-    (counted here) is broadcast, so unfinished documents are never read. For a longer one that join
-    would shuffle the raw HTML; it is joined after extraction, where only clauses travel. The rows are
-    the same.
+    ``documents`` has ``cik, accession, filename, raw``. The manifest is joined after extraction, where only
+    clauses travel: before it, a manifest too large for a broadcast would shuffle the raw HTML. What this
+    costs is the extraction of documents that are stored but not completed, which are few.
     """
-    done = manifest.where(F.col("status") == "done").select("accession", "filename", "company", "form_type", "file_type")
-    keys = ["accession", "filename"]
-    if is_small(done, broadcast_rows):
-        return extract(documents.join(F.broadcast(done), keys), taxonomy)
-    return extract(documents, taxonomy).join(done, keys)
+    return extract(documents, taxonomy).join(completed(manifest), ["accession", "filename"])
 
 
 def clause_corpus(extracted: DataFrame) -> DataFrame:

@@ -183,21 +183,21 @@ def company_sizes(rows: DataFrame) -> DataFrame:
     return count_by(rows, "company")
 
 
-def median_company_size(rows: DataFrame) -> DataFrame:
-    """Median clauses per company, from the table of distinct sizes."""
-    sizes = company_sizes(rows).groupBy("n").agg(F.count("*").alias("companies"))
-    return sizes.agg(F.percentile("n", F.lit(0.5), F.col("companies")).alias("median_size"))
+def median_company_size(sizes: DataFrame) -> DataFrame:
+    """Median clauses per company, from A19 by way of the table of distinct sizes."""
+    counts = sizes.groupBy("n").agg(F.count("*").alias("companies"))
+    return counts.agg(F.percentile("n", F.lit(0.5), F.col("companies")).alias("median_size"))
 
 
-def concentration(rows: DataFrame) -> DataFrame:
-    """Companies by size with ``rank``, running count and running percentage of all clauses.
+def concentration(sizes: DataFrame) -> DataFrame:
+    """Companies (A19) by size with ``rank``, running count and running percentage of all clauses.
 
     Equal sizes are ordered by one of 256 hash parts and then by name; the curve itself does not depend
     on that order. Sorting all companies in one task is avoided: a table of (size, part) gives every
     group's offset, and it is short, because sizes that differ must add up to the corpus (at most
     sqrt(2 x 256 x rows) lines). Only within one (size, part) are companies numbered by name.
     """
-    sizes = company_sizes(rows).withColumn("part", F.substring(F.md5("company"), 1, 2))
+    sizes = sizes.withColumn("part", F.substring(F.md5("company"), 1, 2))
     groups = sizes.groupBy("n", "part").agg(F.count("*").alias("companies"))
     before = Window.orderBy(F.desc("n"), "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select(
@@ -219,16 +219,16 @@ def concentration(rows: DataFrame) -> DataFrame:
     )
 
 
-def companies_for_half(rows: DataFrame) -> DataFrame:
-    """How many of the largest companies it takes to hold half of all clauses, and their percentage.
+def companies_for_half(sizes: DataFrame) -> DataFrame:
+    """How many of the largest companies (A19) it takes to hold half of all clauses, and their percentage.
 
     Within one size the running count grows by that size, so the number of companies below the half
     follows per size by division and no company is ranked.
     """
-    sizes = company_sizes(rows).groupBy("n").agg(F.count("*").alias("companies"))
+    counts = sizes.groupBy("n").agg(F.count("*").alias("companies"))
     larger = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    placed = sizes.select(
+    placed = counts.select(
         "n",
         "companies",
         F.coalesce(F.sum(F.col("n") * F.col("companies")).over(larger), F.lit(0)).alias("before"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from clausemill.operators.sizes import is_small
 from clausemill.operators.topk import latest_per_key
 from clausemill.session import scratch_path
 
@@ -57,9 +56,10 @@ def load(clauses: DataFrame, newest_first: list[Column], offered: Observation |
     """K4: one row per ``clause_id``, the newest; loading the same rows again changes nothing.
 
     Ids seldom repeat, and the rows are wide. So the ids that repeat are found first, from the id
-    columns alone, and written to the shared folder. If they are few, rows whose id occurs once are
-    told apart by a broadcast and are not shuffled; only rows with a repeated id are ranked. If they
-    are many, all rows are. ``offered`` observes rows and refused rows in the read that brings the rows.
+    columns alone, and written to the shared folder; rows whose id occurs once are told apart by them, and
+    only rows with a repeated id are ranked. The written table's size lets the planner broadcast it, and
+    then rows that occur once are not shuffled. ``offered`` observes rows and refused rows in the read that
+    brings the rows.
     """
     spark = clauses.sparkSession
     path = scratch_path(spark, "repeated-ids")
@@ -70,8 +70,6 @@ def load(clauses: DataFrame, newest_first: list[Column], offered: Observation |
     observed = clauses
     if offered is not None:
         observed = clauses.observe(offered, F.count("*").alias("rows"), F.count_if(~is_loadable()).alias("refused"))
-    if not is_small(repeated):
-        return latest_per_key(observed.where(is_loadable()), ["clause_id"], newest_first)
-    once = observed.where(is_loadable()).join(F.broadcast(repeated), "clause_id", "left_anti")
-    again = clauses.where(is_loadable()).join(F.broadcast(repeated), "clause_id", "left_semi")
+    once = observed.where(is_loadable()).join(repeated, "clause_id", "left_anti")
+    again = clauses.where(is_loadable()).join(repeated, "clause_id", "left_semi")
     return once.unionByName(latest_per_key(again, ["clause_id"], newest_first))

@@ -113,23 +113,23 @@ def build_dataset(
 
     ``assignments`` is a recorded split that takes the place of the seed's. The evaluation set holds the
     candidates whose ids a reviewer picked; before there are ``picked_ids`` it is neither written nor reported.
-    The sets are bounded by ``sizes``, so they are kept between the checks and the write and the store
-    is scanned once per set. Nothing is written to ``out`` when a check fails.
+    The sets are written to the shared folder, with the place of each row, before they are checked, so the
+    store is scanned once per set. Nothing is written to ``out`` when a check fails.
     """
     split_path = scratch_path(spark, "assignments")
     write_assignments(assign_buckets(store, split_seed) if assignments is None else assignments, split_path)
     recorded = read_assignments(spark, split_path)
     drawn = curated_sets(store, sizes, seed, split_seed=split_seed, assignments=None if assignments is None else recorded)
-    sets = {name: rows.persist() for name, rows in drawn.items()}
-    try:
-        together = labelled_sets({"eval" if name == "eval_candidates" else name: rows for name, rows in sets.items()})
-        check_sets(together, recorded)
-        write_assignments(recorded, f"{out}/assignments")
-        for name, rows in sets.items():
-            write_json_lines(rows, f"{out}/{name}.jsonl")
-    finally:
-        for rows in sets.values():
-            rows.unpersist()
+    sets = {}
+    for name, rows in drawn.items():
+        placed, path = rows.withColumn("_place", F.monotonically_increasing_id()), scratch_path(spark, name)
+        placed.write.parquet(path)
+        sets[name] = spark.read.schema(placed.schema).parquet(path)
+    together = labelled_sets({"eval" if name == "eval_candidates" else name: rows for name, rows in sets.items()})
+    check_sets(together, recorded)
+    write_assignments(recorded, f"{out}/assignments")
+    for name, rows in sets.items():
+        write_json_lines(rows.orderBy("_place").drop("_place"), f"{out}/{name}.jsonl")
     written = {name: read_json_lines(spark, f"{out}/{name}.jsonl") for name in ("train", "val")}
     if picked_ids is not None:
         candidates = read_json_lines(spark, f"{out}/eval_candidates.jsonl", schemas.CANDIDATES)

@@ -15,8 +15,8 @@ RUNTIME_SETTINGS = {
     # A batch of whole exhibits is bounded by bytes; 10,000 exhibits could be gigabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
-    # "First k per group" is cut on the map side for every k, not only below 1,000.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
+    # "First k per group" is cut on the map side for every k (the largest int), not only below 1,000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     # Lets a two-way partitioned write keep both files open instead of sorting the clause texts.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }

@@ -68,11 +68,12 @@ def read_index_pages(pages: DataFrame, page: str = "html") -> DataFrame:
     return pages.select(*kept, document_table(F.col(page)).alias("_table")).select(*kept, "_table.rows", "_table.error")
 
 
-def list_exhibits(pages: DataFrame, page: str = "html") -> DataFrame:
-    """Stored index pages to the exhibits they list."""
+def list_exhibits(pages: DataFrame, page: str = "html", place: str | None = None) -> DataFrame:
+    """Stored index pages to the exhibits they list, with the row of the table as ``place`` if it is named."""
     read = read_index_pages(pages, page)
     kept = [c for c in read.columns if c not in ("rows", "error")]
-    listed = read.select(*kept, F.inline_outer("rows"))
+    rows = F.col("rows") if place is None else F.transform("rows", lambda row, i: row.withField(place, i))
+    listed = read.select(*kept, F.inline_outer(rows))
     return listed.where(F.col("exhibit_type").rlike(EXHIBIT_TYPE)).withColumn(
         "url", _document_url(F.col("cik"), F.col("accession"), F.col("filename"))
     )

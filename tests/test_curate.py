@@ -78,12 +78,6 @@ def test_sample_is_greedy(spark, seed, count, companies, per_category, cap):
     assert len(short) == 10 and sum(found for _, found in short.values()) == len(picked)
 
 
-def test_large_samples_are_drawn_in_stages(spark):
-    rows = _clauses(random.Random(9), 300, 12)
-    clauses = spark.createDataFrame(rows, "clause_id string, cik string, label string")
-    _assert_greedy(rows, {r["clause_id"] for r in C.sample_picks(clauses, 9, 3, one_task_rows=0).collect()}, 9, 3)
-
-
 def test_sample_does_not_depend_on_partitioning(spark):
     rows = _clauses(random.Random(5), 400, 20)
     clauses = spark.createDataFrame(rows, "clause_id string, cik string, label string")

@@ -69,12 +69,16 @@ def test_forms_of_a_label_add_up(spark):
     assert sorted((r["label"], r["form_type"], r["share"]) for r in found) == [("L", "10-K", 0.5), ("L", "10-K/A", 0.5), ("M", "10-KT", 1.0)]
 
 
-def test_large_dimensions_give_the_same_rows(spark, monkeypatch):
+def test_large_dimensions_give_the_same_rows(spark):
     corpus = spark.createDataFrame(CORPUS, schemas.CLAUSES)
     dates = spark.createDataFrame([("1", "a-23-1", "2023-02-03")], "cik string, accession string, filing_date string")
     small = sorted(map(str, with_filing_date(corpus, dates).collect()))
-    monkeypatch.setattr("clausemill.operators.enrich.broadcast_if_small", lambda table: table)
-    assert sorted(map(str, with_filing_date(corpus, dates).collect())) == small
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, with_filing_date(corpus, dates).collect())) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_work_lists(spark):
@@ -106,11 +110,11 @@ def test_first_k_keeps_hot_groups_whole(spark):
 
 def test_concentration_by_hand(spark):
     rows = spark.createDataFrame([(c,) for c in "aaaaabbbccdeff"] + [(None,)], "company string")
-    curve = sorted((r["rank"], r["n"], r["running"]) for r in A.concentration(rows).collect())
+    curve = sorted((r["rank"], r["n"], r["running"]) for r in A.concentration(A.company_sizes(rows)).collect())
     assert curve == [(1, 5, 5), (2, 3, 8), (3, 2, 10), (4, 2, 12), (5, 1, 13), (6, 1, 14)]
-    half = A.companies_for_half(rows).first()
+    half = A.companies_for_half(A.company_sizes(rows)).first()
     assert (half["n_for_half"], half["companies"]) == (2, 6)
-    assert A.median_company_size(rows).first()[0] == 2.0
+    assert A.median_company_size(A.company_sizes(rows)).first()[0] == 2.0
 
 
 def test_profile_of_nothing(spark):
