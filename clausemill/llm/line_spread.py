@@ -5,8 +5,9 @@ sketches that merge by aggregation, so a line on a third of all rows sends one s
 estimate is too near the threshold to be sure of get an exact distinct count. Boilerplate lines are then removed
 from the documents that hold them.
 
-A document that would lose more than ``max_lost_percent`` of its text consists of such lines: it is a copy of
-something, not a carrier of boilerplate. It stays whole, and which copy remains is left to near-dedup.
+A document without a line of its own consists of such lines: it is a copy of something, not a carrier of
+boilerplate. It stays whole, and which copy remains is left to near-dedup. Every other document loses its boilerplate
+lines, whatever their share. With ``max_lost_percent``, documents that would lose more than that stay whole as well.
 
 Lines are compared after trimming white space; lines without a word are never boilerplate. A null text has no
 lines and stays null. A null site is no site. What is decided depends on text and site only, so repeated rows and
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from clausemill.llm.common import GAP, row_key, stored, whole
 
 MIN_SITES = 5
-MAX_LOST_PERCENT = 50
+MAX_LOST_PERCENT = 50  # of the query over ``documents``, as its SQL has it
 SKETCH_BITS = 12  # a relative error of 1.04 / sqrt(2^12), or 1.6 percent
 ERRORS = 6  # estimates within so many standard errors of the threshold are counted exactly
 
@@ -87,11 +88,12 @@ def dedup(
     site: str = "source",
     doc_id: str = "doc_id",
     min_sites: int = MIN_SITES,
-    max_lost_percent: int = MAX_LOST_PERCENT,
+    max_lost_percent: int | None = None,
 ) -> DataFrame:
     """Each row as ``row`` with ``clean``, its text without boilerplate lines, and how many lines and characters that took.
 
-    ``kept_whole`` marks documents that consist of such lines and keep them.
+    ``kept_whole`` marks documents that keep such lines: those without another line, and with ``max_lost_percent``
+    those that would lose more than that.
     """
     keyed = docs.select(F.struct("*").alias("row"), row_key(doc_id, text).alias("key"))
     narrow = docs.select(F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
@@ -113,7 +115,11 @@ def dedup(
     lost = F.coalesce(chars(F.filter("parts", lambda x: x["gone"])), F.lit(0)).cast("long")
     every = F.coalesce(chars(F.col("parts")), F.lit(0)).cast("long")
     rows = rows.withColumns({"n_boilerplate": F.size(positions).cast("long"), "boilerplate_chars": lost, "chars": every})
-    rows = rows.withColumn("kept_whole", F.col("boilerplate_chars") * 100 > F.col("chars") * max_lost_percent)
+    if max_lost_percent is None:
+        copies = (F.col("boilerplate_chars") > 0) & (F.col("boilerplate_chars") == F.col("chars"))
+    else:
+        copies = F.col("boilerplate_chars") * 100 > F.col("chars") * max_lost_percent
+    rows = rows.withColumn("kept_whole", copies)
     without = F.array_join(F.transform(F.filter("parts", lambda x: ~x["gone"]), lambda x: x["line"]), "\n")
     return rows.select(
         "row",

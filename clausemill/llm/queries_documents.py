@@ -146,9 +146,9 @@ FROM by_doc
 
 @query("op7_line_spread", LINE_SQL)
 def op7_line_spread(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the lines that stand on many sites."""
+    """Every document without the lines that stand on many sites, unless it would lose over half of its text."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return line_spread.dedup(docs).selectExpr(
+    return line_spread.dedup(docs, max_lost_percent=line_spread.MAX_LOST_PERCENT).selectExpr(
         "row.doc_id AS doc_id", "n_boilerplate", "boilerplate_chars", "kept_whole", "clean AS text"
     )
 

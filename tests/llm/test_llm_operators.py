@@ -94,6 +94,19 @@ def test_line_spread(spark):
     assert [r.n_sites for r in sites] == [7]
 
 
+def test_shared_lines_go_from_documents_with_a_line_of_their_own(spark):
+    """Whatever their share; only documents of nothing but shared lines stay whole."""
+    shared = [prose(700), prose(701)]
+    rows = [(i, f"{shared[0]}\nOwn words {i}.\n{shared[1]}", "en", f"s{i}", 0) for i in range(5)]
+    rows += [(9, "\n".join(shared), "en", "s9", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = {r.row.doc_id: r for r in line_spread.dedup(docs).collect()}
+    assert all(out[i].clean == f"Own words {i}." and not out[i].kept_whole for i in range(5))
+    assert out[9].clean == "\n".join(shared) and out[9].kept_whole
+    assert {r.doc_id: r.text for r in line_spread.clean(docs).collect()} == {i: r.clean for i, r in out.items()}
+    assert all(r.kept_whole for r in line_spread.dedup(docs, max_lost_percent=50).collect())
+
+
 def test_mixing_is_within_a_block_of_its_weights(spark):
     parts = {"a": 5, "b": 2, "c": 1}
     names = ["a"] * 900 + ["b"] * 400 + ["c"] * 300 + [None] * 200
