@@ -12,7 +12,9 @@ page that has none of its elements is read by its own.
 
 Block texts have their character references decoded and white space reduced to single spaces, and are joined by
 single spaces. A null page gives an empty text; a null or odd URL belongs to the host ''. Broken markup ends
-elements as browsers do for paragraphs, items and cells. Repeated rows and ids are read one by one.
+elements as browsers do for paragraphs, items and cells. Scripts, styles, buttons, pictures and the like have no text:
+they end at their own closing tag; without one, scripts and styles end with the page, others at the next block tag.
+Repeated rows and ids are read one by one.
 """
 
 from __future__ import annotations
@@ -38,7 +40,10 @@ BLOCKS = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = {"br", "hr"}
-RAW = set("head iframe noembed noscript object script select style svg template textarea title button".split())
+RAW = set("button noscript object select svg template".split())  # dropped, with tags inside
+RAW_TEXT = {  # dropped, with characters up to the closing tag inside
+    tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.IGNORECASE) for tag in "iframe noembed script style textarea title".split()
+}
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
 }
@@ -86,10 +91,42 @@ class Element:
         self.children: list[Element | str] = []
 
 
+def _tags(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """Start, end, name, closing and attributes of every tag; comments and closed raw texts have no name."""
+    out, at, unclosed = [], 0, set()
+    while m := TOKEN.search(page, at):
+        tag, at = (m[2] or "").lower(), m.end()
+        if tag in RAW_TEXT and not m[1] and (tag in ("script", "style") or not m[3].endswith("/")):
+            end = None if tag in unclosed else RAW_TEXT[tag].search(page, at)
+            if end or tag in ("script", "style"):
+                tag, at = "", end.end() if end else len(page)
+            else:
+                unclosed.add(tag)
+        out.append((m.start(), at, tag, bool(m[1]), m[3] or ""))
+    return out
+
+
+def _raw_ends(tags: list[tuple[int, int, str, bool, str]]) -> dict[int, int | None]:
+    """For every opening tag of a raw element, the place of its closing tag in the list, or None."""
+    out: dict[int, int | None] = {}
+    open_: dict[str, list[int]] = {tag: [] for tag in RAW}
+    for k, (_, _, tag, closing, attributes) in enumerate(tags):
+        if closing:
+            if open_.get(tag):
+                out[open_[tag].pop()] = k
+        elif (tag in RAW or tag in RAW_TEXT) and not attributes.endswith("/"):
+            out[k] = None
+            if tag in RAW:
+                open_[tag].append(k)
+    return out
+
+
 def tree(page: str) -> Element:
     """The block elements of a page; text is kept raw, inline tags are gone."""
     root = Element("html")
-    stack, text, at, raw = [root], [], 0, None
+    stack, text, at, k, dropped = [root], [], 0, 0, False
+    found = _tags(page)
+    raw_ends = _raw_ends(found)
 
     def flush() -> None:
         if text:
@@ -102,26 +139,26 @@ def tree(page: str) -> Element:
         flush()
         del stack[depth:]
 
-    for m in TOKEN.finditer(page):
-        if raw is None and m.start() > at:
-            text.append(page[at : m.start()])
-        at = max(at, m.end())
-        if m[2] is None:
-            continue
-        tag, closing = m[2].lower(), bool(m[1])
-        if raw is not None:
-            if closing and tag == raw:
-                raw = None
-            continue
-        if tag in RAW and not closing:
-            if not m[3].endswith("/") or tag in ("script", "style"):
-                raw = tag
+    while k < len(found):
+        start, end, tag, closing, attributes = found[k]
+        if not dropped and start > at:
+            text.append(page[at:start])
+        at = end
+        if k in raw_ends:
+            if raw_ends[k] is None:
+                dropped = True
+            else:
+                k = raw_ends[k]
+                at = found[k][1]
+            k += 1
             continue
-        if tag in BREAKS:
+        k += 1
+        if tag in BREAKS and not dropped:
             text.append(" ")
             continue
         if tag not in BLOCKS:
             continue
+        dropped = False
         tags = [e.tag for e in stack]
         if closing:
             if tag in tags[1:]:
@@ -141,11 +178,11 @@ def tree(page: str) -> Element:
                     break
                 if tags[depth] in SCOPES:
                     break
-        element = Element(tag, m[3])
+        element = Element(tag, attributes)
         stack[-1].children.append(element)
         if tag not in VOID:
             stack.append(element)
-    if raw is None:
+    if not dropped:
         text.append(page[at:])
     flush()
     return root

@@ -243,6 +243,30 @@ def test_wrappers_find_the_article(spark):
     assert page_wrappers.extract(empty, page_wrappers.infer(empty)).collect() == []
 
 
+def own_article(page):
+    """A page's article by its own wrapper."""
+    root = page_wrappers.tree(page)
+    return page_wrappers.article(root, page_wrappers.article_paths(page_wrappers.wrapper_of(root)))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><script>for(i=0;i<n;i++){f(i)}</script><article>Text here.</article><script>x</script></body>",
+        "<body><SCRIPT>if(a<b)f('it')</Script ><article>Text here.</article></body>",
+        "<html><head><title>t</title><meta name=a><body><article>Text here.</article></body></html>",
+        "<head><title>t<meta name=a><body><article>Text here.</article>",
+        "<body><div><button>Go</div><article>Text here.</article><button>Go</button></body>",
+        "<body><svg><path d='M0'><article>Text <svg><svg></svg><text>no</text></svg>here.</article></body>",
+        "<body><object data=x></div><article>Text <select><option>a</select>here.</article></body>",
+        "<body><div><textarea>a < b</div><article>Text here.</article><style>p<a{}</style></body>",
+        "<body><div><iframe src=x></div><article>Text here.<template><p>no</template></article><script>a<b",
+    ],
+)
+def test_raw_elements_end_where_they_should(page):
+    assert own_article(page) == "Text here."
+
+
 def _fits(host, path, rule_host, rule_path):
     return (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path)
 
