@@ -7,8 +7,10 @@ are aligned the same way, so a host with a third of all pages is worked off by m
 
 The wrapper then tells which of its elements hold the article: an article element, else the main part by its role
 or class, else the innermost element with most of the slots' text. Menus, headers, footers, sidebars, notices,
-adverts, forms and comments are known by tag, role or class. Each page is read again with its host's wrapper; a
-page that has none of its elements is read by its own.
+adverts, forms and comments are known by tag, role or name. A name (a class or an id) counts by its head word, so
+"related-posts" is aside, "related-work" and "no-sidebar" are not; names never make a body, main or article element
+aside, nor an element with most of the slots' text where no article or main part is found outside of it. Each page is read again with its
+host's wrapper; a page that has none of its elements is read by its own.
 
 Block texts have their character references decoded and white space reduced to single spaces, and are joined by
 single spaces. A null page gives an empty text; a null or odd URL belongs to the host ''. Broken markup ends
@@ -55,6 +57,12 @@ ASIDE_WORDS = set(
     " modal overlay newsletter subscribe subscription share sharing social comment comments disqus replies sidebar nav navbar"
     " navigation menu breadcrumb breadcrumbs footer masthead related recommended widget login signup pagination pager toolbar".split()
 )
+PART_WORDS = set(  # behind the head word of a name
+    "area bar block box button buttons container content group holder icon icons inner item items left right top bottom link links list"
+    " main module outer panel post posts primary row secondary section slot unit widgets wrap wrapper".split()
+)
+STATE_WORDS = set("disable disabled enable enabled has have hide is no not show with without".split())
+NEVER_ASIDE = set("html body main article".split())  # by their names
 MAIN_WORDS = set("article articlebody content entry main maincontent post story".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
@@ -70,24 +78,36 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.IGNOREC
 NAME = re.compile(r"[a-z]+")
 
 
+def _names_aside(name: str) -> bool:
+    """Whether the head word of a class or id says that it is no article."""
+    words = [w for w in NAME.findall(name.partition("--")[0]) if len(w) > 1]
+    if not STATE_WORDS.isdisjoint(words):
+        return False
+    while len(words) > 1 and words[-1] in PART_WORDS:
+        words.pop()
+    return bool(words) and words[-1] in ASIDE_WORDS
+
+
 class Element:
     """A block element with its children in order: elements and texts."""
 
     __slots__ = ("tag", "label", "aside", "main", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
-        names, roles = [], set()
+        names, roles, named = [], set(), False
         for m in ATTRIBUTE.finditer(attributes) if attributes else ():
             value = (m[2] or m[3] or m[4] or "").lower()
             if m[1].lower() == "role":
                 roles |= set(value.split())
             else:
                 names += NAME.findall(value)
+                named = named or any(map(_names_aside, value.split()))
         self.tag = tag
         self.label = ".".join([tag, *sorted(set(names) | roles)])
         words = set(names)
         self.main = tag == "main" or "main" in roles or bool(words & MAIN_WORDS)
-        self.aside = tag in ASIDE_TAGS or bool(roles & ASIDE_ROLES) or bool(words & ASIDE_WORDS) or bool(HIDDEN.search(attributes))
+        known = tag in ASIDE_TAGS or bool(roles & ASIDE_ROLES) or bool(HIDDEN.search(attributes))
+        self.aside = 1 if known else 2 if named and tag not in NEVER_ASIDE else 0  # 2: by its names only
         self.children: list[Element | str] = []
 
 
@@ -208,7 +228,7 @@ def wrapper_of(element: Element) -> dict:
     kids = _folded(kids)
     return {
         "l": element.label, "o": 0, "r": 0, "c": sum(k["c"] for k in kids), "t": None, "k": kids,
-        "a": int(element.aside), "m": int(element.main),
+        "a": element.aside, "m": int(element.main),
     }
 
 
@@ -287,15 +307,20 @@ def expression(item: dict) -> str:
     return (f"({inner})" if item["l"].startswith("(") else f"<{item['l']}>{inner}</>") + sign
 
 
-def _slots(item: dict) -> int:
-    """Characters of variable text that is no aside."""
+def _slots(item: dict, named: bool = False) -> int:
+    """Characters of variable text that is no aside; ``named``: what is aside by its names only counts too."""
     if item["l"] == "#":
         return item["c"] if item["t"] is None or item["c"] > 80 else 0
-    return 0 if item.get("a") else sum(map(_slots, item["k"]))
+    return 0 if item.get("a") == 1 or (item.get("a") and not named) else sum(_slots(k, named) for k in item["k"])
 
 
-def article_paths(wrapper: dict) -> list[list[str]]:
-    """The label paths of the elements that hold the article."""
+def _chars(item: dict) -> int:
+    """Characters of text that is no aside, unless by its names only."""
+    return 0 if item.get("a") == 1 else item["c"] if item["l"] == "#" else sum(map(_chars, item["k"]))
+
+
+def _marked(wrapper: dict) -> tuple[list[tuple[dict, list[str]]], list[tuple[dict, list[str]]]]:
+    """The article elements and the main parts that are no aside, with their label paths."""
     articles, mains = [], []
 
     def walk(item: dict, path: list[str]) -> None:
@@ -311,9 +336,45 @@ def article_paths(wrapper: dict) -> list[list[str]]:
             walk(k, path)
 
     walk(wrapper, [])
-    if any(item["c"] for item, _ in articles):
-        return [path for item, path in articles if item["c"]]
-    mains = [(i, p) for i, p in mains if i["c"]]
+    return [(i, p) for i, p in articles if i["c"]], [(i, p) for i, p in mains if i["c"]]
+
+
+def _opened(wrapper: dict) -> list[list[str]]:
+    """Label paths of elements that are aside by their names but hold most of the text; in the wrapper they are so no more.
+
+    Where an article or main part is found without them, only elements inside of it.
+    """
+    out: list[list[str]] = []
+    weigh = (lambda i: _slots(i, True)) if _slots(wrapper, True) else _chars
+    least = MOST * weigh(wrapper)
+
+    def walk(item: dict, path: list[str]) -> None:
+        for k in item["k"]:
+            if k["l"] == "#" or k.get("a") == 1 or weigh(k) <= least:
+                continue
+            inner = path if k["l"].startswith("(") else [*path, k["l"]]
+            if k.get("a"):
+                k["a"] = 0
+                out.append(inner)
+            walk(k, inner)
+
+    articles, mains = _marked(wrapper)
+    for item, path in articles or mains or [(wrapper, [wrapper["l"]])]:
+        walk(item, path)
+    return out
+
+
+def reading(wrapper: dict) -> tuple[list[list[str]], list[list[str]]]:
+    """The label paths of the elements that hold the article, and of those that are no aside whatever their names."""
+    opened = _opened(wrapper)
+    return article_paths(wrapper), opened
+
+
+def article_paths(wrapper: dict) -> list[list[str]]:
+    """The label paths of the elements that hold the article."""
+    articles, mains = _marked(wrapper)
+    if articles:
+        return [path for _, path in articles]
     if mains:
         return [max(mains, key=lambda x: (_slots(x[0]), x[0]["c"], len(x[1])))[1]]
     weigh = _slots if _slots(wrapper) else (lambda i: 0 if i.get("a") else i["c"] if i["l"] == "#" else sum(map(weigh, i["k"])))
@@ -328,22 +389,25 @@ def article_paths(wrapper: dict) -> list[list[str]]:
         path = path if item["l"].startswith("(") else [*path, item["l"]]
 
 
-def article(root: Element, paths: list[list[str]]) -> str:
-    """The text of a page's elements at some label paths, without what is aside."""
+def article(root: Element, paths: list[list[str]], opened: list[list[str]] = ()) -> str:
+    """The text of a page's elements at some label paths, without what is aside and not opened."""
     wanted, prefixes = {tuple(p) for p in paths}, {tuple(p[:n]) for p in paths for n in range(1, len(p) + 1)}
+    let_in = {tuple(p) for p in opened}
     blocks: list[str] = []
 
-    def collect(element: Element, outside: bool) -> None:
+    def collect(element: Element, path: tuple[str, ...], outside: bool) -> None:
         for c in element.children:
             if isinstance(c, str):
                 if text := plain(c):
                     blocks.append(text)
-            elif not c.aside and not (outside and c.tag == "header"):
-                collect(c, outside)
+                continue
+            inner = (*path, c.label) if let_in else path
+            if not (c.aside and (c.aside == 1 or inner not in let_in)) and not (outside and c.tag == "header"):
+                collect(c, inner, outside)
 
     def walk(element: Element, path: tuple[str, ...]) -> None:
         if path in wanted:
-            collect(element, len(path) == 1 or path[-1].split(".")[0] == "body")
+            collect(element, path, len(path) == 1 or path[-1].split(".")[0] == "body")
             return
         for c in element.children:
             if not isinstance(c, str) and (longer := (*path, c.label)) in prefixes:
@@ -382,12 +446,12 @@ def _align_part(rows: pd.DataFrame) -> pd.DataFrame:
 def _align_host(rows: pd.DataFrame) -> pd.DataFrame:
     wrapper = _aligned_rows(rows)
     return pd.DataFrame(
-        {"host": rows["host"].head(1), "expression": [expression(wrapper)], "paths": [json.dumps(article_paths(wrapper))]}
+        {"host": rows["host"].head(1), "expression": [expression(wrapper)], "paths": [json.dumps(reading(wrapper))]}
     )
 
 
 def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Each host's wrapper as ``expression`` and the ``paths`` of its article, as a written table."""
+    """Each host's wrapper as ``expression`` and the ``paths`` of its article and of what is opened, as a written table."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
     kind = "host string, part int, at string, wrapper string"
     parts = rows.mapInPandas(_folded_batches, kind).groupBy("host", "part").applyInPandas(_align_part, kind)
@@ -396,7 +460,7 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[str, list[list[str]]] = {}
+    known: dict[str, list[list[list[str]]]] = {}
     for batch in batches:
         texts = []
         for page, paths in zip(batch["html"], batch["paths"], strict=True):
@@ -405,8 +469,8 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if paths is not None:
                 if paths not in known:
                     known[paths] = json.loads(paths)
-                found = article(root, known[paths])
-            texts.append(found or article(root, article_paths(wrapper_of(root))))
+                found = article(root, *known[paths])
+            texts.append(found or article(root, *reading(wrapper_of(root))))
         yield pd.DataFrame({"row": batch["row"], "text": texts, "n_chars": [len(t) for t in texts]})
 
 

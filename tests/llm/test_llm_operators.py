@@ -246,7 +246,7 @@ def test_wrappers_find_the_article(spark):
 def own_article(page):
     """A page's article by its own wrapper."""
     root = page_wrappers.tree(page)
-    return page_wrappers.article(root, page_wrappers.article_paths(page_wrappers.wrapper_of(root)))
+    return page_wrappers.article(root, *page_wrappers.reading(page_wrappers.wrapper_of(root)))
 
 
 @pytest.mark.parametrize(
@@ -267,6 +267,34 @@ def test_raw_elements_end_where_they_should(page):
     assert own_article(page) == "Text here."
 
 
+LONG = "Words of the text that go on and on. " * 9
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'><p>{}</p></body>",
+        "<body class='sidebar'><div>{}</div></body>",
+        "<body><div class='content no-sidebar'>{}</div><div class='site-footer__inner'>no</div></body>",
+        "<body><article class='post has-comments'>{}</article></body>",
+        "<body><article class='related'>{}<div class='related-posts'>no</div></article></body>",
+        "<body><article><section id='related-work'>{}</section><div id='ad-728x90'>no</div></article></body>",
+        "<body><div class='page-with-sidebar'><div class='promotion'>{}<p class='share-buttons'>no</p></div></div></body>",
+        "<body><div class='post'>{}</div><div class='comments'><article>" + "No. " * 400 + "</article></div></body>",
+    ],
+)
+def test_names_make_nothing_aside_that_holds_the_text(page):
+    assert own_article(page.format(LONG)) == LONG.strip()
+
+
+def test_names_are_overruled_by_the_wrapper(spark):
+    """Also on a page where what the names stand for is short."""
+    rows = [(k, f"http://h/{k}", f"<body><div class='cookie-banner'>ok?</div><div class='widget'>{prose(k, 60 if k else 1)}</div>") for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = page_wrappers.extract(pages, page_wrappers.infer(pages)).collect()
+    assert {r.page_id: r.text for r in out} == {k: prose(k, 60 if k else 1) for k in range(4)}
+
+
 def _fits(host, path, rule_host, rule_path):
     return (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path)
 
