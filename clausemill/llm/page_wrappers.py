@@ -2,7 +2,7 @@
 
 A page is read as a stream of block tags and texts. Streams of one host are aligned one after another into a
 wrapper, a regular expression without alternatives: where they differ, what only one has becomes optional,
-neighbours that repeat become a repeated group, and texts that differ become slots. Wrappers of parts of a host
+neighbours that repeat become a repeated group, and texts that differ between pages become slots. Wrappers of parts of a host
 are aligned the same way, so a host with a third of all pages is worked off by many tasks, batch by batch.
 
 The wrapper then tells which of its elements hold the article: an article element, else the main part by its role
@@ -21,10 +21,11 @@ Repeated rows and ids are read one by one.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
@@ -68,6 +69,8 @@ HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 MAX_ITEMS = 48  # longer sequences of children become one repeated group of optional members
 MOST = 0.6
+SCARCE = 0.1  # slots with less of the text do not tell where the article is: long constant texts are weighed too
+LONG_TEXT = 80
 FAN = 64  # partial wrappers of a host that are aligned at once
 
 TOKEN = re.compile(
@@ -213,13 +216,18 @@ def plain(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
-# A wrapper's item: label, optional, repeated, pages, characters, text (constant, or None for a slot), and its items.
-# Groups of several items have the label "(...)".
+# A wrapper's item: label, optional, repeated, characters on all pages, text (None where it differs) and its items.
+# Texts also have a digest of what stands there on each page (None for a slot, where pages differ) and the characters
+# of the longest single text. Groups of several items have the label "(...)".
+
+
+def _digest(text: str) -> str:
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def _text_item(text: str) -> dict:
     text = plain(text)
-    return {"l": "#", "o": 0, "r": 0, "c": len(text), "t": text[:80], "k": []}
+    return {"l": "#", "o": 0, "r": 0, "c": len(text), "t": text[:80], "d": _digest(text), "n": len(text), "k": []}
 
 
 def wrapper_of(element: Element) -> dict:
@@ -232,13 +240,17 @@ def wrapper_of(element: Element) -> dict:
     }
 
 
-def _merged(a: dict, b: dict, repeated: bool) -> dict:
-    """Two items with one label as one; ``repeated``: they stand side by side in one page."""
+def _merged(a: dict, b: dict, repeated: bool, beside: bool = False) -> dict:
+    """Two items with one label as one; ``repeated``: they are neighbours; ``beside``: they stand in one page."""
     out = {**a, "c": a["c"] + b["c"], "o": a["o"] | b["o"], "r": a["r"] | b["r"] | int(repeated)}
     if a["l"] == "#":
-        out["t"] = a["t"] if a["t"] == b["t"] else None
+        same = a["d"] == b["d"]
+        out["t"] = a["t"] if same else None
+        if not same:
+            out["d"] = _digest(a["d"] + b["d"]) if beside and a["d"] and b["d"] else None
+        out["n"] = max(a["n"], b["n"])
     elif a["k"] or b["k"]:
-        out["k"] = aligned(a["k"], b["k"])
+        out["k"] = aligned(a["k"], b["k"], beside)
     return out
 
 
@@ -256,7 +268,7 @@ def _folded(items: list[dict]) -> list[dict]:
             labels = [i["l"] for i in unit]
             again = 0
             while len(unit) == width and [i["l"] for i in items[next_ : next_ + width]] == labels:
-                unit = [_merged(x, y, width == 1) for x, y in zip(unit, items[next_ : next_ + width], strict=True)]
+                unit = [_merged(x, y, width == 1, True) for x, y in zip(unit, items[next_ : next_ + width], strict=True)]
                 next_ += width
                 again += 1
             if width == 1 or not again:
@@ -270,16 +282,16 @@ def _folded(items: list[dict]) -> list[dict]:
         members: dict[str, dict] = {}
         for i in items:
             for j in i["k"] if i["l"].startswith("(") else [i]:
-                members[j["l"]] = _merged(members[j["l"]], j, False) if j["l"] in members else j
+                members[j["l"]] = _merged(members[j["l"]], j, False, True) if j["l"] in members else j
         items = [_group([{**m, "o": 1} for m in members.values()], 1)]
         items[0]["l"] = "(*)"
     return items
 
 
-def aligned(a: list[dict], b: list[dict]) -> list[dict]:
-    """Two sequences as one: common items in order are merged, the others become optional."""
+def aligned(a: list[dict], b: list[dict], beside: bool = False) -> list[dict]:
+    """Two sequences, of one page if ``beside``, as one: common items in order are merged, the others become optional."""
     if [i["l"] for i in a] == [i["l"] for i in b]:
-        return [_merged(x, y, False) for x, y in zip(a, b, strict=True)]
+        return [_merged(x, y, False, beside) for x, y in zip(a, b, strict=True)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -287,7 +299,7 @@ def aligned(a: list[dict], b: list[dict]) -> list[dict]:
     out, i, j = [], 0, 0
     while i < len(a) and j < len(b):
         if a[i]["l"] == b[j]["l"]:
-            out.append(_merged(a[i], b[j], False))
+            out.append(_merged(a[i], b[j], False, beside))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             out.append({**a[i], "o": 1})
@@ -307,16 +319,25 @@ def expression(item: dict) -> str:
     return (f"({inner})" if item["l"].startswith("(") else f"<{item['l']}>{inner}</>") + sign
 
 
-def _slots(item: dict, named: bool = False) -> int:
-    """Characters of variable text that is no aside; ``named``: what is aside by its names only counts too."""
-    if item["l"] == "#":
-        return item["c"] if item["t"] is None or item["c"] > 80 else 0
-    return 0 if item.get("a") == 1 or (item.get("a") and not named) else sum(_slots(k, named) for k in item["k"])
+def _weigher(wrapper: dict, named: bool = False) -> Callable[[dict], int]:
+    """How items are weighed: by characters of slots that are no aside; ``named``: or are so by their names only.
+
+    Where slots are scarce, long constant texts count too, and without these all texts.
+    """
+
+    def by(counts: Callable[[dict], bool]) -> Callable[[dict], int]:
+        def weigh(item: dict) -> int:
+            if item["l"] == "#":
+                return item["c"] if counts(item) else 0
+            return 0 if item.get("a") == 1 or (item.get("a") and not named) else sum(map(weigh, item["k"]))
 
+        return weigh
 
-def _chars(item: dict) -> int:
-    """Characters of text that is no aside, unless by its names only."""
-    return 0 if item.get("a") == 1 else item["c"] if item["l"] == "#" else sum(map(_chars, item["k"]))
+    slots, every = by(lambda i: i["d"] is None), by(lambda i: True)
+    if slots(wrapper) > SCARCE * every(wrapper):
+        return slots
+    longer = by(lambda i: i["d"] is None or i["n"] > LONG_TEXT)
+    return longer if longer(wrapper) else every
 
 
 def _marked(wrapper: dict) -> tuple[list[tuple[dict, list[str]]], list[tuple[dict, list[str]]]]:
@@ -345,7 +366,7 @@ def _opened(wrapper: dict) -> list[list[str]]:
     Where an article or main part is found without them, only elements inside of it.
     """
     out: list[list[str]] = []
-    weigh = (lambda i: _slots(i, True)) if _slots(wrapper, True) else _chars
+    weigh = _weigher(wrapper, named=True)
     least = MOST * weigh(wrapper)
 
     def walk(item: dict, path: list[str]) -> None:
@@ -375,9 +396,9 @@ def article_paths(wrapper: dict) -> list[list[str]]:
     articles, mains = _marked(wrapper)
     if articles:
         return [path for _, path in articles]
+    weigh = _weigher(wrapper)
     if mains:
-        return [max(mains, key=lambda x: (_slots(x[0]), x[0]["c"], len(x[1])))[1]]
-    weigh = _slots if _slots(wrapper) else (lambda i: 0 if i.get("a") else i["c"] if i["l"] == "#" else sum(map(weigh, i["k"])))
+        return [max(mains, key=lambda x: (weigh(x[0]), x[0]["c"], len(x[1])))[1]]
     item, path = wrapper, [wrapper["l"]]
     while True:
         inner = [k for k in item["k"] if k["l"] != "#" and not k.get("a")]

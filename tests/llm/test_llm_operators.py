@@ -295,6 +295,31 @@ def test_names_are_overruled_by_the_wrapper(spark):
     assert {r.page_id: r.text for r in out} == {k: prose(k, 60 if k else 1) for k in range(4)}
 
 
+MENUS = {
+    "lines": "".join(f"<h{i}>Constant line {i} of the menu of the site</h{i}>" for i in range(1, 7)),
+    "list": "<ul>" + "".join(f"<li>Item {i} of the menu</li>" for i in range(20)) + "</ul>",
+}
+
+
+@pytest.mark.parametrize("menu", MENUS)
+@pytest.mark.parametrize("frame", ["<div class='a'>{}</div><div class='b'>{}</div>", "<div class='main'>{}</div><div class='entry'>{}</div>"])
+@pytest.mark.parametrize("many", [2, 9, 500])
+def test_constants_are_no_slots_on_any_number_of_pages(menu, frame, many):
+    wrapper = None
+    for k in range(many):
+        one = page_wrappers.wrapper_of(page_wrappers.tree(f"<body>{frame.format(MENUS[menu], f'<p>{prose(k, 40)}</p>')}</body>"))
+        wrapper = one if wrapper is None else page_wrappers._merged(wrapper, one, False)
+    paths, _ = page_wrappers.reading(wrapper)
+    assert paths == [["html", "body", "div.entry" if "entry" in frame else "div.b"]]
+
+
+def test_scarce_slots_do_not_hide_the_text():
+    """Two pages that differ in a date only."""
+    pages = [page_wrappers.tree(f"<body><div class='a'><p>{LONG}</p></div><div class='b'>Day {k}</div></body>") for k in range(2)]
+    paths, _ = page_wrappers.reading(page_wrappers._merged(*map(page_wrappers.wrapper_of, pages), False))
+    assert LONG.strip() in page_wrappers.article(pages[0], paths)
+
+
 def _fits(host, path, rule_host, rule_path):
     return (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path)
 
