@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clausemill.llm import queries_documents, queries_embeddings, queries_pages  # noqa: F401  (they register their queries)
+from clausemill.llm import queries_documents, queries_embeddings, queries_pages, queries_words  # noqa: F401  (they register their queries)
 from clausemill.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
