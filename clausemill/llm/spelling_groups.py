@@ -110,9 +110,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """Both directions of every near pair of numbered words (``id, word, n``): ``id, other, other_n``, some repeated."""
     signed = signatures(words)
     a, b = signed.alias("a"), signed.alias("b")
-    meet = (F.col("a.signature") == F.col("b.signature")) & (
-        ((F.col("a.role") == 0) & (F.col("b.role") == 0) & (F.col("a.id") < F.col("b.id"))) | ((F.col("a.role") == 1) & (F.col("b.role") == 2))
-    )
+    # One expression of both roles: two conditions would filter the sides apart, and signatures would be made twice.
+    roles = F.col("a.role") * 3 + F.col("b.role")
+    meet = (F.col("a.signature") == F.col("b.signature")) & (((roles == 0) & (F.col("a.id") < F.col("b.id"))) | (roles == 5))
     near = F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1
     ends = [
         F.struct(F.col(f"{x}.id").alias("id"), F.col(f"{y}.id").alias("other"), F.col(f"{y}.n").alias("other_n")) for x, y in ("ab", "ba")
