@@ -17,6 +17,7 @@ from clausemill.operators.enrich import ENRICHED_COLUMNS
 from clausemill.operators.profile import count_by, set_report
 from clausemill.operators.topk import first_k
 from clausemill.plans.dataset import SetSizes, curated_sets, labelled_sets
+from clausemill.plans.store import build_store
 from clausemill.session import scratch_path
 from clausemill.sources import schemas, tables
 
@@ -110,6 +111,14 @@ def bucket_filter(spark, folder):
     return _bucket(spark, folder, "val").select("clause_id", "cik")
 
 
+@query("j4_stored_bucket", _with(_SPLIT, select="SELECT clause_id, cik, md5(text) AS text FROM keyed WHERE bucket = 'val'"))
+def stored_bucket(spark, folder):
+    """A bucket of a loaded store, of which only the bucket's parts are read."""
+    path = scratch_path(spark, "store")
+    build_store(star.clauses(spark, folder), star.companies(spark, folder), star.filing_dates(spark, folder), path, load_order=star.LOAD_ORDER)
+    return tables.read_store(spark, path, "val").select("clause_id", "cik", F.md5("text").alias("text"))
+
+
 @query(
     "w7_company_turns",
     _with(_SPLIT, select=f"SELECT clause_id, row_number() OVER (PARTITION BY label, cik ORDER BY key, clause_id) AS turn FROM keyed QUALIFY turn <= {SIZES.train_company_cap}"),

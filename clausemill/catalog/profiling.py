@@ -85,14 +85,39 @@ def load_in_two_parts(spark, folder):
     return _slim(read_store(spark, path))
 
 
+@query("k5_rebuild", f"SELECT {_SLIM_SQL} FROM store")
+def rebuild(spark, folder):
+    """A store of half the filings, then built anew from all."""
+    path, rows = scratch_path(spark, "store"), star.clauses(spark, folder)
+    _load(spark, folder, _half(rows, 0), path)
+    _load(spark, folder, rows, path, recreate=True)
+    return _slim(read_store(spark, path))
+
+
 @query(
-    "k5_rebuild",
-    f"SELECT {_SLIM_SQL} FROM store WHERE CAST('0x' || substr(md5(accession), 1, 4) AS INTEGER) % 2 = 1",
+    "p5_stored_label_year",
+    """SELECT clause_id, company, section_header, sic, CAST(filing_date AS VARCHAR) AS filing_date, md5(text) AS text FROM store
+WHERE label = 'Indemnification' AND sic IS NOT NULL AND filing_date >= DATE '1998-01-01' AND filing_date < DATE '1999-01-01'""",
 )
-def rebuild(spark, folder):
+def stored_label_year(spark, folder):
+    """The filtered read of a loaded store, which reads the folders of one label."""
+    path = scratch_path(spark, "store")
+    _load(spark, folder, star.clauses(spark, folder), path)
+    found = U.filtered_clauses(read_store(spark, path), "Indemnification", "1998-01-01", "1999-01-01")
+    return found.select("clause_id", "company", "section_header", "sic", F.col("filing_date").cast("string").alias("filing_date"), F.md5("text").alias("text"))
+
+
+@query(
+    "k4_corrected_filings",
+    f"""SELECT {_SLIM_SQL} FROM (SELECT * REPLACE (CASE WHEN cik IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)
+  THEN 'Corrected' ELSE company END AS company) FROM store)""",
+)
+def corrected_filings(spark, folder):
+    """A loaded store after the clauses of some companies were loaded again with another name."""
     path, rows = scratch_path(spark, "store"), star.clauses(spark, folder)
-    for which in (0, 1):
-        _load(spark, folder, _half(rows, which), path, recreate=True)
+    _load(spark, folder, rows, path)
+    again = star.table(spark, folder, "customer").where(F.col("c_acctbal") < 0).select(F.col("c_custkey").cast("string").alias("cik"))
+    _load(spark, folder, rows.join(again, "cik", "left_semi").withColumn("company", F.lit("Corrected")), path)
     return _slim(read_store(spark, path))
 
 

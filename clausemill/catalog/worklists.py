@@ -117,9 +117,14 @@ def _broken_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return submissions(spark, folder).withColumn("body", broken)
 
 
+# A body without any value is "{}", of which the first eight characters are still a body.
+_GOOD_BODY = """right(cik, 1) NOT IN ('1', '3', '5')
+  OR (right(cik, 1) = '5' AND coalesce(form_type = '10-K', false) AND company IS NULL AND o_orderstatus = 'P')"""
+
+
 @query(
     "s6_malformed_bodies",
-    "SELECT DISTINCT cik, right(cik, 1) IN ('1', '3', '5') AS asked_again FROM filings",
+    f"SELECT cik, NOT bool_or({_GOOD_BODY}) AS asked_again FROM filings GROUP BY cik",
 )
 def malformed_bodies(spark, folder):
     """The companies that J6 asks for again after a load of broken bodies."""
@@ -240,17 +245,17 @@ def filings_per_quarter(spark, folder):
 
 @query(
     "j6_backfill_job",
-    """, unknown AS (SELECT DISTINCT cik FROM clauses WHERE cik NOT IN (SELECT cik FROM companies)),
+    f""", unknown AS (SELECT DISTINCT cik FROM clauses WHERE cik NOT IN (SELECT cik FROM companies)),
 bodies AS (SELECT cik, CASE WHEN form_type IS DISTINCT FROM '10-K' THEN file_type END AS sic, company AS sic_description FROM filings
-  WHERE cik IN (SELECT cik FROM unknown) AND right(cik, 1) NOT IN ('1', '3', '5')),
+  WHERE cik IN (SELECT cik FROM unknown) AND ({_GOOD_BODY})),
 new_dates AS (SELECT cik, accession, CAST(o_orderdate AS DATE) AS filing_date FROM filings
-  WHERE o_orderstatus <> 'P' AND cik IN (SELECT cik FROM bodies))
+  WHERE o_orderstatus <> 'P' AND cik IN (SELECT cik FROM unknown) AND ({_GOOD_BODY}))
 SELECT 'company' AS kind, cik, sic AS key, sic_description AS value FROM companies
 UNION ALL SELECT 'company', * FROM bodies QUALIFY row_number() OVER (PARTITION BY cik ORDER BY sic DESC NULLS LAST, sic_description DESC NULLS LAST) = 1
 UNION ALL SELECT 'date', cik, accession, CAST(TRY_CAST(filing_date AS DATE) AS VARCHAR) FROM filing_dates
   WHERE (cik, accession) NOT IN (SELECT cik, accession FROM new_dates)
 UNION ALL SELECT 'date', cik, accession, CAST(filing_date AS VARCHAR) FROM new_dates
-UNION ALL SELECT DISTINCT 'malformed', cik, NULL, NULL FROM filings WHERE cik IN (SELECT cik FROM unknown) AND right(cik, 1) IN ('1', '3', '5')""",
+UNION ALL SELECT DISTINCT 'malformed', cik, NULL, NULL FROM filings WHERE cik IN (SELECT cik FROM unknown) AND NOT ({_GOOD_BODY})""",
 )
 def backfill_job(spark, folder):
     """Both dimensions after a backfill from bodies of which some are broken."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.functions.ids import SAMPLE_SEED, SPLIT_SEED, ambiguity_score, shuffle_key, split_bucket
@@ -11,6 +11,10 @@ from clausemill.operators.topk import first_k
 from clausemill.session import scratch_path
 
 
+# So many chosen rows are fetched by their keys; more are joined.
+PUSHED_KEYS = 5000
+
+
 def assign_buckets(clauses: DataFrame, seed: str = SPLIT_SEED) -> DataFrame:
     """One ``(cik, bucket)`` row per company."""
     return clauses.select("cik").distinct().withColumn("bucket", split_bucket(F.col("cik"), seed))
@@ -82,9 +86,37 @@ def sample_picks(
     return drawn.select("ord", "clause_id", "position")
 
 
-def _whole_rows(clauses: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Fetch the wide rows of chosen ids. They come from a written table, whose size lets the planner broadcast it."""
-    return clauses.join(chosen, "clause_id")
+def _one_of(name: str, values: set[str]) -> Column:
+    quoted = (value.replace("\\", "\\\\").replace("'", "\\'") for value in sorted(values))
+    return F.expr(f"{name} IN ({', '.join(f"'{value}'" for value in quoted)})")
+
+
+def rows_of(clauses: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The wide rows of chosen ids, with the columns of ``chosen`` (``clause_id``, ``accession`` and any others).
+
+    Up to ``PUSHED_KEYS`` keys become a filter of the scan, which a stored table answers from its statistics, page
+    indexes and Bloom filters; beyond that many, the rows are joined by the size of the chosen table.
+    """
+    keys = chosen.select("clause_id", "accession").limit(PUSHED_KEYS + 1).collect()
+    if not keys:
+        return clauses.join(chosen.drop("accession"), "clause_id").where(F.lit(False))
+    if len(keys) <= PUSHED_KEYS:
+        filings = {key["accession"] for key in keys}
+        clauses = clauses.where(_one_of("clause_id", {key["clause_id"] for key in keys}) & _one_of("accession", filings))
+    return clauses.join(chosen.drop("accession"), "clause_id")
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def pool(clauses: DataFrame, bucket: Column, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
+    """What choosing needs of the store, in one narrow scan: keys, label, score and the ``bucket`` of the company."""
+    return with_ambiguity(
+        clauses.select("clause_id", "accession", "cik", "label", "section_header", "text_len", bucket.alias("bucket")), taxonomy
+    ).drop("section_header", "text_len")
 
 
 def stratified_sample(
@@ -92,10 +124,16 @@ def stratified_sample(
 ) -> DataFrame:
     """The sampled clauses, whole rows with ``ord`` and ``position``. ``clause_id`` must be unique.
 
-    The choice runs on ids; the texts are read once more for the chosen rows only.
+    The choice runs on keys, in one narrow scan; the texts are read for the chosen rows only.
     """
-    chosen = sample_picks(clauses, per_category, company_cap, seed, taxonomy)
-    return _whole_rows(clauses, chosen)
+    narrow = _stored(clauses.select("clause_id", "accession", "cik", "label"), "pool")
+    picks = sample_picks(narrow, per_category, company_cap, seed, taxonomy)
+    return rows_of(clauses, _stored(with_accession(picks, narrow), "picks"))
+
+
+def with_accession(chosen: DataFrame, narrow: DataFrame) -> DataFrame:
+    """Chosen ids with the accession number by which stored rows are sorted."""
+    return narrow.select("clause_id", "accession").join(chosen, "clause_id")
 
 
 def shortfall(spark, sampled: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -120,25 +158,23 @@ def with_ambiguity(clauses: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFr
     return clauses.withColumn("ambiguity_score", ambiguity_score(F.col("section_header"), F.col("text_len"), taxonomy))
 
 
+def best_candidates(narrow: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
+    """``clause_id, accession, ord, rank`` of the most ambiguous clauses per label, of rows with their score."""
+    scored = narrow.select("clause_id", "accession", taxonomy.position(F.col("label")).alias("ord"), "ambiguity_score")
+    order = [F.desc("ambiguity_score"), F.asc("clause_id")]
+    return first_k(scored.where(F.col("ord") >= 0), ["ord"], order, per_category).select("clause_id", "accession", "ord", "rank")
+
+
 def evaluation_candidates(clauses: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
     """Per label the ``per_category`` most ambiguous clauses, whole rows with ``ord`` and ``rank``."""
-    scored = with_ambiguity(clauses.select("clause_id", "label", "section_header", "text_len"), taxonomy).select(
-        "clause_id", taxonomy.position(F.col("label")).alias("ord"), "ambiguity_score"
-    )
-    order = [F.desc("ambiguity_score"), F.asc("clause_id")]
-    chosen = first_k(scored.where(F.col("ord") >= 0), ["ord"], order, per_category)
-    path = scratch_path(clauses.sparkSession, "candidates")
-    chosen.write.parquet(path)
-    return _whole_rows(clauses, clauses.sparkSession.read.schema(chosen.schema).parquet(path))
+    chosen = best_candidates(pool(clauses, F.lit(None).cast("string"), taxonomy), per_category, taxonomy)
+    return rows_of(clauses, _stored(chosen, "candidates"))
 
 
 def one_per_label(clauses: DataFrame, seed: int = 1) -> DataFrame:
-    """One seeded random clause per label with the start of its text.
-
-    The choice has one row per label, so it is broadcast to the wide rows.
-    """
-    rows = clauses.select("clause_id", "label", shuffle_key(F.col("clause_id"), seed).alias("key"))
-    chosen = first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 1).select("clause_id")
-    return clauses.join(F.broadcast(chosen), "clause_id", "left_semi").select(
+    """One seeded random clause per label with the start of its text."""
+    rows = clauses.select("clause_id", "accession", "label", shuffle_key(F.col("clause_id"), seed).alias("key"))
+    chosen = first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 1).select("clause_id", "accession")
+    return rows_of(clauses, _stored(chosen, "examples")).select(
         "label", "company", "section_header", "clause_id", F.substring("text", 1, 300).alias("excerpt")
     )

@@ -7,17 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clausemill.functions.ids import SAMPLE_SEED, SPLIT_SEED
+from clausemill.functions.ids import SAMPLE_SEED, SPLIT_SEED, split_bucket
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.operators.checks import misplaced, shared_companies, unknown_buckets
 from clausemill.operators.curate import (
     assign_buckets,
-    evaluation_candidates,
-    in_bucket,
-    of_bucket,
+    best_candidates,
     picked,
+    pool,
+    rows_of,
+    sample_picks,
     shortfall,
-    stratified_sample,
+    with_accession,
     with_ambiguity,
 )
 from clausemill.operators.enrich import ENRICHED_COLUMNS
@@ -57,20 +58,44 @@ def curated_sets(
     """The three sets as DataFrames, ordered by label turn and pick.
 
     Companies belong to the buckets of a recorded split, if ``assignments`` has one, else to those of ``split_seed``.
+    The store is scanned once, narrowly, for the keys of all sets, and read once for the rows that they chose; both
+    are written to the shared folder.
     """
+    spark = store.sparkSession
+    if assignments is None:
+        narrow = pool(store, split_bucket(F.col("cik"), split_seed), taxonomy)
+    else:
+        narrow = pool(store, F.lit(None).cast("string"), taxonomy).drop("bucket").join(assignments.select("cik", "bucket"), "cik")
+    narrow_path, rows_path = scratch_path(spark, "pool"), scratch_path(spark, "set-rows")
+    narrow.write.partitionBy("bucket").parquet(narrow_path)
+    narrow = spark.read.schema(narrow.schema).parquet(narrow_path)
 
     def members(bucket: str) -> DataFrame:
-        return of_bucket(store, bucket, split_seed) if assignments is None else in_bucket(store, assignments, bucket)
+        return narrow.where(F.col("bucket") == bucket)
+
+    def sampled(bucket: str, per_category: int, company_cap: int) -> DataFrame:
+        picks = sample_picks(members(bucket), per_category, company_cap, seed, taxonomy)
+        return with_accession(picks, members(bucket)).select("clause_id", "accession", "ord", F.col("position").alias("place"), F.lit(bucket).alias("set"))
+
+    candidates = best_candidates(members("test"), sizes.eval_per_category, taxonomy)
+    chosen = (
+        sampled("train", sizes.train_per_category, sizes.train_company_cap)
+        .unionByName(sampled("val", sizes.val_per_category, sizes.val_company_cap))
+        .unionByName(candidates.select("clause_id", "accession", "ord", F.col("rank").alias("place"), F.lit("test").alias("set")))
+    )
+    chosen_path = scratch_path(spark, "set-keys")
+    chosen.write.parquet(chosen_path)
+    rows = rows_of(store, spark.read.schema(chosen.schema).parquet(chosen_path))
+    rows.write.partitionBy("set").parquet(rows_path)
+    rows = spark.read.schema(rows.schema).parquet(rows_path)
+
+    def drawn(bucket: str) -> DataFrame:
+        return rows.where(F.col("set") == bucket).orderBy("ord", "place")
 
-    train = stratified_sample(members("train"), sizes.train_per_category, sizes.train_company_cap, seed, taxonomy)
-    val = stratified_sample(members("val"), sizes.val_per_category, sizes.val_company_cap, seed, taxonomy)
-    candidates = evaluation_candidates(members("test"), sizes.eval_per_category, taxonomy)
     return {
-        "train": train.orderBy("ord", "position").select(*ENRICHED_COLUMNS),
-        "val": val.orderBy("ord", "position").select(*ENRICHED_COLUMNS),
-        "eval_candidates": with_ambiguity(candidates, taxonomy)
-        .orderBy("ord", "rank")
-        .select(*ENRICHED_COLUMNS, "ambiguity_score"),
+        "train": drawn("train").select(*ENRICHED_COLUMNS),
+        "val": drawn("val").select(*ENRICHED_COLUMNS),
+        "eval_candidates": with_ambiguity(drawn("test"), taxonomy).select(*ENRICHED_COLUMNS, "ambiguity_score"),
     }
 
 
@@ -113,8 +138,7 @@ def build_dataset(
 
     ``assignments`` is a recorded split that takes the place of the seed's. The evaluation set holds the
     candidates whose ids a reviewer picked; before there are ``picked_ids`` it is neither written nor reported.
-    The sets are written to the shared folder, with the place of each row, before they are checked, so the
-    store is scanned once per set. Nothing is written to ``out`` when a check fails.
+    The sets are written to the shared folder, with the place of each row, before they are checked. Nothing is written to ``out`` when a check fails.
     """
     split_path = scratch_path(spark, "assignments")
     write_assignments(assign_buckets(store, split_seed) if assignments is None else assignments, split_path)

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
     # "First k per group" is cut on the map side for every k (the largest int), not only below 1,000.
     "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
+    # Lists of chosen keys are looked up in the page indexes and Bloom filters of stored tables (default: up to 10 keys).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "5000",
     # Lets a two-way partitioned write keep both files open instead of sorting the clause texts.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }

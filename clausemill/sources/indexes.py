@@ -91,7 +91,10 @@ def _parsed(bodies: DataFrame, body: str) -> DataFrame:
 
 
 def parse_submissions(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """One JSON document per company to ``cik, sic, sic_description, recent``; malformed bodies give no row."""
+    """One JSON document per company to ``cik, sic, sic_description, recent``; malformed bodies give no row.
+
+    ``{}`` is a good body without values: its company becomes known, with NULLs.
+    """
     return _parsed(bodies, body).where("_good").select(
         "cik",
         F.col("_s.sic").alias("sic"),

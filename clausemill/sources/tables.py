@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clausemill.sources import schemas
+from clausemill.sources.store import read_store  # noqa: F401  (S11, with the other tables)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -29,11 +30,6 @@ def read_corpus(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return corpus.select(*columns) if columns else corpus
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The enriched clause store."""
-    return spark.read.schema(schemas.ENRICHED).parquet(path)
-
-
 def write_table(rows: DataFrame, path: str, *partition_by: str) -> None:
     """Write a table anew."""
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
