@@ -13,7 +13,8 @@ from clausemill.functions.taxonomy import CONTRACT_KEYWORDS, CONTRACTS, Taxonomy
 from clausemill.functions.text import clean_spaces, exhibit_body
 from clausemill.operators import extract as X
 from clausemill.operators.profile import documents_scanned, frequency_gate, label_frequencies
-from clausemill.sources.exhibits import with_path_keys
+from clausemill.session import scratch_path
+from clausemill.sources.exhibits import read_exhibits, read_exhibits_anywhere, with_path_keys, write_exhibits
 
 # A second taxonomy, for prose that carries licence lines instead of contract headers.
 LICENCES = Taxonomy.of(
@@ -136,6 +137,31 @@ def _exhibit_lines(spark: SparkSession, folder: str) -> DataFrame:
 # --- lines -------------------------------------------------------------------------------------
 
 
+_FILE_LINES = """SELECT f.cik, f.accession, f.filename, md5(string_agg(line, chr(10) ORDER BY i)) AS lines_md5
+FROM lines JOIN filings f ON doc_id = o_orderkey GROUP BY ALL"""
+
+
+def _exhibit_files(spark: SparkSession, folder: str) -> str:
+    """The rendered exhibits as files, one folder per company and filing."""
+    place = scratch_path(spark, "exhibit-files")
+    write_exhibits(star.exhibits(spark, folder), place)
+    return place
+
+
+def _lines_of_files(files: DataFrame) -> DataFrame:
+    return X.with_lines(files).select("cik", "accession", "filename", F.md5(F.array_join("lines", "\n")).alias("lines_md5"))
+
+
+@query("s1_exhibit_files", _FILE_LINES)
+def exhibit_files(spark, folder):
+    return _lines_of_files(read_exhibits(spark, _exhibit_files(spark, folder)))
+
+
+@query("s3_exhibit_files_anywhere", _FILE_LINES)
+def exhibit_files_anywhere(spark, folder):
+    return _lines_of_files(with_path_keys(read_exhibits_anywhere(spark, _exhibit_files(spark, folder))))
+
+
 @query(
     "s2_path_keys",
     "SELECT o_orderkey, cik, accession, filename FROM filings",

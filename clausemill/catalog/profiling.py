@@ -528,6 +528,22 @@ def reconciliation(spark, folder):
     return U.reconcile(star.loaded(spark, folder), star.store(spark, folder))
 
 
+@query(
+    "u7_contents",
+    "SELECT (SELECT count(*) FROM store) AS source_rows, (SELECT count(*) FROM store) AS sink_rows, true AS same, false AS same_after_change",
+)
+def contents(spark, folder):
+    """A loaded store against what it should hold, and against that with the texts of one label cut short."""
+    path = scratch_path(spark, "store")
+    _load(spark, folder, star.clauses(spark, folder), path)
+    store, expected = read_store(spark, path), star.store(spark, folder)
+    changed = expected.withColumn("text", F.when(F.col("label") == "Assignment", F.substring("text", 2, 1 << 30)).otherwise(F.col("text")))
+    wrong = U.reconcile_contents(changed, store, ENRICHED_COLUMNS)
+    return U.reconcile_contents(expected, store, ENRICHED_COLUMNS).select(
+        "source_rows", "sink_rows", F.col("agree").alias("same"), wrong.select("agree").scalar().alias("same_after_change")
+    )
+
+
 @query(
     "u7_distinct_reconciliation",
     "SELECT (SELECT count(DISTINCT clause_id) FROM loaded) AS source_rows, (SELECT count(*) FROM store) AS sink_rows, true AS agree",

@@ -26,12 +26,22 @@ EXTENT_BLOCK = 128
 CLAUSE_COLUMNS = ["label", "section_header", "text", "cik", "company", "form_type", "file_type", "accession", "filename", "filing_year"]
 
 
-def with_lines(documents: DataFrame, raw: str = "raw") -> DataFrame:
-    """Replace the raw text by ``lines`` and ``error`` (NULL when the document was read)."""
+MAX_BYTES = 128 << 20  # of one exhibit; a worker needs some ten times as much
+
+
+def with_lines(documents: DataFrame, raw: str = "raw", max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Replace the raw text by ``lines`` and ``error`` (NULL when the document was read).
+
+    A document over ``max_bytes`` is not sent to a Python worker, whose memory it would exceed: it is one failed row,
+    with its size, and the others are read.
+    """
+    size = F.octet_length(F.col(raw))
+    small = F.when(size <= max_bytes, exhibit_body(F.col(raw)))
+    too_large = F.when(size > max_bytes, F.concat(F.lit("TooLarge: "), size.cast("string"), F.lit(" bytes")))
     return (
-        documents.withColumn("_read", html_lines(exhibit_body(F.col(raw))))
-        .withColumns({"lines": F.col("_read.lines"), "error": F.col("_read.error")})
-        .drop("_read", raw)
+        documents.withColumns({"_read": html_lines(small), "_too_large": too_large})
+        .withColumns({"lines": F.col("_read.lines"), "error": F.coalesce("_too_large", "_read.error")})
+        .drop("_read", "_too_large", raw)
     )
 
 

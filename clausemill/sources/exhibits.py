@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,30 @@ def read_exhibits_anywhere(spark: SparkSession, folder: str) -> DataFrame:
     """S3: every ``.htm`` file at any depth, keyed by its path."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.htm")
     return _files(reader, folder)
+
+
+def write_exhibits(documents: DataFrame, folder: str) -> int:
+    """S1 backwards: ``cik, accession, filename, raw`` as one file each, ``{folder}/{cik}/{accession}/{filename}``.
+
+    The tasks write the files of their rows, through ``pyarrow.fs``, and only count them; a repeated task writes the same
+    files again. A null ``raw`` gives an empty file. Returns the number of files.
+    """
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder)
+        made, count = set(), 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                place = f"{base}/{row['cik']}/{row['accession']}"
+                if place not in made:
+                    system.create_dir(place, recursive=True)
+                    made.add(place)
+                with system.open_output_stream(f"{place}/{row['filename']}") as file:
+                    file.write((row["raw"] or "").encode())
+                count += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([count], pa.int64())})
+
+    rows = documents.select("cik", "accession", "filename", "raw").where("cik IS NOT NULL AND accession IS NOT NULL AND filename IS NOT NULL")
+    return rows.mapInArrow(written, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
