@@ -97,17 +97,21 @@ class Sampler:
 
     def __init__(self, vocabulary: Vocabulary, alpha: float = ALPHA):
         self.vocabulary = vocabulary
-        longest = max(len(text) for text, _, _ in vocabulary.pieces)
+        # For every length, the hashes of all beginnings of pieces, with the piece that ends there or -1.
+        beginnings: list[dict[str, tuple[int, float]]] = [{} for _ in range(max(len(text) for text, _, _ in vocabulary.pieces))]
+        for text, number, rank in vocabulary.pieces:
+            for length in range(1, len(text)):
+                beginnings[length - 1].setdefault(text[:length], (-1, 0.0))
+            beginnings[len(text) - 1][text] = (number, -alpha * float(np.log(rank + RANK_SHIFT)))
         self.tables = []
-        for length in range(1, longest + 1):
-            chosen = [(t, n, r) for t, n, r in vocabulary.pieces if len(t) == length]
-            codes = np.array([[ord(c) + 1 for c in t] for t, _, _ in chosen], dtype=np.uint64).reshape(-1, length)
+        for length, known in enumerate(beginnings, 1):
+            codes = np.array([[ord(c) + 1 for c in t] for t in known], dtype=np.uint64).reshape(-1, length)
             hashes = (codes * _powers(_BASE, length)).sum(axis=1, dtype=np.uint64)
             order = np.argsort(hashes)
             if len(np.unique(hashes)) != len(hashes):
-                raise ValueError("two pieces have one hash")
-            weights = -alpha * np.log(np.array([r for _, _, r in chosen], dtype=float) + RANK_SHIFT)
-            self.tables.append((hashes[order], np.array([n for _, n, _ in chosen], dtype=np.int32)[order], weights[order]))
+                raise ValueError("two beginnings of pieces have one hash")
+            numbers, weights = (np.array([x[k] for x in known.values()]) for k in (0, 1))
+            self.tables.append((hashes[order], numbers.astype(np.int32)[order], weights[order]))
         self.byte_weight = -alpha * float(np.log(len(vocabulary.pieces) + RANK_SHIFT))
         self._clear()
 
@@ -116,6 +120,7 @@ class Sampler:
         self.first = np.zeros(0, dtype=np.int64)  # each unit's first and last node
         self.last = np.zeros(0, dtype=np.int64)
         self.nodes = 0
+        self.edges = np.zeros(0, dtype=np.int64)  # each node's first edge; edges are sorted by end node
         self.keys = np.zeros(0)  # for each edge, its end node plus the share of weight up to it
         self.start = np.zeros(0, dtype=np.int64)
         self.piece = np.zeros(0, dtype=np.int32)  # or -1 minus the code point of a character without a piece
@@ -135,13 +140,13 @@ class Sampler:
         power, inverse = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
         sums = np.concatenate([[np.uint64(0)], np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)])
         starts, ends, pieces, weights, ends_at = [], [], [], [], []
+        at = np.arange(n)
         for length, (hashes, numbers, piece_weights) in enumerate(self.tables, 1):
-            if not len(hashes):
-                continue
-            at = np.flatnonzero(left >= length)
+            at = at[left[at] >= length]
             h = (sums[at + length] - sums[at]) * inverse[at]
             place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = hashes[place] == h
+            begins = hashes[place] == h
+            hit = begins & (numbers[place] >= 0)
             if length == 1:
                 missing = at[~hit]
                 starts.append(node[missing])
@@ -150,14 +155,18 @@ class Sampler:
                 size = 1 + (codes[missing] > 0x7F) + (codes[missing] > 0x7FF) + (codes[missing] > 0xFFFF)
                 weights.append(self.byte_weight * size)
                 ends_at.append(offset[missing] + 1)
-            at, place = at[hit], place[hit]
-            starts.append(node[at])
-            ends.append(node[at] + length)
+            found, place = at[hit], place[hit]
+            starts.append(node[found])
+            ends.append(node[found] + length)
             pieces.append(numbers[place])
             weights.append(piece_weights[place])
-            ends_at.append(offset[at] + length)
+            ends_at.append(offset[found] + length)
+            at = at[begins]
         start, end, piece, weight, end_at = (np.concatenate(x) for x in (starts, ends, pieces, weights, ends_at))
-        order = np.lexsort((start, end, end_at))
+        # One number to sort by: end in its unit, end, start. An edge is at most as long as the longest piece.
+        longest = len(self.tables) + 1
+        by_end = end * longest + longest - 1 - (end - start)
+        order = np.argsort(end_at * np.int64((n + len(new) + 1) * longest) + by_end)
         start, end, piece, weight, end_at = (x[order] for x in (start, end, piece, weight, end_at))
         total = np.zeros(n + len(new))
         share = np.empty(len(start))
@@ -174,8 +183,10 @@ class Sampler:
             before = np.repeat(upto[heads] - scaled[heads], counts)
             share[a:b] = (upto - before) / np.repeat(sums_, counts)
             share[a:b][np.append(heads[1:] - 1, b - a - 1)] = 1.0
-        order = np.lexsort((start, end))
+        order = np.argsort(end * longest + longest - 1 - (end - start))
         first = self.nodes + np.cumsum(lengths + 1) - lengths - 1
+        arriving = np.bincount(end, minlength=n + len(new))
+        self.edges = np.concatenate([self.edges, len(self.keys) + np.cumsum(arriving) - arriving])
         self.first, self.last = np.concatenate([self.first, first]), np.concatenate([self.last, first + lengths])
         self.keys = np.concatenate([self.keys, self.nodes + end[order] + share[order]])
         self.start = np.concatenate([self.start, self.nodes + start[order]])
@@ -193,7 +204,11 @@ class Sampler:
         active, steps = np.arange(len(units)), []
         while len(active):
             random = _mixed(base[active] + (at - stop).astype(np.uint64) * _GOLDEN) >> np.uint64(40)
-            edge = np.searchsorted(self.keys, at + random * 2.0**-24, side="right")
+            edge, drawn = self.edges[at], at + random * 2.0**-24
+            short = np.flatnonzero(self.keys[edge] <= drawn)
+            while len(short):
+                edge[short] += 1
+                short = short[self.keys[edge[short]] <= drawn[short]]
             steps.append((active, self.piece[edge]))
             at = self.start[edge]
             going = at > stop
@@ -240,7 +255,8 @@ class Sampler:
             segments.clear()
 
         for row, text in enumerate(texts):
-            found, before = (m[0] for m in UNIT.finditer(text)), 0
+            short = len(text) <= SLICE_UNITS  # so it has no more units, which can be found at once
+            found, before = iter(UNIT.findall(text)) if short else (m[0] for m in UNIT.finditer(text)), 0
             while part := list(islice(found, SLICE_UNITS)):
                 units.extend(part)
                 segments.append((row, len(part), before))
@@ -251,10 +267,41 @@ class Sampler:
         return np.concatenate(values) if values else np.zeros(0, dtype=np.int32), sizes
 
 
+class Spelling:
+    """The bytes of all pieces in one array, to decode many texts at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.flat = np.frombuffer(b"".join(vocabulary.bytes), dtype=np.uint8)
+        self.size = np.array([len(b) for b in vocabulary.bytes], dtype=np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def same(self, texts: list[str | None], pieces: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """For texts with so many pieces each, whether the pieces' bytes are the text's."""
+        written = [(t or "").encode() for t in texts]
+        sizes = self.size[pieces]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        decoded = ends[upto[1:]] - ends[upto[:-1]]
+        given = np.array([len(b) for b in written], dtype=np.int64)
+        same = decoded == given
+        if not same.all():  # texts no longer stand at the same places, so each is compared by itself
+            for k in np.flatnonzero(same):
+                same[k] = self._spelled(pieces[upto[k] : upto[k + 1]]).tobytes() == written[k]
+            return same
+        wrong = np.concatenate([[0], np.cumsum(self._spelled(pieces) != np.frombuffer(b"".join(written), dtype=np.uint8))])
+        places = np.concatenate([[0], np.cumsum(given)])
+        return wrong[places[1:]] == wrong[places[:-1]]
+
+    def _spelled(self, pieces: np.ndarray) -> np.ndarray:
+        sizes = self.size[pieces]
+        shift = self.begin[pieces] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.arange(int(sizes.sum())) + np.repeat(shift, sizes)]
+
+
 def _encoder(vocabulary, alpha: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary.value, alpha)
-        table = vocabulary.value.bytes
+        spelling = Spelling(vocabulary.value)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             seeds = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
@@ -263,10 +310,7 @@ def _encoder(vocabulary, alpha: float):
                 values, sizes = sampler.encode([t or "" for t in part], seeds[a:b])
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
                 missing = np.array([t is None for t in part])
-                same = [
-                    t is not None and b"".join(map(table.__getitem__, values[i:j].tolist())) == t.encode()
-                    for t, i, j in zip(part, offsets[:-1], offsets[1:], strict=True)
-                ]
+                same = spelling.same(part, values, sizes)
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32(), mask=np.append(missing, False)), pa.array(values, pa.int32())
                 )
