@@ -7,8 +7,9 @@ most ``NODE_ROWS`` sets are compared exhaustively by their tokens, larger ones b
 small node in some tree with a probability that the number of trees brings near one.
 
 Pairs whose tokens agree often enough are candidates, and every link is confirmed on full sets. Only links that
-join components matter, so first a tree of candidates per node is confirmed; then nodes that still hold several components are
-compared on full sets and return the links that join them. Groups of near copies that no branching can divide are
+join components matter: at every level, links to a common member of each large node are confirmed, and nodes that then hold
+one component are dropped. Next a tree of candidates per small node is confirmed; then nodes that still hold several
+components are compared on full sets and return the links that join them. Groups of near copies that no branching can divide are
 joined by links to a common member; members that are not linked to it are compared with all others of the node, in
 blocks. So nothing is capped and no group is expanded into all its pairs.
 
@@ -35,6 +36,7 @@ TOKENS = 128
 TREES = 10
 NODE_ROWS = 300
 MAX_DEPTH = 6
+TASK_PAIRS = 20_000_000  # pairs of sets that a task compares by their tokens
 ERRORS = 5  # standard errors below the threshold down to which tokens make a candidate
 
 _T = PERCENT / 100
@@ -185,28 +187,35 @@ def _rooted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Tokens in common, for all pairs of rows."""
     out = np.zeros((len(a), len(b)), dtype=np.int16)
+    ones = np.uint64(0x0101010101010101)
     for at in range(0, len(a), 64):
-        out[at : at + 64] = (a[at : at + 64, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int16)
+        same = (a[at : at + 64, None, :] == b[None, :, :]).view(np.uint64)  # eight tokens to a number, a byte each
+        out[at : at + 64] = (same.sum(axis=2) * ones) >> np.uint64(56)
     return out
 
 
-_STEP = "node long, id long, other long"
+def _starred(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of members of large nodes with the node's common member, where tokens agree."""
+    for batch in batches:
+        if batch.empty:
+            continue
+        ids, others = batch["id"].to_numpy(), batch["common"].to_numpy()
+        close = ((_matrix(batch["tokens"]) == _matrix(batch["common_tokens"])).sum(axis=1) >= AGREE) & (ids != others)
+        yield _pairs(ids[close], others[close])
 
 
 def _branched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Children of members of large nodes, and their pairs with the node's common member where tokens agree."""
+    """Children of members of large nodes."""
     for batch in batches:
         if batch.empty:
             continue
-        tokens, common = _matrix(batch["tokens"]), _matrix(batch["common_tokens"])
-        ids, others = batch["id"].to_numpy(), batch["common"].to_numpy()
+        tokens, ids = _matrix(batch["tokens"]), batch["id"].to_numpy()
         node = batch["node"].to_numpy().view(np.uint64)
-        close = ((tokens == common).sum(axis=1) >= AGREE) & (ids != others)
-        out = [pd.DataFrame({"node": None, "id": ids[close], "other": others[close]})]
+        children, members = [], []
         for holds, position in _chosen(node):
-            child = _child(node, position, tokens[np.arange(len(ids)), position])[holds]
-            out.append(pd.DataFrame({"node": child.view(np.int64), "id": ids[holds], "other": None}))
-        yield pd.concat(out).astype("Int64")
+            children.append(_child(node, position, tokens[np.arange(len(ids)), position])[holds])
+            members.append(ids[holds])
+        yield pd.DataFrame({"node": np.concatenate(children).view(np.int64), "id": np.concatenate(members)})
 
 
 _PAIR = "a long, b long"
@@ -323,56 +332,81 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
         nodes = members.groupBy("node").agg(F.count("*").alias("n"), of_node.alias("common")).where("n > 1")
         return stored(spark, members.join(nodes, "node"), "nodes")
 
-    level, small, pairs = counted(tokens.mapInPandas(_rooted, "node long, id long")), [], []
+    def sets_of(ids: DataFrame) -> DataFrame:
+        texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+        return texts.join(ids, "id", "left_semi").mapInPandas(_sets, "id long, shingles array<long>")
+
+    links = spark.createDataFrame([], _PAIR)
+    labels = spark.createDataFrame([], "id long, component long")
+    sets = spark.createDataFrame([], "id long, shingles array<long>")
+
+    def with_sets(ids: DataFrame) -> DataFrame:
+        """The sets known so far and those of more ids."""
+        return sets.unionByName(stored(spark, sets_of(ids.join(sets.select("id"), "id", "left_anti")), "sets"))
+
+    def labelled(members: DataFrame) -> DataFrame:
+        return members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def mixed(members: DataFrame) -> DataFrame:
+        """Members of nodes that hold several components; the others have no link left that would join any."""
+        held = labelled(members).groupBy("node").agg(F.min("component").alias("c"), F.max("component").alias("d"))
+        return members.join(held.where("c <> d").select("node"), "node", "left_semi")
+
+    def confirm(candidates: DataFrame) -> None:
+        """Confirm candidate pairs on full sets; the components grow by them."""
+        nonlocal sets, links, labels
+        candidates = stored(spark, candidates.distinct(), "pairs")
+        if candidates.isEmpty():
+            return
+        sets = with_sets(stored(spark, _ends(candidates), "involved"))
+        links = links.unionByName(stored(spark, _confirmed(candidates, sets), "links"))
+        labels = components(links)
+
+    def stars(members: DataFrame) -> DataFrame:
+        commons = members.select("common").distinct().join(tokens.withColumnRenamed("id", "common"), "common")
+        commons = stored(spark, commons.withColumnRenamed("tokens", "common_tokens"), "common-members")
+        starred = members.select("id", "common").distinct().join(tokens, "id").join(commons, "common")
+        return starred.mapInPandas(_starred, _PAIR)
+
+    # Links to the common members of large nodes come first: they join groups of near copies, whose nodes then hold
+    # one component and need no branching. Each set first asks its most populous node, and then all that are mixed.
+    level, small = counted(tokens.mapInPandas(_rooted, "node long, id long")), []
+    fullest = level.where(f"n > {NODE_ROWS}").groupBy("id").agg(F.max(F.struct("n", "node", "common")).alias("f"))
+    confirm(stars(fullest.select("id", "f.common")))
     for _ in range(MAX_DEPTH):
         small.append(level.where(f"n <= {NODE_ROWS}"))
-        large = level.where(f"n > {NODE_ROWS}")
+        large = stored(spark, mixed(level.where(f"n > {NODE_ROWS}")), "large-nodes")
         if large.isEmpty():
             large = None
             break
-        commons = large.select("common").distinct().join(tokens.withColumnRenamed("id", "common"), "common")
-        commons = stored(spark, commons.withColumnRenamed("tokens", "common_tokens"), "common-members")
-        step = stored(spark, large.join(tokens, "id").join(commons, "common").mapInPandas(_branched, _STEP), "branches")
-        pairs.append(step.where("node IS NULL").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
-        level = counted(step.where("node IS NOT NULL").select("node", "id"))
+        confirm(stars(large))
+        large = mixed(large)
+        step = stored(spark, large.select("node", "id").join(tokens, "id").mapInPandas(_branched, "node long, id long"), "branches")
+        level = counted(step)
     else:
         # The last level is the end of branching; what is still large there is settled below, in blocks.
         small.append(level.where(f"n <= {NODE_ROWS}"))
-        large = level.where(f"n > {NODE_ROWS}")
+        large = stored(spark, mixed(level.where(f"n > {NODE_ROWS}")), "large-nodes")
     nodes = small[0]
     for more in small[1:]:
         nodes = nodes.unionByName(more)
-    nodes = nodes.select("node", "id")
+    nodes = stored(spark, mixed(nodes.select("node", "id", "n")), "small-nodes")
 
-    # Round one: links to common members of large nodes, and a forest of each small node.
-    forest = nodes.join(short, "id").groupBy("node").applyInPandas(_spanning, _PAIR)
-    for more in pairs:
-        forest = forest.unionByName(more)
-    first = stored(spark, forest.distinct(), "pairs")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-        found = texts.join(ids, "id", "left_semi").mapInPandas(_sets, "id long, shingles array<long>")
-        return stored(spark, found, "sets")
-
-    involved = stored(spark, _ends(first), "involved")
-    sets = sets_of(involved)
-    links = stored(spark, _confirmed(first, sets), "links")
-    labels = components(links)
+    # Round one: a forest of each small node. Nodes are dealt by the work they make, not by their few bytes.
+    work = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # each of n members meets n others
+    dealt = max(int(work // TASK_PAIRS) + 1, spark.sparkContext.defaultParallelism)
+    forest = nodes.select("node", "id").join(short, "id").repartition(dealt, "node").groupBy("node").applyInPandas(_spanning, _PAIR)
+    confirm(forest)
+    involved = sets.select("id")
 
     # Round two: what else joins components. A set without any candidate in round one has none in small nodes.
-    def labelled(members: DataFrame) -> DataFrame:
-        return members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-    rest = labelled(nodes.join(involved, "id", "left_semi"))
-    mixed = rest.groupBy("node").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("node")
-    rest = rest.join(mixed, "node", "left_semi").join(sets, "id").withColumn("asks", F.lit(True))
+    rest = labelled(mixed(nodes.select("node", "id").join(involved, "id", "left_semi")))
+    rest = rest.join(sets, "id").withColumn("asks", F.lit(True))
     second = rest.select(*_MEMBER).groupBy("node").applyInPandas(_across, _PAIR)
     if large is not None and not large.isEmpty():
         members = stored(spark, _undivided(labelled(large), labels), "undivided")
         if not members.isEmpty():
-            missing = members.select("id").distinct().join(involved, "id", "left_anti")
-            sets = sets.unionByName(sets_of(missing))
+            sets = with_sets(members.select("id").distinct())
             blocks = members.join(sets, "id").select(*_MEMBER, "block", "ask_block")
             second = second.unionByName(blocks.groupBy("node", "block", "ask_block").applyInPandas(_across, _PAIR))
     second = stored(spark, second.distinct(), "links")
