@@ -7,7 +7,7 @@ most ``NODE_ROWS`` sets are compared exhaustively by their tokens, larger ones b
 small node in some tree with a probability that the number of trees brings near one.
 
 Pairs whose tokens agree often enough are candidates, and every link is confirmed on full sets. Only links that
-join components matter: at every level, links to a common member of each large node are confirmed, and nodes that then hold
+join components matter: links to a common member of each set's most populous node are confirmed first, and nodes that then hold
 one component are dropped. Next a tree of candidates per small node is confirmed; then nodes that still hold several
 components are compared on full sets and return the links that join them. Groups of near copies that no branching can divide are
 joined by links to a common member; members that are not linked to it are compared with all others of the node, in
@@ -226,13 +226,47 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
 
 
-def _spanning(rows: pd.DataFrame) -> pd.DataFrame:
-    """A forest of candidate pairs of a node, grown from the smallest ids breadth first."""
-    rows = rows.sort_values("id")
-    ids = rows["id"].to_numpy()
-    tokens = np.frombuffer(b"".join(rows["short"]), dtype=np.uint8).reshape(-1, TOKENS)
+def _by_node(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of whole nodes, of rows sorted by node. A small node has at most ``NODE_ROWS`` rows, so little is held back."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        nodes = batch["node"].to_numpy()
+        cut = int(np.searchsorted(nodes, nodes[-1]))  # the last node may go on in the next batch
+        if cut:
+            yield pd.concat([*held, batch.iloc[:cut]], ignore_index=True)
+            held = [batch.iloc[cut:]]
+        elif held and held[0]["node"].iloc[0] != nodes[0]:
+            yield pd.concat(held, ignore_index=True)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _bounds(nodes: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = np.flatnonzero(np.diff(nodes)) + 1
+    return zip([0, *cuts.tolist()], [*cuts.tolist(), len(nodes)], strict=True)
+
+
+def _spanning(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For every node a forest of candidate pairs, grown from the smallest ids breadth first."""
+    for rows in _by_node(batches):
+        rows = rows.sort_values(["node", "id"])
+        ids = rows["id"].to_numpy()
+        tokens = np.frombuffer(b"".join(rows["short"]), dtype=np.uint8).reshape(-1, TOKENS)
+        found = [_forest(ids[a:b], tokens[a:b]) for a, b in _bounds(rows["node"].to_numpy())]
+        pairs = np.array([pair for forest in found for pair in forest], dtype=np.int64).reshape(-1, 2)
+        yield _pairs(pairs[:, 0], pairs[:, 1])
+
+
+def _forest(ids: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
     close = _agreeing(tokens, tokens) >= AGREE
-    left, a, b = np.ones(len(ids), dtype=bool), [], []
+    if int(close.sum()) == len(ids):  # each set agrees with itself alone
+        return []
+    left, pairs = np.ones(len(ids), dtype=bool), []
     for root in range(len(ids)):
         if not left[root]:
             continue
@@ -242,10 +276,9 @@ def _spanning(rows: pd.DataFrame) -> pd.DataFrame:
             at = queue.pop(0)
             near = np.flatnonzero(close[at] & left)
             left[near] = False
-            a += [ids[at]] * len(near)
-            b += ids[near].tolist()
+            pairs += [(ids[at], other) for other in ids[near].tolist()]
             queue += near.tolist()
-    return _pairs(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))
+    return pairs
 
 
 def _common(asking: list[np.ndarray], all_: list[np.ndarray]) -> np.ndarray:
@@ -297,6 +330,13 @@ def _across(rows: pd.DataFrame) -> pd.DataFrame:
     return _pairs(*(np.array([f[k] for f in found], dtype=np.int64) for k in (0, 1)))
 
 
+def _across_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``_across`` for rows sorted by node."""
+    for rows in _by_node(batches):
+        for a, b in _bounds(rows["node"].to_numpy()):
+            yield _across(rows.iloc[a:b])
+
+
 def sketches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id``, ``n_shingles``, a digest of the set, its minwise tokens and their last bytes, as a written table."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -368,9 +408,9 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
         starred = members.select("id", "common").distinct().join(tokens, "id").join(commons, "common")
         return starred.mapInPandas(_starred, _PAIR)
 
-    # Links to the common members of large nodes come first: they join groups of near copies, whose nodes then hold
-    # one component and need no branching. Each set first asks its most populous node, and then all that are mixed.
-    level, small = counted(tokens.mapInPandas(_rooted, "node long, id long")), []
+    # Links to the common member of each set's most populous node come first: they join groups of near copies, whose
+    # nodes then hold one component and need no branching. Links to other common members are confirmed with the forests.
+    level, small, starred = counted(tokens.mapInPandas(_rooted, "node long, id long")), [], []
     fullest = level.where(f"n > {NODE_ROWS}").groupBy("id").agg(F.max(F.struct("n", "node", "common")).alias("f"))
     confirm(stars(fullest.select("id", "f.common")))
     for _ in range(MAX_DEPTH):
@@ -379,8 +419,7 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
         if large.isEmpty():
             large = None
             break
-        confirm(stars(large))
-        large = mixed(large)
+        starred.append(stored(spark, stars(large), "stars"))
         step = stored(spark, large.select("node", "id").join(tokens, "id").mapInPandas(_branched, "node long, id long"), "branches")
         level = counted(step)
     else:
@@ -394,15 +433,21 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
 
     # Round one: a forest of each small node. Nodes are dealt by the work they make, not by their few bytes.
     work = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # each of n members meets n others
-    dealt = max(int(work // TASK_PAIRS) + 1, spark.sparkContext.defaultParallelism)
-    forest = nodes.select("node", "id").join(short, "id").repartition(dealt, "node").groupBy("node").applyInPandas(_spanning, _PAIR)
+    dealt = max(int(work // TASK_PAIRS) + 1, 4 * spark.sparkContext.defaultParallelism)
+
+    def in_nodes(members: DataFrame) -> DataFrame:
+        return members.repartition(dealt, "node").sortWithinPartitions("node")
+
+    forest = in_nodes(nodes.select("node", "id").join(short, "id")).mapInPandas(_spanning, _PAIR)
+    for more in starred:
+        forest = forest.unionByName(more)
     confirm(forest)
     involved = sets.select("id")
 
     # Round two: what else joins components. A set without any candidate in round one has none in small nodes.
     rest = labelled(mixed(nodes.select("node", "id").join(involved, "id", "left_semi")))
     rest = rest.join(sets, "id").withColumn("asks", F.lit(True))
-    second = rest.select(*_MEMBER).groupBy("node").applyInPandas(_across, _PAIR)
+    second = in_nodes(rest.select(*_MEMBER)).mapInPandas(_across_nodes, _PAIR)
     if large is not None and not large.isEmpty():
         members = stored(spark, _undivided(labelled(large), labels), "undivided")
         if not members.isEmpty():
