@@ -7,7 +7,7 @@ from the documents that hold them.
 
 A document without a line of its own consists of such lines: it is a copy of something, not a carrier of
 boilerplate. It stays whole, and which copy remains is left to near-dedup. Every other document loses its boilerplate
-lines, whatever their share. With ``max_lost_percent``, documents that would lose more than that stay whole as well.
+lines, whatever their share.
 
 Lines are compared after trimming white space; lines without a word are never boilerplate. A null text has no
 lines and stays null. A null site is no site. What is decided depends on text and site only, so repeated rows and
@@ -19,16 +19,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clausemill.llm.common import GAP, row_key, stored, whole
+from clausemill.llm.common import GAP, let, row_key, stored, whole
 
 MIN_SITES = 5
-MAX_LOST_PERCENT = 50  # of the query over ``documents``, as its SQL has it
+BLANKS = " \t\n\v\f\r"
 SKETCH_BITS = 12  # a relative error of 1.04 / sqrt(2^12), or 1.6 percent
 ERRORS = 6  # estimates within so many standard errors of the threshold are counted exactly
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, rf"^{GAP}|{GAP}$", "")
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def _lines(text: str) -> Column:
@@ -88,12 +88,10 @@ def dedup(
     site: str = "source",
     doc_id: str = "doc_id",
     min_sites: int = MIN_SITES,
-    max_lost_percent: int | None = None,
 ) -> DataFrame:
     """Each row as ``row`` with ``clean``, its text without boilerplate lines, and how many lines and characters that took.
 
-    ``kept_whole`` marks documents that keep such lines: those without another line, and with ``max_lost_percent``
-    those that would lose more than that.
+    ``kept_whole`` marks documents that keep such lines, being without another line.
     """
     keyed = docs.select(F.struct("*").alias("row"), row_key(doc_id, text).alias("key"))
     narrow = docs.select(F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
@@ -103,30 +101,23 @@ def dedup(
     rows = keyed.join(removed, "key", "left").drop("key")
     body = F.col("row")[text]
     positions = F.coalesce("positions", F.array().cast("array<int>"))
-    split = F.split(whole(body), "\n")
-    parts = F.transform(
-        split, lambda line, at: F.struct(line.alias("line"), F.array_contains(positions, at).alias("gone"))
-    )
-    rows = rows.withColumn("parts", F.when(F.size(positions) > 0, parts))
-
-    def chars(lines: Column) -> Column:
-        return F.length(F.regexp_replace(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), GAP, ""))
-
-    lost = F.coalesce(chars(F.filter("parts", lambda x: x["gone"])), F.lit(0)).cast("long")
-    every = F.coalesce(chars(F.col("parts")), F.lit(0)).cast("long")
-    rows = rows.withColumns({"n_boilerplate": F.size(positions).cast("long"), "boilerplate_chars": lost, "chars": every})
-    if max_lost_percent is None:
-        copies = (F.col("boilerplate_chars") > 0) & (F.col("boilerplate_chars") == F.col("chars"))
-    else:
-        copies = F.col("boilerplate_chars") * 100 > F.col("chars") * max_lost_percent
-    rows = rows.withColumn("kept_whole", copies)
-    without = F.array_join(F.transform(F.filter("parts", lambda x: ~x["gone"]), lambda x: x["line"]), "\n")
+
+    def without(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), positions)
+        return F.array_join(F.transform(left, lambda at: F.get(lines, at)), "\n")
+
+    def chars(body: Column) -> Column:
+        return F.length(F.regexp_replace(body, GAP, "")).cast("long")
+
+    touched = F.size(positions) > 0
+    rows = rows.withColumn("rest", F.when(touched, let(F.split(whole(body), "\n"), without)))
+    rows = rows.withColumns({"chars": F.when(touched, chars(whole(body))), "left": F.when(touched, chars(F.col("rest")))})
     return rows.select(
         "row",
-        F.when(F.col("parts").isNull() | F.col("kept_whole"), body).otherwise(without).alias("clean"),
-        "n_boilerplate",
-        "boilerplate_chars",
-        "kept_whole",
+        F.when(F.col("left") > 0, F.col("rest")).otherwise(body).alias("clean"),
+        F.size(positions).cast("long").alias("n_boilerplate"),
+        F.coalesce(F.col("chars") - F.col("left"), F.lit(0)).alias("boilerplate_chars"),
+        (touched & (F.col("left") == 0)).alias("kept_whole"),
     )
 
 

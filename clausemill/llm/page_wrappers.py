@@ -25,6 +25,7 @@ import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -67,6 +68,7 @@ NEVER_ASIDE = set("html body main article".split())  # by their names
 MAIN_WORDS = set("article articlebody content entry main maincontent post story".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
+MAX_NESTING = 120  # elements nested deeper count as part of the one around them
 MAX_ITEMS = 48  # longer sequences of children become one repeated group of optional members
 MOST = 0.6
 SCARCE = 0.1  # slots with less of the text do not tell where the article is: long constant texts are weighed too
@@ -160,7 +162,11 @@ def tree(page: str) -> Element:
 
     def pop_to(depth: int) -> None:
         flush()
-        del stack[depth:]
+        for tag in tags[depth:]:
+            opened[tag] -= 1
+        del stack[depth:], tags[depth:]
+
+    tags, opened = [root.tag], Counter()  # of the stack; the root is not counted
 
     while k < len(found):
         start, end, tag, closing, attributes = found[k]
@@ -182,15 +188,14 @@ def tree(page: str) -> Element:
         if tag not in BLOCKS:
             continue
         dropped = False
-        tags = [e.tag for e in stack]
         if closing:
-            if tag in tags[1:]:
-                pop_to(len(tags) - 1 - tags[::-1].index(tag))
+            if opened[tag]:
+                pop_to(next(depth for depth in range(len(tags) - 1, 0, -1) if tags[depth] == tag))
             else:
                 flush()
             continue
         flush()
-        if tag in ("html", "body") and (tag == "html" or "body" in tags):
+        if tag in ("html", "body") and (tag == "html" or opened["body"]):
             continue
         if tags[-1] == "p" or (tags[-1] in HEADINGS and tag in HEADINGS):
             pop_to(len(stack) - 1)
@@ -202,9 +207,14 @@ def tree(page: str) -> Element:
                 if tags[depth] in SCOPES:
                     break
         element = Element(tag, attributes)
-        stack[-1].children.append(element)
+        if len(stack) <= MAX_NESTING:
+            stack[-1].children.append(element)
+        else:  # its content is that of the element around it
+            element.children = stack[-1].children
         if tag not in VOID:
             stack.append(element)
+            tags.append(tag)
+            opened[tag] += 1
     if not dropped:
         text.append(page[at:])
     flush()

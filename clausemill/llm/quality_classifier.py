@@ -155,7 +155,8 @@ def train(
 
 def score(docs: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
     """Each row as ``row`` with its ``score``, the chance that it is good."""
-    trained = np.frombuffer(model.first()["weights"], dtype=np.float32)
+    learned = model.first()  # None where there was no example
+    trained = np.frombuffer(learned["weights"], dtype=np.float32) if learned else np.zeros(2**BITS + 1, dtype=np.float32)
 
     @F.pandas_udf("double")
     def chance(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -138,17 +138,17 @@ by_doc AS (
          coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS rest
   FROM marked GROUP BY doc_id)
 SELECT doc_id, n_boilerplate::BIGINT AS n_boilerplate, boilerplate_chars::BIGINT AS boilerplate_chars,
-       boilerplate_chars * 100 > chars * {line_spread.MAX_LOST_PERCENT} AS kept_whole,
-       CASE WHEN n_boilerplate = 0 OR boilerplate_chars * 100 > chars * {line_spread.MAX_LOST_PERCENT} THEN text ELSE rest END AS text
+       n_boilerplate > 0 AND boilerplate_chars = chars AS kept_whole,
+       CASE WHEN n_boilerplate = 0 OR boilerplate_chars = chars THEN text ELSE rest END AS text
 FROM by_doc
 """
 
 
 @query("op7_line_spread", LINE_SQL)
 def op7_line_spread(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the lines that stand on many sites, unless it would lose over half of its text."""
+    """Every document without the lines that stand on many sites, unless it has no other."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return line_spread.dedup(docs, max_lost_percent=line_spread.MAX_LOST_PERCENT).selectExpr(
+    return line_spread.dedup(docs).selectExpr(
         "row.doc_id AS doc_id", "n_boilerplate", "boilerplate_chars", "kept_whole", "clean AS text"
     )
 

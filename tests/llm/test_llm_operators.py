@@ -104,7 +104,6 @@ def test_shared_lines_go_from_documents_with_a_line_of_their_own(spark):
     assert all(out[i].clean == f"Own words {i}." and not out[i].kept_whole for i in range(5))
     assert out[9].clean == "\n".join(shared) and out[9].kept_whole
     assert {r.doc_id: r.text for r in line_spread.clean(docs).collect()} == {i: r.clean for i, r in out.items()}
-    assert all(r.kept_whole for r in line_spread.dedup(docs, max_lost_percent=50).collect())
 
 
 def test_mixing_is_within_a_block_of_its_weights(spark):

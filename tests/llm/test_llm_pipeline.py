@@ -43,8 +43,7 @@ def _plain(rows):
     for i, t, _ in kept:
         lines = t.split("\n")
         left = [x for x in lines if len(sites[x]) < line_spread.MIN_SITES]
-        lost = sum(len(x.replace(" ", "")) for x in lines) - sum(len(x.replace(" ", "")) for x in left)
-        cleaned.append((i, t if lost * 2 > len(re.sub(r"\s", "", t)) else "\n".join(left)))
+        cleaned.append((i, "\n".join(left) if "".join(left).strip() else t))
     heads = [c for _, c in plain_components([t for _, t in cleaned])]
     return {i: t for at, (i, t) in enumerate(cleaned) if heads[at] == at}
 
