@@ -91,18 +91,26 @@ def _one_of(name: str, values: set[str]) -> Column:
     return F.expr(f"{name} IN ({', '.join(f"'{value}'" for value in quoted)})")
 
 
+def _keys(rows: DataFrame) -> list[str]:
+    """The id, and the accession number by which stored rows are sorted, where rows have one."""
+    return [name for name in ("clause_id", "accession") if name in rows.columns]
+
+
 def rows_of(clauses: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The wide rows of chosen ids, with the columns of ``chosen`` (``clause_id``, ``accession`` and any others).
+    """The wide rows of chosen ids, with the columns of ``chosen`` (``clause_id``, perhaps ``accession``, and any others).
 
     Up to ``PUSHED_KEYS`` keys become a filter of the scan, which a stored table answers from its statistics, page
     indexes and Bloom filters; beyond that many, the rows are joined by the size of the chosen table.
     """
-    keys = chosen.select("clause_id", "accession").limit(PUSHED_KEYS + 1).collect()
+    names = _keys(chosen)
+    keys = chosen.select(*names).limit(PUSHED_KEYS + 1).collect()
     if not keys:
         return clauses.join(chosen.drop("accession"), "clause_id").where(F.lit(False))
     if len(keys) <= PUSHED_KEYS:
-        filings = {key["accession"] for key in keys}
-        clauses = clauses.where(_one_of("clause_id", {key["clause_id"] for key in keys}) & _one_of("accession", filings))
+        for name in names:
+            if any(key[name] is None for key in keys):
+                continue
+            clauses = clauses.where(_one_of(name, {key[name] for key in keys}))
     return clauses.join(chosen.drop("accession"), "clause_id")
 
 
@@ -115,7 +123,7 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
 def pool(clauses: DataFrame, bucket: Column, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
     """What choosing needs of the store, in one narrow scan: keys, label, score and the ``bucket`` of the company."""
     return with_ambiguity(
-        clauses.select("clause_id", "accession", "cik", "label", "section_header", "text_len", bucket.alias("bucket")), taxonomy
+        clauses.select(*_keys(clauses), "cik", "label", "section_header", "text_len", bucket.alias("bucket")), taxonomy
     ).drop("section_header", "text_len")
 
 
@@ -126,14 +134,14 @@ def stratified_sample(
 
     The choice runs on keys, in one narrow scan; the texts are read for the chosen rows only.
     """
-    narrow = _stored(clauses.select("clause_id", "accession", "cik", "label"), "pool")
+    narrow = _stored(clauses.select(*_keys(clauses), "cik", "label"), "pool")
     picks = sample_picks(narrow, per_category, company_cap, seed, taxonomy)
     return rows_of(clauses, _stored(with_accession(picks, narrow), "picks"))
 
 
 def with_accession(chosen: DataFrame, narrow: DataFrame) -> DataFrame:
     """Chosen ids with the accession number by which stored rows are sorted."""
-    return narrow.select("clause_id", "accession").join(chosen, "clause_id")
+    return narrow.select(*_keys(narrow)).join(chosen, "clause_id")
 
 
 def shortfall(spark, sampled: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -160,9 +168,9 @@ def with_ambiguity(clauses: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFr
 
 def best_candidates(narrow: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
     """``clause_id, accession, ord, rank`` of the most ambiguous clauses per label, of rows with their score."""
-    scored = narrow.select("clause_id", "accession", taxonomy.position(F.col("label")).alias("ord"), "ambiguity_score")
+    scored = narrow.select(*_keys(narrow), taxonomy.position(F.col("label")).alias("ord"), "ambiguity_score")
     order = [F.desc("ambiguity_score"), F.asc("clause_id")]
-    return first_k(scored.where(F.col("ord") >= 0), ["ord"], order, per_category).select("clause_id", "accession", "ord", "rank")
+    return first_k(scored.where(F.col("ord") >= 0), ["ord"], order, per_category).select(*_keys(narrow), "ord", "rank")
 
 
 def evaluation_candidates(clauses: DataFrame, per_category: int, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
@@ -173,8 +181,8 @@ def evaluation_candidates(clauses: DataFrame, per_category: int, taxonomy: Taxon
 
 def one_per_label(clauses: DataFrame, seed: int = 1) -> DataFrame:
     """One seeded random clause per label with the start of its text."""
-    rows = clauses.select("clause_id", "accession", "label", shuffle_key(F.col("clause_id"), seed).alias("key"))
-    chosen = first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 1).select("clause_id", "accession")
+    rows = clauses.select(*_keys(clauses), "label", shuffle_key(F.col("clause_id"), seed).alias("key"))
+    chosen = first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 1).select(*_keys(clauses))
     return rows_of(clauses, _stored(chosen, "examples")).select(
         "label", "company", "section_header", "clause_id", F.substring("text", 1, 300).alias("excerpt")
     )
