@@ -465,6 +465,19 @@ def completed_documents(spark, folder):
     return documents.join(X.completed(star.manifest(spark, folder)), ["accession", "filename"]).select("doc_id", "company", "form_type", "file_type")
 
 
+@query(
+    "j1_completed_files",
+    _with(
+        _flags("lines"), _HEADERS, _SECTIONS, _CANDIDATES, _FOUND, _CORPUS,
+        select="SELECT label, section_header, md5(text) AS text, cik, accession, filename, company FROM corpus",
+    ),
+)
+def completed_files(spark, folder):
+    """The clauses of exhibit files, of which only the completed ones are opened."""
+    found = X.extract_listed(spark, _exhibit_files(spark, folder), star.manifest(spark, folder))
+    return X.clause_corpus(found).select("label", "section_header", F.md5("text").alias("text"), "cik", "accession", "filename", "company")
+
+
 @query(
     "p1_clause_corpus",
     _with(_flags("lines"), _HEADERS, _SECTIONS, _CANDIDATES, _FOUND, _CORPUS, select="SELECT * FROM corpus"),

@@ -9,13 +9,14 @@ the join that brings the bodies back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clausemill.functions import headers as H
 from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
 from clausemill.functions.text import collapse_spaces, exhibit_body, header_key, html_lines, plain_lines
+from clausemill.sources.exhibits import list_exhibits, read_listed
 
 # Fixed value: shorter bodies are not clauses.
 MIN_CLAUSE_CHARS = 30
@@ -254,11 +255,24 @@ def extract_completed(documents: DataFrame, manifest: DataFrame, taxonomy: Taxon
 
     ``documents`` has ``cik, accession, filename, raw``. The manifest is joined after extraction, where only
     clauses travel: before it, a manifest too large for a broadcast would shuffle the raw HTML. What this
-    costs is the extraction of documents that are stored but not completed, which are few.
+    costs is the extraction of documents that are in the table but not completed; ``extract_listed`` does without.
     """
     return extract(documents, taxonomy).join(completed(manifest), ["accession", "filename"])
 
 
+def extract_listed(spark: SparkSession, folder: str, manifest: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
+    """``extract_completed`` for a folder of exhibit files, of which only the completed ones are opened.
+
+    The manifest is joined to the files' names, so neither HTML nor clauses meet a join, and what is read falls with
+    the share of completed documents.
+    """
+    wanted = list_exhibits(spark, folder).join(completed(manifest), ["accession", "filename"])
+    found = extract(read_listed(wanted, folder, MAX_BYTES), taxonomy)
+    size = F.col("length")
+    too_large = F.when(size > MAX_BYTES, F.concat(F.lit("TooLarge: "), size.cast("string"), F.lit(" bytes")))
+    return found.withColumn("error", F.coalesce(too_large, "error")).drop("length")
+
+
 def clause_corpus(extracted: DataFrame) -> DataFrame:
     """The ten columns of the clause corpus."""
     return extracted.where(F.col("label").isNotNull()).withColumn("filing_year", filing_year(F.col("accession"))).select(*CLAUSE_COLUMNS)

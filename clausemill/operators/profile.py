@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
+from clausemill.session import scratch_path
 
 # Fixed values of the profile.
 UNCLASSIFIED = ["", "0000"]
@@ -189,28 +190,46 @@ def median_company_size(sizes: DataFrame) -> DataFrame:
     return counts.agg(F.percentile("n", F.lit(0.5), F.col("companies")).alias("median_size"))
 
 
+def ranged_sizes(sizes: DataFrame) -> DataFrame:
+    """Companies (A19) in ranges by size, a hash part and name, written to the shared folder with the number of their ``range``.
+
+    The ranges are cut by a sample of all three, so many companies of one size are spread over as many ranges as they
+    need. Written, a company's range stays what it is whatever is computed again.
+    """
+    spark = sizes.sparkSession
+    parted = sizes.withColumn("part", F.substring(F.md5("company"), 1, 2))
+    placed = parted.repartitionByRange(*_curve_order()).withColumn("range", F.spark_partition_id())
+    path = scratch_path(spark, "ranged-sizes")
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
 def concentration(sizes: DataFrame) -> DataFrame:
     """Companies (A19) by size with ``rank``, running count and running percentage of all clauses.
 
-    Equal sizes are ordered by one of 256 hash parts and then by name; the curve itself does not depend
-    on that order. Sorting all companies in one task is avoided: a table of (size, part) gives every
-    group's offset, and it is short, because sizes that differ must add up to the corpus (at most
-    sqrt(2 x 256 x rows) lines). Only within one (size, part) are companies numbered by name.
+    Equal sizes are ordered by a hash part and then by name; the curve itself does not depend on that order. No task
+    sorts all companies: they are cut into ranges, one line per range gives what lies before it, and the running
+    sums are made within ranges.
     """
-    sizes = sizes.withColumn("part", F.substring(F.md5("company"), 1, 2))
-    groups = sizes.groupBy("n", "part").agg(F.count("*").alias("companies"))
-    before = Window.orderBy(F.desc("n"), "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.select(
-        "n",
-        "part",
+    placed = ranged_sizes(sizes)
+    ranges = placed.groupBy("range").agg(F.count("*").alias("companies"), F.sum("n").alias("clauses"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(
+        "range",
         F.coalesce(F.sum("companies").over(before), F.lit(0)).alias("companies_before"),
-        F.coalesce(F.sum(F.col("n") * F.col("companies")).over(before), F.lit(0)).alias("clauses_before"),
-        F.sum(F.col("n") * F.col("companies")).over(Window.partitionBy()).alias("total"),
+        F.coalesce(F.sum("clauses").over(before), F.lit(0)).alias("clauses_before"),
+        F.sum("clauses").over(Window.partitionBy()).alias("total"),
     )
-    within = F.row_number().over(Window.partitionBy("n", "part").orderBy("company"))
-    placed = sizes.withColumn("within", within).join(offsets, ["n", "part"])
-    running = F.col("clauses_before") + F.col("n") * F.col("within")
-    return placed.select(
+    within = Window.partitionBy("range").orderBy(*_curve_order())
+    sums = placed.select(
+        "range",
+        "company",
+        "n",
+        F.row_number().over(within).alias("within"),
+        F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("so_far"),
+    ).join(offsets, "range")
+    running = F.col("clauses_before") + F.col("so_far")
+    return sums.select(
         (F.col("companies_before") + F.col("within")).alias("rank"),
         "company",
         "n",
@@ -219,6 +238,10 @@ def concentration(sizes: DataFrame) -> DataFrame:
     )
 
 
+def _curve_order() -> list[Column]:
+    return [F.desc("n"), F.asc("part"), F.asc("company")]
+
+
 def companies_for_half(sizes: DataFrame) -> DataFrame:
     """How many of the largest companies (A19) it takes to hold half of all clauses, and their percentage.
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from clausemill.functions.ids import filing_year
 from clausemill.functions.taxonomy import CONTRACTS, Taxonomy
-from clausemill.operators.extract import CLAUSE_COLUMNS, array_rows, extract_completed, with_clauses, with_lines
+from clausemill.operators.extract import CLAUSE_COLUMNS, array_rows, extract_completed, extract_listed, with_clauses, with_lines
 from clausemill.operators.profile import documents_scanned, frequency_gate, label_frequencies
 from clausemill.session import scratch_path
-from clausemill.sources.exhibits import read_exhibits, read_exhibits_anywhere
+from clausemill.sources.exhibits import read_exhibits_anywhere
 
 
 @dataclass(frozen=True)
@@ -30,15 +30,17 @@ def build_corpus(
 ) -> CorpusResult:
     """Extract completed documents and write clauses and failures in one pass.
 
-    ``documents`` is a folder of exhibit files or a table ``cik, accession, filename, raw``. Both
+    ``documents`` is a folder of exhibit files, of which only the completed ones are opened, or a table
+    ``cik, accession, filename, raw``. Both
     outcomes come from one write that is split by ``outcome``; the counts are observed while writing,
     so nothing is computed twice.
     """
     if isinstance(documents, str):
-        documents = read_exhibits(spark, documents)
+        extracted = extract_listed(spark, documents, manifest, taxonomy)
+    else:
+        extracted = extract_completed(documents, manifest, taxonomy)
     rows = (
-        extract_completed(documents, manifest, taxonomy)
-        .withColumn("filing_year", filing_year(F.col("accession")))
+        extracted.withColumn("filing_year", filing_year(F.col("accession")))
         .withColumn("outcome", F.when(F.col("error").isNull(), "clauses").otherwise("failed"))
         .select(*CLAUSE_COLUMNS, "error", "outcome")
     )

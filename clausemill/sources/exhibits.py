@@ -7,6 +7,19 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
+
+from clausemill.session import scratch_path
+
+READ_BYTES = 32 << 20  # of contents that a reading worker holds before it hands them on
+
+
+def _file_system(folder: str):
+    """The ``pyarrow`` file system of a folder and the folder's path in it."""
+    from pyarrow import fs
+
+    plain = folder.rstrip("/")
+    return fs.FileSystem.from_uri("file://" + plain[5:] if plain.startswith("file:/") and not plain.startswith("file://") else plain)
 
 
 def _files(reader, where: str) -> DataFrame:
@@ -36,6 +49,54 @@ def read_exhibits(spark: SparkSession, folder: str, companies: str = "*") -> Dat
     return with_path_keys(files).select("cik", "accession", "filename", "raw")
 
 
+def list_exhibits(spark: SparkSession, folder: str, companies: str = "*") -> DataFrame:
+    """Key and ``length`` in bytes of every exhibit below a folder; no file is opened."""
+    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{companies}/*/*.htm").select("path", "length")
+    return with_path_keys(files).select("cik", "accession", "filename", "length")
+
+
+def read_listed(files: DataFrame, folder: str, max_bytes: int) -> DataFrame:
+    """The text of listed exhibits as ``raw``; ``files`` has ``cik, accession, filename, length`` and any others.
+
+    Only what is listed is read. The list is written to the shared folder first; its bytes decide how many tasks the
+    reading is dealt to, since by its own size it would be a task or two. A worker holds a batch of ``READ_BYTES`` at a
+    time. Files over ``max_bytes`` are not opened and have no text.
+    """
+    spark = files.sparkSession
+    path = scratch_path(spark, "listed-exhibits")
+    files.write.parquet(path)
+    listed = spark.read.schema(files.schema).parquet(path)
+    total, count = listed.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b"))
+    tasks = max(total // split + 1, min(count, spark.sparkContext.defaultParallelism), 1)
+
+    def with_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = _file_system(folder)
+
+        def read(batch: pa.RecordBatch, contents: list[bytes | None], end: int) -> pa.RecordBatch:
+            rows = batch.slice(end - len(contents), len(contents))
+            return pa.RecordBatch.from_arrays([*rows.columns, pa.array(contents, pa.binary())], [*rows.schema.names, "content"])
+
+        for batch in batches:
+            contents, held, at = [], 0, 0
+            for row in batch.select(["cik", "accession", "filename", "length"]).to_pylist():
+                content = None
+                if row["length"] <= max_bytes:
+                    with system.open_input_stream(f"{base}/{row['cik']}/{row['accession']}/{row['filename']}") as file:
+                        content = file.read()
+                contents.append(content)
+                held, at = held + len(content or b""), at + 1
+                if held >= READ_BYTES:
+                    yield read(batch, contents, at)
+                    contents, held = [], 0
+            if contents:
+                yield read(batch, contents, at)
+
+    schema = StructType([*listed.schema.fields, StructField("content", BinaryType())])
+    found = listed.repartition(int(tasks)).mapInArrow(with_content, schema)
+    return found.select(*listed.columns, F.make_valid_utf8(F.col("content").cast("string")).alias("raw"))
+
+
 def pack_exhibits(spark: SparkSession, folder: str, out: str, slices: list[str]) -> None:
     """S1 for a corpus of many millions of files: copy them into one table of raw documents.
 
@@ -61,9 +122,7 @@ def write_exhibits(documents: DataFrame, folder: str) -> int:
     """
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(folder)
+        system, base = _file_system(folder)
         made, count = set(), 0
         for batch in batches:
             for row in batch.to_pylist():

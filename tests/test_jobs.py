@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from clausemill.catalog import star
 from clausemill.operators.curate import assign_buckets
-from clausemill.operators.extract import extract, with_lines
+from clausemill.operators import extract as extract_module
+from clausemill.operators.extract import extract, extract_listed, with_lines
 from clausemill.plans.corpus import build_corpus, label_report
 from clausemill.plans.dataset import LeakError, SetSizes, build_dataset, check_sets
 from clausemill.plans.store import build_store, check_store
@@ -71,6 +72,36 @@ def test_corpus_job(spark, raw, tmp_path):
     ]
 
 
+def test_only_completed_files_are_opened(spark, raw, monkeypatch):
+    listed = exhibits.list_exhibits(spark, raw)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan
+    sizes = {r["filename"]: r["length"] for r in listed.collect()}
+    assert len(sizes) == 4 and sizes["x.htm"] == os.path.getsize(f"{raw}/1/0000000001-23-000002/x.htm")
+    found = extract_listed(spark, raw, _manifest(spark))
+    # Gone after it was listed: not opened, so not missed.
+    other = listed.where("filename <> 'y.htm'").withColumn("length", F.when(F.col("cik") == "3", 1 << 40).otherwise(F.col("length")))
+    texts = {r["filename"]: r["raw"] for r in exhibits.read_listed(other, raw, 1 << 20).collect()}
+    assert texts["unfinished.htm"] is None and "bad \ufffd byte" in texts["a b%20c.htm"] and "y.htm" not in texts
+    os.remove(f"{raw}/3/0000000003-23-000001/unfinished.htm")
+    assert {r["filename"] for r in found.collect()} == {"a b%20c.htm", "y.htm"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # neither HTML nor clauses are joined
+    monkeypatch.setattr(exhibits, "READ_BYTES", 1)
+    again = exhibits.read_listed(exhibits.list_exhibits(spark, raw), raw, 1 << 20).collect()
+    assert sorted(r["raw"] for r in again) == sorted(r["raw"] for r in exhibits.read_exhibits(spark, raw, "[12]").collect())
+
+
+def test_a_file_over_the_budget_is_one_failed_row(spark, raw, monkeypatch):
+    monkeypatch.setattr(extract_module, "MAX_BYTES", 100)
+    rows = {r["filename"]: r["error"] for r in extract_listed(spark, raw, _manifest(spark)).collect()}
+    assert rows["y.htm"].startswith("TooLarge: ") and "x.htm" not in rows
+
+
+def test_no_files_are_no_rows(spark, raw):
+    assert extract_listed(spark, raw, _manifest(spark).where("status = 'lost'")).count() == 0
+
+
 def test_corpus_job_keeps_failures_apart(spark, tmp_path):
     documents = spark.createDataFrame(
         [("1", "0000000001-23-000001", "a b%20c.htm", None), ("2", "0000000002-23-000001", "y.htm", "<p>Termination</p><p>" + BODY.decode())],

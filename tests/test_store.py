@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -117,6 +118,25 @@ def test_concentration_by_hand(spark):
     assert A.median_company_size(A.company_sizes(rows)).first()[0] == 2.0
 
 
+def test_concentration_of_many_companies_of_one_size(spark, monkeypatch):
+    sizes = spark.range(200_000).select(F.concat(F.lit("c"), "id").alias("company"), F.lit(1).cast("long").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # they are a megabyte, which would be one range
+    try:
+        placed = A.ranged_sizes(sizes)
+        ranges = [r["count"] for r in placed.groupBy("range").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(ranges) > 4 and max(ranges) < 2 * sum(ranges) / len(ranges)
+    monkeypatch.setattr(A, "ranged_sizes", lambda _: placed)
+    curve = A.concentration(sizes)
+    found = curve.agg(F.count_distinct("rank"), F.min("rank"), F.max("rank"), F.count_if(F.col("rank") != F.col("running")), F.max("running_pct")).first()
+    assert tuple(found) == (200_000, 1, 200_000, 0, 100.0)
+    ordered = [r["company"] for r in curve.orderBy("rank").limit(500).collect()]
+    assert ordered == sorted(ordered, key=lambda c: (hashlib.md5(c.encode()).hexdigest()[:2], c))
+    monkeypatch.undo()
+    assert A.concentration(sizes.where("false")).count() == 0
+
+
 def test_profile_of_nothing(spark):
     none = spark.createDataFrame([], schemas.ENRICHED)
     assert A.frequency_gate(A.label_frequencies(none)).first()["verdict"] == "FAIL"
