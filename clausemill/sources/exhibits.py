@@ -66,7 +66,8 @@ def read_listed(files: DataFrame, folder: str, max_bytes: int) -> DataFrame:
     path = scratch_path(spark, "listed-exhibits")
     files.write.parquet(path)
     listed = spark.read.schema(files.schema).parquet(path)
-    total, count = listed.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    read = F.when(F.col("length") <= max_bytes, F.col("length"))
+    total, count = listed.agg(F.coalesce(F.sum(read), F.lit(0)), F.count("*")).first()
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b"))
     tasks = max(total // split + 1, min(count, spark.sparkContext.defaultParallelism), 1)
 
