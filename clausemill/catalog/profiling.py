@@ -12,7 +12,7 @@ from clausemill.operators import profile as A
 from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, with_filing_date, with_industry
 from clausemill.operators.topk import latest_per_key
 from clausemill.operators.upsert import load, rejected, upsert_manifest, upsert_rows
-from clausemill.plans.profile import build_profile
+from clausemill.plans.profile import build_profile, count_new_files, profile_store
 from clausemill.plans.store import build_store
 from clausemill.session import scratch_path
 from clausemill.sources.tables import read_store
@@ -553,20 +553,25 @@ def distinct_reconciliation(spark, folder):
     return U.reconcile(rows.select("clause_id").distinct(), load(rows, [F.desc(c) for c in star.LOAD_ORDER]))
 
 
-@query(
-    "w3_profile_job",
+_PROFILE_SQL = (
     _SIZES.replace("FROM loaded", "FROM store")
     + """, medians AS (SELECT label, median(text_len) AS median_len, count(*) AS n FROM store GROUP BY label)
 SELECT 'label' AS part, label AS key, n, median_len::DOUBLE AS value FROM medians
 UNION ALL SELECT 'form', form_type, count(*), NULL FROM store WHERE form_type IS NOT NULL GROUP BY form_type
 UNION ALL SELECT 'companies', NULL, count(*), median(n)::DOUBLE FROM sizes
-UNION ALL SELECT 'long', NULL, CAST(count_if(text_len > 10000) AS BIGINT), 100.0::DOUBLE * count_if(text_len > 10000) / count(*) FROM store""",
+UNION ALL SELECT 'long', NULL, CAST(count_if(text_len > 10000) AS BIGINT), 100.0::DOUBLE * count_if(text_len > 10000) / count(*) FROM store"""
 )
+
+
+@query("w3_profile_job", _PROFILE_SQL)
 def profile_job(spark, folder):
     """Some of the tables that the profile job writes for the loaded store."""
     path = scratch_path(spark, "store")
     _load(spark, folder, star.clauses(spark, folder), path)
-    paths = build_profile(spark, read_store(spark, path), scratch_path(spark, "profile"))
+    return _some_tables(spark, build_profile(spark, read_store(spark, path), scratch_path(spark, "profile")))
+
+
+def _some_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     made = {name: spark.read.parquet(place) for name, place in paths.items()}
     nothing = F.lit(None)
     labels = made["label_shares"].join(made["label_medians"], "label")
@@ -577,3 +582,13 @@ def profile_job(spark, folder):
         .unionByName(companies.select(F.lit("companies").alias("part"), nothing.cast("string").alias("key"), F.col("companies").alias("n"), F.col("median_size").alias("value")))
         .unionByName(made["over_length"].select(F.lit("long").alias("part"), nothing.cast("string").alias("key"), F.col("over").alias("n"), F.col("pct").alias("value")))
     )
+
+
+@query("w3_profile_after_loads", _PROFILE_SQL)
+def profile_after_loads(spark, folder):
+    """The same tables from counts kept beside the store: half of the filings are loaded and counted, then all."""
+    path, rows = scratch_path(spark, "store"), star.clauses(spark, folder)
+    _load(spark, folder, _half(rows, 0), path)
+    count_new_files(spark, path)
+    _load(spark, folder, rows, path)
+    return _some_tables(spark, profile_store(spark, path, scratch_path(spark, "profile")))

@@ -179,10 +179,24 @@ def evaluation_candidates(clauses: DataFrame, per_category: int, taxonomy: Taxon
     return rows_of(clauses, _stored(chosen, "candidates"))
 
 
-def one_per_label(clauses: DataFrame, seed: int = 1) -> DataFrame:
-    """One seeded random clause per label with the start of its text."""
-    rows = clauses.select(*_keys(clauses), "label", shuffle_key(F.col("clause_id"), seed).alias("key"))
-    chosen = first_k(rows, ["label"], [F.col("key"), F.col("clause_id")], 1).select(*_keys(clauses))
-    return rows_of(clauses, _stored(chosen, "examples")).select(
+def example_picks(clauses: DataFrame, by: tuple[str, ...] = (), seed: int = 1) -> DataFrame:
+    """Id and random ``key`` of one seeded random clause per label (and ``by``)."""
+    rows = clauses.select(*by, "label", *_keys(clauses), shuffle_key(F.col("clause_id"), seed).alias("key"))
+    return first_pick(rows, by)
+
+
+def first_pick(picks: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Of the picks of parts, the one per label (and ``by``) that the whole has."""
+    return first_k(picks, [*by, "label"], [F.col("key"), F.col("clause_id")], 1).select(*by, "label", *_keys(picks), "key")
+
+
+def examples_of(clauses: DataFrame, picks: DataFrame) -> DataFrame:
+    """The picked clauses with the start of their text."""
+    return rows_of(clauses, _stored(picks.select(*_keys(picks)), "examples")).select(
         "label", "company", "section_header", "clause_id", F.substring("text", 1, 300).alias("excerpt")
     )
+
+
+def one_per_label(clauses: DataFrame, seed: int = 1) -> DataFrame:
+    """One seeded random clause per label with the start of its text."""
+    return examples_of(clauses, example_picks(clauses, seed=seed))

@@ -22,21 +22,31 @@ HISTOGRAM_LIMIT = 5_000
 HISTOGRAM_BINS = 60
 
 
-def count_by(rows: DataFrame, key: str) -> DataFrame:
-    """Rows per value; the NULL group is left out."""
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+def _count(weight: str | None, where: Column | None = None) -> Column:
+    """The number of rows (that satisfy a condition), or of those that the lines of a table of counts stand for."""
+    if weight is None:
+        return F.count("*") if where is None else F.count_if(where)
+    return F.coalesce(F.sum(weight if where is None else F.when(where, F.col(weight))), F.lit(0))
 
 
-def label_shares(rows: DataFrame) -> DataFrame:
+def count_by(rows: DataFrame, key: str, weight: str | None = None) -> DataFrame:
+    """Rows per value; the NULL group is left out.
+
+    Here and below, ``rows`` may be a table of counts as well, whose column ``weight`` says how many rows a line stands for.
+    """
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(_count(weight).alias("n"))
+
+
+def label_shares(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """A2, A3: count and percentage per label."""
-    counts = count_by(rows, "label")
+    counts = count_by(rows, "label", weight)
     total = F.sum("n").over(Window.partitionBy())
     return counts.withColumn("pct", F.try_divide(F.lit(100.0) * F.col("n"), total))
 
 
-def label_frequencies(rows: DataFrame, taxonomy: Taxonomy = CONTRACTS) -> DataFrame:
+def label_frequencies(rows: DataFrame, taxonomy: Taxonomy = CONTRACTS, weight: str | None = None) -> DataFrame:
     """A4: every label of the taxonomy with count and percentage, also at zero."""
-    counts = count_by(rows, "label")
+    counts = count_by(rows, "label", weight)
     listed = (
         taxonomy.table(rows.sparkSession)
         .select("ord", "label")
@@ -61,7 +71,7 @@ def top_terms(rows: DataFrame, key: str, n: int = 20) -> DataFrame:
     return count_by(rows, key).orderBy(F.desc("n"), key).limit(n)
 
 
-def distinct_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
+def distinct_counts(rows: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
     """Rows and distinct values per column, in one row.
 
     Each column is grouped by itself, from a scan of that column alone; several distinct counts in one
@@ -69,18 +79,36 @@ def distinct_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
     """
     parts = []
     for c in columns:
-        values = rows.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        values = rows.groupBy(F.col(c).alias("value")).agg(_count(weight).alias("n"))
         parts.append(values.agg(F.sum("n").alias("rows"), F.count("value").alias("n")).withColumn("of", F.lit(c)))
     every = reduce(DataFrame.unionByName, parts)
     found = [F.max(F.when(F.col("of") == c, F.col("n"))).alias(f"distinct_{c}") for c in columns]
     return every.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("rows"), *found)
 
 
+def nulls_per_column(columns: list[str]) -> list[Column]:
+    """The aggregates that count NULLs, one per column and under its name."""
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+
+
+def _as_rows(counted: DataFrame) -> DataFrame:
+    pairs = ", ".join(f"'{c}', `{c}`" for c in counted.columns)
+    return counted.selectExpr(f"stack({len(counted.columns)}, {pairs}) AS (column_name, nulls)")
+
+
 def null_counts(rows: DataFrame) -> DataFrame:
     """NULLs per column, one pass, as rows."""
-    counted = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns])
-    pairs = ", ".join(f"'{c}', `{c}`" for c in rows.columns)
-    return counted.selectExpr(f"stack({len(rows.columns)}, {pairs}) AS (column_name, nulls)")
+    return _as_rows(rows.agg(*nulls_per_column(rows.columns)))
+
+
+def added_null_counts(parts: DataFrame) -> DataFrame:
+    """A9 from the counts of parts, one line per part."""
+    return _as_rows(parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts.columns]))
+
+
+def row_digest(*columns: str) -> Column:
+    """SHA-256 of the JSON form of some columns, which tells a missing value from an empty one."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256))
 
 
 def _surplus(rows: DataFrame, keys: list[Column | str]) -> DataFrame:
@@ -94,8 +122,7 @@ def duplicate_rows(rows: DataFrame) -> DataFrame:
     Rows are compared by the SHA-256 of their JSON form (which tells a missing value from an empty
     one), so that 32 bytes per row are shuffled and not the texts.
     """
-    digest = F.unhex(F.sha2(F.to_json(F.struct(*rows.columns)), 256))
-    return _surplus(rows.select(digest.alias("digest")), ["digest"])
+    return _surplus(rows.select(row_digest(*rows.columns).alias("digest")), ["digest"])
 
 
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -103,9 +130,9 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return _surplus(rows, keys)
 
 
-def imbalance(rows: DataFrame) -> DataFrame:
+def imbalance(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Largest label over smallest."""
-    return count_by(rows, "label").agg(F.try_divide(F.max("n"), F.min("n")).alias("ratio"))
+    return count_by(rows, "label", weight).agg(F.try_divide(F.max("n"), F.min("n")).alias("ratio"))
 
 
 def length_counts(rows: DataFrame) -> DataFrame:
@@ -179,9 +206,9 @@ def over_length(lengths: DataFrame, threshold: int = LONG_TEXT) -> DataFrame:
     return lengths.agg(over.alias("over"), F.try_divide(F.lit(100.0) * over, F.sum("n")).alias("pct"))
 
 
-def company_sizes(rows: DataFrame) -> DataFrame:
+def company_sizes(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Clauses per company name."""
-    return count_by(rows, "company")
+    return count_by(rows, "company", weight)
 
 
 def median_company_size(sizes: DataFrame) -> DataFrame:
@@ -264,9 +291,9 @@ def companies_for_half(sizes: DataFrame) -> DataFrame:
     )
 
 
-def label_by_form(rows: DataFrame) -> DataFrame:
+def label_by_form(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows and share of each form type within a label; a pair without rows has a share of 0 and no row."""
-    counts = rows.where(F.col("form_type").isNotNull()).groupBy("label", "form_type").agg(F.count("*").alias("n"))
+    counts = rows.where(F.col("form_type").isNotNull()).groupBy("label", "form_type").agg(_count(weight).alias("n"))
     total = F.sum("n").over(Window.partitionBy("label"))
     return counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total))
 
@@ -276,14 +303,14 @@ def is_unclassified() -> Column:
     return F.col("sic").isNull() | F.col("sic").isin(UNCLASSIFIED)
 
 
-def coverage(rows: DataFrame) -> DataFrame:
+def coverage(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows without industry, without date, and without even the fallback year, in one pass."""
     no_date = F.col("filing_date").isNull()
     counted = rows.agg(
-        F.count("*").alias("rows"),
-        F.count_if(is_unclassified()).alias("missing_sic"),
-        F.count_if(no_date).alias("missing_date"),
-        F.count_if(no_date & F.col("filing_year").isNull()).alias("missing_year_too"),
+        _count(weight).alias("rows"),
+        _count(weight, is_unclassified()).alias("missing_sic"),
+        _count(weight, no_date).alias("missing_date"),
+        _count(weight, no_date & F.col("filing_year").isNull()).alias("missing_year_too"),
     )
     return counted.withColumns(
         {
@@ -298,14 +325,14 @@ def companies_without_industry(rows: DataFrame, n: int = 5) -> DataFrame:
     return rows.where(F.col("sic").isin(UNCLASSIFIED)).select("company").distinct().orderBy("company").limit(n)
 
 
-def industry_counts(rows: DataFrame) -> DataFrame:
+def industry_counts(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Clauses per industry, unclassified codes excluded, with all ``rows`` and the percentage of them.
 
     One pass: excluded rows fall into a NULL group, which counts for the total and is then dropped.
     The total is taken over one line per industry.
     """
     stated = F.when(~F.coalesce(F.col("sic").isin(UNCLASSIFIED), F.lit(False)), F.col("sic_description"))
-    counts = rows.groupBy(stated.alias("sic_description")).agg(F.count("*").alias("n"))
+    counts = rows.groupBy(stated.alias("sic_description")).agg(_count(weight).alias("n"))
     return (
         counts.withColumn("rows", F.sum("n").over(Window.partitionBy()))
         .where(F.col("sic_description").isNotNull())
@@ -313,14 +340,14 @@ def industry_counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def top_industries(rows: DataFrame, n: int = 15) -> DataFrame:
+def top_industries(rows: DataFrame, n: int = 15, weight: str | None = None) -> DataFrame:
     """The largest industries."""
-    return industry_counts(rows).orderBy(F.desc("n"), "sic_description").limit(n)
+    return industry_counts(rows, weight).orderBy(F.desc("n"), "sic_description").limit(n)
 
 
-def top_industry_share(rows: DataFrame, n: int = 10) -> DataFrame:
+def top_industry_share(rows: DataFrame, n: int = 10, weight: str | None = None) -> DataFrame:
     """Percentage of all rows that the largest industries hold."""
-    return top_industries(rows, n).agg(F.try_divide(F.lit(100.0) * F.sum("n"), F.max("rows")).alias("top_pct"))
+    return top_industries(rows, n, weight).agg(F.try_divide(F.lit(100.0) * F.sum("n"), F.max("rows")).alias("top_pct"))
 
 
 def set_report(sets: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from clausemill.catalog import star
 from clausemill.functions.ids import split_bucket
 from clausemill.operators import checks, curate, extract
 from clausemill.operators.enrich import ENRICHED_COLUMNS
+from clausemill.operators import profile as A
+from clausemill.plans import profile
 from clausemill.plans.store import build_store
 from clausemill.session import scratch_path
 from clausemill.sources import schemas, store
@@ -142,3 +144,57 @@ def test_a_document_over_the_budget_is_one_failed_row(spark):
     again = extract.with_lines(spark.createDataFrame(rows, "name string, raw string"), max_bytes=4000).collect()
     errors = {r["name"]: r["error"] for r in again}
     assert errors["big"].startswith("TooLarge: 5007") and errors["small"] is None
+
+
+def _tables(spark, paths):
+    return {name: sorted(map(str, spark.read.parquet(place).collect())) for name, place in paths.items()}
+
+
+def test_a_profile_after_a_load_reads_the_new_files(spark):
+    path = scratch_path(spark, "store")
+    rows = [(f"i{k}", f"L{k % 3}", f"c{k % 7}", f"a{k % 9}", f"t{k}" * (k % 5)) for k in range(60)]
+    first = _rows(spark, *rows, ("e", "", None, "it's a key", "empty label"), ("s", "a b/c%20", "c1", None, "odd label")).withColumn("company", F.col("cik"))
+    store.commit_load(first, path)
+    everything = set(store.version_files(spark, path, 1))
+    assert set(profile.count_new_files(spark, path)) == everything and profile.count_new_files(spark, path) == []
+    changed = _rows(spark, ("i7", "L1", "c0", "a7", "new"), ("n", "L0", "c6", "a99", "added")).withColumn("sic", F.lit("0000"))
+    store.commit_load(changed, path)
+    new = set(profile.count_new_files(spark, path))
+    assert new and new == set(store.version_files(spark, path, 2)) - everything and len(new) < len(everything)
+    # A set whose list of files is missing was not finished, and does not count.
+    spark.range(1).write.parquet(f"{path}/profile/0000000009-broken/lengths")
+    kept = _tables(spark, profile.profile_store(spark, path, scratch_path(spark, "profile")))
+    whole = _tables(spark, profile.build_profile(spark, store.read_store(spark, path), scratch_path(spark, "profile")))
+    assert kept == whole
+    assert whole["coverage"] and "rows=63" in whole["coverage"][0] and len(whole["examples"]) == 5
+
+
+def test_counts_agree_with_the_operators(spark, loaded):
+    whole = store.read_store(spark, loaded)
+    made = profile.build_profile(spark, whole, scratch_path(spark, "profile"))
+    expected = {
+        "null_counts": A.null_counts(whole),
+        "duplicate_rows": A.duplicate_rows(whole),
+        "duplicate_keys": A.duplicate_keys(whole, profile.KEY),
+        "distinct_counts": A.distinct_counts(whole, ["accession", "cik"]),
+        "label_shares": A.label_shares(whole),
+        "label_frequencies": A.label_frequencies(whole),
+        "imbalance": A.imbalance(whole),
+        "form_types": A.count_by(whole, "form_type"),
+        "filing_years": A.count_by(whole, "filing_year"),
+        "label_by_form": A.label_by_form(whole),
+        "coverage": A.coverage(whole),
+        "companies_without_industry": A.companies_without_industry(whole),
+        "top_industries": A.top_industries(whole),
+        "top_industry_share": A.top_industry_share(whole),
+        "examples": curate.one_per_label(whole),
+    }
+    tables = _tables(spark, {name: made[name] for name in expected})
+    assert tables == {name: sorted(map(str, rows.collect())) for name, rows in expected.items()}
+
+
+def test_a_profile_of_an_empty_store(spark):
+    path = scratch_path(spark, "store")
+    store.commit_load(_rows(spark), path)
+    kept = _tables(spark, profile.profile_store(spark, path, scratch_path(spark, "profile")))
+    assert kept["company_sizes"] == [] and "rows=0" in kept["coverage"][0]
