@@ -1,14 +1,16 @@
 """Personal data by weak supervision (operator 9).
 
 Strict patterns find the base spans (e-mail, IP address, card, phone). Looser patterns propose more: disguised
-e-mail addresses, phone numbers without a country code, national numbers and secrets. On every proposed span,
-four labelers vote yes, no or nothing: a format check, a gazetteer of name, number and area parts, the words around
-it, and its neighbouring characters. Expectation-maximisation over all spans of the corpus estimates how reliable
+e-mail addresses, cards inside longer runs of digits, phone numbers without a country code, IP addresses of version 6,
+national numbers, account numbers and secrets. On every proposed span, four labelers vote yes, no or nothing: a format
+check, a gazetteer of domain ends, number prefixes and countries, the words around it (in four languages), and its
+neighbouring characters. Expectation-maximisation over all spans of the corpus estimates how reliable
 each labeler is, and a logistic span classifier is trained on the resulting probabilities. Spans that it accepts are
 added; base spans always stay.
 
 One pass over the texts writes spans with votes to a table. Estimation and training only need how often each
-combination of kind, votes and shape occurs: a few thousand counts at most, whatever the size of the corpus.
+combination of kind, votes and shape (traits of the span's own characters) occurs: some thousands of counts, whatever the
+size of the corpus.
 
 Positions are code points, ends are exclusive. A null text counts as empty. Each row is judged by itself, so
 nulls, ties and repeated rows in other columns have no effect. Matching takes time in proportion to the text.
@@ -16,6 +18,7 @@ nulls, ties and repeated rows in other columns have no effect. Matching takes ti
 
 from __future__ import annotations
 
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from clausemill.llm.common import stored
 
 # The kinds in the order of ties; the first four are the base kinds.
-KINDS = ["email", "ip", "card", "phone", "national_id", "secret"]
+KINDS = ["email", "ip", "card", "phone", "national_id", "iban", "secret"]
 BASE = KINDS[:4]
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,22 +46,31 @@ AFTER_AT = re.compile(r"\s?[A-Za-z0-9-]{1,63}(?:\s?(?:[\[(]\s?dot\s?[\])]|\.)\s?
 NUMBER = re.compile(r"(?<![0-9])(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{2,3}[ .-][0-9]{4}(?![0-9])")
 PHONE_FORM = re.compile(r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}")
 NATIONAL_FORM = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
+LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9]{8}-?[A-Z](?![A-Za-z0-9])")  # eight digits and the letter of their remainder
+KEYED = re.compile(r"(?<![0-9])[12] ?[0-9]{2} ?[0-9]{2} ?[0-9]{2} ?[0-9]{3} ?[0-9]{3} ?[0-9]{2}(?![0-9])")  # 13 digits, a key of two
+REMAINDER_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IPV6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
+DIGITS = re.compile(r"[0-9]+")
 SECRET = re.compile(r"[:=][ \t]*[\"']?([A-Za-z0-9_/+-]{16,})")
 DOMAIN_ENDS = set("com org net edu gov io info biz eu de fr es uk us it nl pl ch at be se no dk fi pt br mx ca au jp cn in ru".split())
+ACCOUNT_COUNTRIES = set("AT BE BG CH CY CZ DE DK EE ES FI FR GB GR HR HU IE IS IT LI LT LU LV MC MT NL NO PL PT RO SE SI SK SM TR".split())
 CARD_STARTS = re.compile(r"4|5[1-5]|2[2-7]|3[47]|6011|65|35|30|36|38")
 CUES = {
-    "email": "mail e-mail email contact write address reach",
-    "ip": "ip address host server login from client addr",
-    "card": "card visa credit debit amex mastercard payment pay",
-    "phone": "phone call tel telephone mobile cell fax whatsapp contact dial number",
-    "national_id": "ssn social security national insurance id tax identity",
-    "secret": "token secret key password passwd pwd apikey api_key access_key credential auth",
+    "email": "mail e-mail email contact write address reach courriel adresse écrire schreiben kontakt correo escribir",
+    "ip": "ip ipv6 address host server login from client addr serveur adresse servidor dirección",
+    "card": "card visa credit debit amex mastercard payment pay carte paiement karte kreditkarte zahlung tarjeta pago",
+    "phone": "phone call tel telephone mobile cell fax whatsapp contact dial number tél téléphone portable telefon handy anruf teléfono móvil llamar",
+    "national_id": "ssn social security national insurance id tax identity sécurité sociale nir ausweis steuer dni nie identidad",
+    "iban": "iban account bank transfer compte banque virement konto überweisung cuenta banco transferencia",
+    "secret": "token secret key password passwd pwd apikey api_key access_key credential auth jeton passe clé passwort schlüssel contraseña clave",
 }
 COUNTER_CUES = set("version isbn issn order part figure section page chapter item model build release serial invoice".split())
 CUES_OF = {kind: set(words.split()) for kind, words in CUES.items()}
 CONTEXT_CHARS = 40
 CONTEXT_WORD = re.compile(r"[^\W\d]+(?:[_-][^\W\d]+)*")
 
+TRAITS = "sldaurm"  # of a span's own characters: spaces, long, mostly digits, letters, capitals, few different ones, marks
 LABELERS = ["format", "gazetteer", "context", "neighbours"]
 SPAN = "struct<kind:string,start:int,end:int,base:boolean,votes:string,shape:string>"
 PRIOR_VOTES = 2.0  # pseudo-counts that keep estimates away from 0 and 1
@@ -108,6 +120,49 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], order[s[2]], s[1]))
 
 
+def account_check(number: str) -> bool:
+    """Whether the check digits of an account number are right: moved to its end, letters as 10 to 35, 1 remains of 97."""
+    number = number.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1
+
+
+def national_check(span: str) -> bool | None:
+    """Whether the check letter or key of a national number is right; None for a form without one."""
+    plain = re.sub(r"[ -]", "", span)
+    if plain[-1].isalpha():
+        return REMAINDER_LETTERS[int(plain[:-1]) % 23] == plain[-1]
+    if len(plain) == 15:
+        return 97 - int(plain[:13]) % 97 == int(plain[13:])
+    return None
+
+
+def _version_6(span: str) -> bool:
+    try:
+        ipaddress.IPv6Address(span)
+    except ValueError:
+        return False
+    return len(re.findall(r"[0-9A-Fa-f]+", span)) >= 3
+
+
+def cards_inside(run: re.Match) -> Iterator[tuple[int, int]]:
+    """Stretches of whole groups of a run of digits that have a card's length and check digit, leftmost and shortest first.
+
+    Groups of a card have three digits or more, so a stretch has at most six.
+    """
+    groups = [m.span() for m in DIGITS.finditer(run.string, run.start(), run.end())]
+    at = 0
+    while at < len(groups):
+        digits, to, after = "", at, at + 1
+        while to < len(groups) and 3 <= groups[to][1] - groups[to][0] <= 19 - len(digits):
+            digits += run.string[slice(*groups[to])]
+            to += 1
+            if len(digits) >= 13 and CARD_STARTS.match(digits) and luhn(digits):
+                yield groups[at][0], groups[to - 1][1]
+                after = to
+                break
+        at = after
+
+
 def loose_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Further proposals that touch no base span and not each other, sorted by start."""
     found = []
@@ -118,6 +173,18 @@ def loose_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
             found.append((before.start(), after.end(), "email"))
     for m in NUMBER.finditer(text):
         found.append((m.start(), m.end(), "national_id" if NATIONAL_FORM.fullmatch(m[0]) else "phone"))
+    for form in (LETTERED, KEYED):
+        for m in form.finditer(text):
+            if national_check(m[0]):
+                found.append((m.start(), m.end(), "national_id"))
+    for m in IBAN.finditer(text):
+        found.append((m.start(), m.end(), "iban"))
+    for m in IPV6.finditer(text):
+        if _version_6(m[0]):
+            found.append((m.start(), m.end(), "ip"))
+    for m in CARD.finditer(text):
+        if m.end() - m.start() >= 13:
+            found += [(a, b, "card") for a, b in cards_inside(m)]
     for m in SECRET.finditer(text):
         found.append((m.start(1), m.end(1), "secret"))
     taken, at, free = [*base], 0, []
@@ -145,6 +212,9 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[str, str]:
         form = _vote("@" in span, False)
         ending = re.split(r"[.\s\])]+", span.rstrip(".] )"))[-1].lower()
         listed = _vote(ending in DOMAIN_ENDS, not ending.isalpha())
+    elif kind == "ip" and ":" in span:
+        form = _vote(_version_6(span), True)
+        listed = _vote(span[0] in "23", span.lower().startswith(("2001:db8:", "::", "fe80:")))
     elif kind == "ip":
         parts = [p.lstrip("0") or "0" for p in span.split(".")]
         form = _vote(all(p == "0" or not raw.startswith("0") for p, raw in zip(parts, span.split("."), strict=True)), False)
@@ -156,8 +226,12 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[str, str]:
         form = _vote(span.startswith("+") or bool(PHONE_FORM.fullmatch(span)), True)
         listed = _vote(digits[-10:][:1] not in "01" or span.startswith("+"), len(set(digits)) <= 2 or digits[-10:][:1] in "01")
     elif kind == "national_id":
-        form = _vote(bool(NATIONAL_FORM.fullmatch(span)), True)
-        listed = _vote(False, digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00" or digits[5:] == "0000")
+        checked = national_check(span)
+        form = _vote(bool(checked or NATIONAL_FORM.fullmatch(span)), True)
+        listed = _vote(bool(checked), checked is None and (digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00" or digits[5:] == "0000"))
+    elif kind == "iban":
+        form = _vote(account_check(span), True)
+        listed = _vote(span[:2] in ACCOUNT_COUNTRIES, span[:2] not in ACCOUNT_COUNTRIES)
     else:
         mixed = sum((any(c.isdigit() for c in span), any(c.isupper() for c in span), any(c.islower() for c in span)))
         form = _vote(len(digits) >= 4 and varied and mixed >= 2, not digits or not varied)
@@ -168,7 +242,17 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[str, str]:
     left, right = text[start - 1 : start], text[end : end + 1]
     bare = (not left or left.isspace() or left in "\"'([<:=,;") and (not right or right.isspace() or right in "\"')]>,;.!?")
     neighbours = _vote(bare, (left + right).isalnum() and bool(left + right) and not bare)
-    shape = ("s" if re.search(r"[ ()]", span) else "") + ("l" if len(span) >= 20 else "")
+    letters = sum(map(str.isalpha, span))
+    traits = {
+        "s": re.search(r"[ ()]", span),
+        "l": len(span) >= 20,
+        "d": 2 * len(digits) >= len(span),
+        "a": letters > 0,
+        "u": any(map(str.isupper, span)),
+        "r": not varied,
+        "m": len(span) > len(digits) + letters + span.count(" "),
+    }
+    shape = "".join(t for t in TRAITS if traits[t])
     return form + listed + context + neighbours, shape
 
 
@@ -198,7 +282,7 @@ def propose(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 
 
 def patterns(proposed: DataFrame) -> list[tuple[str, str, str, int]]:
-    """How often each (kind, votes, shape) occurs; at most kinds x 3^4 x 4 rows."""
+    """How often each (kind, votes, shape) occurs; at most kinds x 3^4 x 2^7 rows."""
     spans = proposed.select(F.explode("spans").alias("s")).select("s.kind", "s.votes", "s.shape")
     return sorted(tuple(r) for r in spans.groupBy("kind", "votes", "shape").agg(F.count("*")).collect())
 
@@ -232,7 +316,7 @@ def _features(counts: list[tuple[str, str, str, int]]) -> np.ndarray:
     rows = []
     for kind, vote, shape, *_ in counts:
         votes_ = [float(v == sign) for v in vote for sign in "-+"]
-        rows.append([1.0, *(float(kind == k) for k in KINDS), *votes_, float("s" in shape), float("l" in shape)])
+        rows.append([1.0, *(float(kind == k) for k in KINDS), *votes_, *(float(t in shape) for t in TRAITS)])
     return np.array(rows)
 
 

@@ -174,7 +174,11 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
     counts = [count(kind) for kind in personal_data.BASE]
     return found.select(
-        "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+        "doc_id",
+        *counts,
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
