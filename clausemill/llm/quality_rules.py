@@ -137,7 +137,8 @@ def clean(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -
 
     ``length`` names a column that holds the length of the text and is kept right; it may be missing.
     """
-    judged = judge(docs, text).where("kept")
+    # Filters are not moved below a generator that makes their columns; moved, they would judge every text twice.
+    judged = judge(docs, text).select("row", F.inline_outer(F.array(F.struct("kept", "clean")))).where("kept")
     kinds = dict(docs.dtypes)
     out = []
     for name in docs.columns:
