@@ -15,17 +15,20 @@ blocks. So nothing is capped and no group is expanded into all its pairs.
 
 Words are split by white space, A-Z are lower-cased. A document with fewer than five words has its whole sequence
 as one shingle; without words it has an empty set, linked with nothing. Rows without an id have no component and are
-kept. Rows that repeat an id share what happens to it; they all stay or all go.
+kept. Texts of one id belong together, as if they were linked: their rows share a component and what happens to it. Of
+rows that repeat an id and its text, ``dedup`` leaves one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clausemill.llm.common import stored
 from clausemill.llm.components import components
@@ -128,16 +131,18 @@ class Tokens:
         return _mixed(least).astype(np.uint32)
 
 
-def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import hashlib
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.md5(shingles.tobytes()).digest()
+
 
+def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler, tokens = Shingler(), Tokens()
     for batch in batches:
         sizes, digests, sketches = [], [], []
         for text in batch["text"]:
             shingles = shingler.shingles(text)
             sizes.append(len(shingles))
-            digests.append(hashlib.md5(shingles.tobytes()).digest() if len(shingles) else None)
+            digests.append(_digest(shingles) if len(shingles) else None)
             sketches.append(tokens.of(shingles).tobytes() if len(shingles) else None)
         short = [None if x is None else np.frombuffer(x, dtype=np.uint32).astype(np.uint8).tobytes() for x in sketches]
         yield pd.DataFrame(
@@ -146,11 +151,12 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sets of classes; an id may have other texts, whose digests differ from that of the class."""
     shingler = Shingler()
     for batch in batches:
-        yield pd.DataFrame(
-            {"id": batch["id"], "shingles": [shingler.shingles(text).view(np.int64) for text in batch["text"]]}
-        )
+        sets = [shingler.shingles(text) for text in batch["text"]]
+        own = [_digest(x) == digest for x, digest in zip(sets, batch["digest"], strict=True)]
+        yield pd.DataFrame({"id": batch["id"][own], "shingles": [x.view(np.int64) for x, is_own in zip(sets, own, strict=True) if is_own]})
 
 
 def _matrix(tokens: pd.Series) -> np.ndarray:
@@ -361,10 +367,15 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     spark = docs.sparkSession
     rows = sketches(docs, text, doc_id)
     known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = stored(spark, known.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
-    tokens = known.select(F.col("doc_id").alias("id"), "digest", "tokens", "short").join(classes, ["id", "digest"], "left_semi")
+    # Equal sets are a class; its number is the id by which it is joined, and its smallest document holds its text.
+    classes = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    classes = stored(spark, classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    tokens = known.select("doc_id", "digest", "tokens", "short").join(classes, ["doc_id", "digest"])
     tokens = stored(spark, tokens.dropDuplicates(["id"]).select("id", "tokens", "short"), "tokens")
     short, tokens = tokens.select("id", "short"), tokens.select("id", "tokens")
+    repeated = known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = stored(spark, repeated, "repeated-ids")
+    ids_repeat = not repeated.isEmpty()
 
     def counted(members: DataFrame) -> DataFrame:
         """Members of nodes that hold two sets or more, with their number and a common member."""
@@ -373,11 +384,20 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
         return stored(spark, members.join(nodes, "node"), "nodes")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-        return texts.join(ids, "id", "left_semi").mapInPandas(_sets, "id long, shingles array<long>")
+        texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        wanted = stored(spark, classes.join(ids, "id", "left_semi"), "wanted")
+        found = texts.join(wanted, "doc_id").mapInPandas(_sets, "id long, shingles array<long>")
+        return found.dropDuplicates(["id"]) if ids_repeat else found  # without repeated ids each class is found once
 
     links = spark.createDataFrame([], _PAIR)
     labels = spark.createDataFrame([], "id long, component long")
+    if ids_repeat:
+        own = known.select("doc_id", "digest").join(repeated, "doc_id").join(classes.select("digest", "id"), "digest")
+        own = stored(spark, own.select("doc_id", "id").distinct(), "classes-of-repeated-ids")
+        first = own.groupBy("doc_id").agg(F.min("id").alias("a"))
+        links = own.join(first, "doc_id").where("id > a").select("a", F.col("id").alias("b")).distinct()
+        links = stored(spark, links, "links")
+        labels = components(links)
     sets = spark.createDataFrame([], "id long, shingles array<long>")
 
     def with_sets(ids: DataFrame) -> DataFrame:
@@ -457,8 +477,10 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     second = stored(spark, second.distinct(), "links")
     if not second.isEmpty():
         labels = components(links.unionByName(second))
-    of_class = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+    of_class = classes.join(labels, "id", "left").select("digest", "doc_id", F.coalesce("component", "id").alias("component"))
     of_class = stored(spark, of_class, "components")
+    smallest = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = stored(spark, of_class.select("digest", "component").join(smallest, "component").drop("component"), "components")
     narrow = rows.select("doc_id", "n_shingles", "digest")
     out = narrow.join(of_class, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
@@ -490,5 +512,15 @@ def _undivided(members: DataFrame, labels: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each component, in the columns they came with."""
     gone = link(docs, text, doc_id).where("NOT kept").select(F.col("doc_id").alias("gone"))
-    gone = stored(docs.sparkSession, gone, "near-copies")
-    return docs.join(gone, docs[doc_id].cast("long") == gone["gone"], "left_anti")
+    gone = stored(docs.sparkSession, gone.distinct(), "near-copies")
+    left = docs.join(gone, docs[doc_id].cast("long") == gone["gone"], "left_anti")
+    # Only rows whose id repeats are ranked; the others are not shuffled.
+    repeated = docs.groupBy(docs[doc_id].cast("long").alias("again")).agg(F.count("*").alias("times"))
+    repeated = stored(docs.sparkSession, repeated.where("again IS NOT NULL AND times > 1").select("again"), "repeated-ids")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, left[doc_id].cast("long") == repeated["again"], "left_anti")
+    rows = left.join(repeated, left[doc_id].cast("long") == repeated["again"], "left_semi").select(F.struct("*").alias("row"))
+    same = Window.partitionBy(F.col("row")[doc_id], F.col("row")[text]).orderBy(F.xxhash64(F.to_json("row")))
+    rows = rows.withColumn("at", F.row_number().over(same)).where("at = 1").select("row.*")
+    return once.unionByName(rows)
