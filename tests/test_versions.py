@@ -198,3 +198,13 @@ def test_a_profile_of_an_empty_store(spark):
     store.commit_load(_rows(spark), path)
     kept = _tables(spark, profile.profile_store(spark, path, scratch_path(spark, "profile")))
     assert kept["company_sizes"] == [] and "rows=0" in kept["coverage"][0]
+
+
+def test_many_chosen_keys_do_not_exhaust_the_stack(spark, tmp_path):
+    rows = spark.range(20_000).select(F.sha1(F.col("id").cast("string")).alias("clause_id"), F.concat(F.lit("a'"), "id").alias("accession"), "id")
+    rows.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.schema(rows.schema).parquet(f"{tmp_path}/rows")
+    stored.where("id % 4 = 0").select("clause_id", "accession").limit(curate.PUSHED_KEYS).write.parquet(f"{tmp_path}/chosen")
+    chosen = spark.read.parquet(f"{tmp_path}/chosen")
+    found = curate.rows_of(stored, chosen)
+    assert sorted(r["clause_id"] for r in found.collect()) == sorted(r["clause_id"] for r in chosen.collect())
