@@ -1,12 +1,15 @@
 import datetime
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
+from clausemill.catalog import profiling, star  # noqa: F401  (the first registers its queries)
+from clausemill.catalog.registry import QUERIES
 from clausemill.functions.ids import clause_id
 from clausemill.operators import profile as A
 from clausemill.operators import upsert as K
-from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, first_per_key, with_filing_date
+from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, first_per_key, with_filing_date, with_id_and_length
 from clausemill.operators.topk import first_k
 from clausemill.operators.worklist import next_documents, not_yet_done, quarters_backward, unknown_companies
 from clausemill.sources import schemas
@@ -150,3 +153,44 @@ def test_histogram_of_one_length(spark):
     rows = spark.createDataFrame([("a", 40), ("b", 40)], "label string, text_len int")
     assert [tuple(r) for r in A.length_histogram(A.length_counts(rows)).collect()] == [(1, 2)]
     assert A.length_summary(A.length_counts(rows)).first()["std"] == 0.0
+
+
+def _exchanges(rows, column):
+    """The shuffles of a plan without broadcasts that carry a column, and its scans."""
+    spark = rows.sparkSession
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    nodes = [n.strip() for n in rows._jdf.queryExecution().explainString(mode).split("\n\n")]
+    carried = [n for n in nodes if re.match(r"\(\d+\) Exchange", n) and re.search(rf"\b{column}#\d+", n)]
+    return len(carried), sum(bool(re.match(r"\(\d+\) (BatchScan|Scan)", n)) for n in nodes)
+
+
+def test_clauses_are_computed_once_by_a_load(spark, tmp_path):
+    spark.createDataFrame([(*row, n) for n, row in enumerate(CORPUS)], schemas.CLAUSES + ", seq int").write.parquet(f"{tmp_path}/corpus")
+    rows = with_id_and_length(spark.read.parquet(f"{tmp_path}/corpus"))
+    assert _exchanges(K.load(rows, [F.desc("seq")]), "text") == (1, 1)
+
+
+def test_texts_of_the_store_are_joined_last(spark, tmp_path):
+    day = datetime.datetime(2020, 1, 2)
+    tables = {
+        "documents": ([(0, "first", "en"), (0, "twice", "en"), (1, None, "en"), (2, "third", "en"), (4, "", "en")], "doc_id long, text string, lang string"),
+        "lineitem": ([(7, p, n, day) for p in (0, 1, 2, 3, 5, 14, None) for n in (1, 1, 2)], "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp"),
+        "orders": ([(7, 3, "F", "1-URGENT", day), (7, 4, "P", "5-LOW", day)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"),
+        "customer": ([(3, "A", 1, 5.0, "BUILDING"), (4, "B", 1, -5.0, "HOUSEHOLD")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "nation": ([(1, "N")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    folder = str(tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("k4_keyed_load", "p2_enriched_clauses"):
+            # Once from the documents to the rows, and once where only the length is asked for.
+            assert _exchanges(QUERIES[name](spark, folder), "text")[0] <= 2
+        whole, plain = star.loaded_whole(spark, folder), star.loaded(spark, folder)
+        assert whole.columns == [c for c in plain.columns] and sorted(map(str, whole.collect())) == sorted(map(str, plain.collect()))
+        kept = [sorted(map(str, rows.drop("text", "text_len").collect())) for rows in (star.store_whole(spark, folder), star.store(spark, folder))]
+        assert kept[0] == kept[1] and len(kept[0]) > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
