@@ -1,6 +1,8 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from clausemill.functions import text
 from clausemill.functions.text import clean_spaces, exhibit_body, header_key, plain_lines, visible_lines
 
 
@@ -49,3 +51,12 @@ def test_expressions(spark):
     assert got[0]["clean"] == "5.3 TITLE \n x"
     assert got[0]["key"] == "article vi-foo"
     assert got[1].asDict() == {"body": "no tag", "lines": [], "clean": "", "key": "a-b"}
+
+
+def test_document_table_in_arrow():
+    page = '<table class="tableFile" summary="Document Format Files"><tr><td>1<td>d<td>x<a> a&amp;b.htm <a>no</a><td> EX-10 <b>.1</b>&nbsp;</table><tr><td>'
+    pages = pa.array([page, None, "", page[:-8] + "<tr><td>1<td>2<td><a>open"], pa.string())
+    found = text.document_table.func(pages).to_pylist()
+    assert found[0] == {"rows": [{"filename": "a&b.htm", "exhibit_type": "EX-10.1"}], "error": None}
+    assert found[1]["rows"] is None and found[1]["error"].startswith("TypeError: ")
+    assert found[2] == {"rows": [], "error": None} and found[3] == found[0]
