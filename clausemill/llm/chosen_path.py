@@ -40,6 +40,7 @@ TREES = 10
 NODE_ROWS = 300
 MAX_DEPTH = 6
 TASK_PAIRS = 20_000_000  # pairs of sets that a task compares by their tokens
+BROADCAST_IDS = 4_000_000  # ids that are broadcast to find their texts; for more, all texts are shuffled
 ERRORS = 5  # standard errors below the threshold down to which tokens make a candidate
 
 _T = PERCENT / 100
@@ -386,6 +387,9 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     def sets_of(ids: DataFrame) -> DataFrame:
         texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
         wanted = stored(spark, classes.join(ids, "id", "left_semi"), "wanted")
+        # A part of the texts is asked for; the others stay out of the join, which may have to shuffle.
+        if wanted.count() <= BROADCAST_IDS:
+            texts = texts.join(F.broadcast(wanted.select("doc_id")), "doc_id", "left_semi")
         found = texts.join(wanted, "doc_id").mapInPandas(_sets, "id long, shingles array<long>")
         return found.dropDuplicates(["id"]) if ids_repeat else found  # without repeated ids each class is found once
 

@@ -25,6 +25,31 @@ def test_texts_of_one_id_belong_together(spark):
     assert left == Counter({(3, _changed(b)): 1, (8, c): 1, (9, d): 1, (None, a): 1, (11, None): 1})
 
 
+def test_texts_that_are_not_asked_for_are_not_shuffled(spark, monkeypatch):
+    rows = [(k, prose(k, 80)) for k in range(40)] + [(100 + k, _changed(prose(k, 80))) for k in range(0, 40, 8)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    plans, written = [], chosen_path.stored
+
+    def stored(spark, rows, name):
+        plans.append((name, rows._jdf.queryExecution().sparkPlan().toString()))
+        return written(spark, rows, name)
+
+    monkeypatch.setattr(chosen_path, "stored", stored)
+    monkeypatch.setattr(chosen_path, "BROADCAST_IDS", 0)
+    want = sorted(chosen_path.link(docs).collect())
+    monkeypatch.undo()
+    monkeypatch.setattr(chosen_path, "stored", stored)
+    before, kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), len(plans)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(chosen_path.link(docs).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    of_texts = [plan for name, plan in plans[kept:] if name == "sets"]
+    assert of_texts and all("BroadcastHashJoin" in plan and "LeftSemi" in plan for plan in of_texts)
+    assert sum(r.component_id < r.doc_id for r in want) == 5
+
+
 def test_a_heavily_repeated_id(spark):
     """A third of all rows repeat one id and text, another third one id with several texts."""
     rows = [(1, prose(1, 80))] * 300 + [(2, prose(20 + k % 3, 80)) for k in range(300)] + [(100 + k, prose(100 + k, 80)) for k in range(300)]
