@@ -53,6 +53,30 @@ def test_files(spark, raw):
     assert exhibits.read_exhibits_anywhere(spark, raw).count() == 5
 
 
+def test_files_are_listed_by_tasks(spark, tmp_path):
+    """The same files as Spark's own index has, none of which the driver knows."""
+    folder = tmp_path / "raw"
+    names = ["1/a/x.htm", "1/a/b c%20d.htm", "1/a/_hidden.htm", "1/a/_k=v.htm", "1/a/.dot.htm", "1/a/x.HTM", "1/a/x.txt", "1/a/deep/y.htm", "_2/b/x.htm", "12/c/é.htm", "top.htm", "3/z.htm", "4/_d/w.htm", "[5]/e/v.htm"]
+    for name in names:
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(name.encode() + b" \xff")
+    (folder / "1/a/empty.htm").touch()
+    (folder / "6").mkdir()
+    raw = str(folder)
+    for companies in ("*", "1*", "[13]", "{1,_2}", "?"):
+        found, own = exhibits.read_exhibits(spark, raw, companies), spark.read.format("binaryFile").load(f"{raw}/{companies}/*/*.htm")
+        assert not any(file.endswith(".htm") for file in found.inputFiles())
+        want = {(*r["path"].split("/")[-3:], r["content"].decode(errors="replace")) for r in own.collect()}
+        assert {tuple(r) for r in found.collect()} == want and want
+        listed = exhibits.list_exhibits(spark, raw, companies)
+        assert {tuple(r) for r in listed.collect()} == {(*r["path"].split("/")[-3:], r["length"]) for r in own.collect()}
+        assert not any(file.endswith(".htm") for file in listed.inputFiles())
+    found = exhibits.read_exhibits_anywhere(spark, raw)
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.htm").load(raw)
+    assert {tuple(r) for r in found.collect()} == {(r["path"], r["content"].decode(errors="replace")) for r in own.collect()}
+    assert not any(file.endswith(".htm") for file in found.inputFiles())
+
+
 def test_packed_files(spark, raw, tmp_path):
     out = str(tmp_path / "packed")
     for _ in range(2):
