@@ -24,19 +24,22 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 0.5
 RANK_SHIFT = 2.7
-SLICE_UNITS = 100_000
-MAX_CACHED_CHARS = 2_000_000  # characters of distinct units whose lattices a task keeps
+SLICE_UNITS = 25_000
+SLICE_BYTES = 500_000  # about so much text is in work at once
+MAX_CACHED_CHARS = 1_000_000  # characters of distinct units whose lattices a task keeps, about 40 bytes each
 
 # Fixed value: the mark that stands for a blank in the vocabulary.
 BLANK = "▁"
 UNIT = re.compile(r"\n+| ?[^ \n]+| +(?=\n|$)| +(?= [^ \n])")
 
+DRAW_BITS = 24
 _GOLDEN, _MIX_A, _MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2^64
 
@@ -121,8 +124,8 @@ class Sampler:
         self.last = np.zeros(0, dtype=np.int64)
         self.nodes = 0
         self.edges = np.zeros(0, dtype=np.int64)  # each node's first edge; edges are sorted by end node
-        self.keys = np.zeros(0)  # for each edge, its end node plus the share of weight up to it
-        self.start = np.zeros(0, dtype=np.int64)
+        self.upto = np.zeros(0, dtype=np.uint32)  # for each edge, the least draw above the share of weight up to it
+        self.size = np.zeros(0, dtype=np.uint8 if len(self.tables) < 256 else np.int32)  # how many nodes it goes back
         self.piece = np.zeros(0, dtype=np.int32)  # or -1 minus the code point of a character without a piece
 
     def _learn(self) -> None:
@@ -186,10 +189,10 @@ class Sampler:
         order = np.argsort(end * longest + longest - 1 - (end - start))
         first = self.nodes + np.cumsum(lengths + 1) - lengths - 1
         arriving = np.bincount(end, minlength=n + len(new))
-        self.edges = np.concatenate([self.edges, len(self.keys) + np.cumsum(arriving) - arriving])
+        self.edges = np.concatenate([self.edges, len(self.upto) + np.cumsum(arriving) - arriving])
         self.first, self.last = np.concatenate([self.first, first]), np.concatenate([self.last, first + lengths])
-        self.keys = np.concatenate([self.keys, self.nodes + end[order] + share[order]])
-        self.start = np.concatenate([self.start, self.nodes + start[order]])
+        self.upto = np.concatenate([self.upto, np.ceil(share[order] * 2.0**DRAW_BITS).astype(np.uint32)])
+        self.size = np.concatenate([self.size, (end - start)[order].astype(self.size.dtype)])
         self.piece = np.concatenate([self.piece, piece[order]])
         self.nodes += n + len(new)
 
@@ -203,14 +206,14 @@ class Sampler:
         at, stop = self.last[which], self.first[which]
         active, steps = np.arange(len(units)), []
         while len(active):
-            random = _mixed(base[active] + (at - stop).astype(np.uint64) * _GOLDEN) >> np.uint64(40)
-            edge, drawn = self.edges[at], at + random * 2.0**-24
-            short = np.flatnonzero(self.keys[edge] <= drawn)
+            drawn = _mixed(base[active] + (at - stop).astype(np.uint64) * _GOLDEN) >> np.uint64(64 - DRAW_BITS)
+            edge = self.edges[at]
+            short = np.flatnonzero(self.upto[edge] <= drawn)
             while len(short):
                 edge[short] += 1
-                short = short[self.keys[edge[short]] <= drawn[short]]
+                short = short[self.upto[edge[short]] <= drawn[short]]
             steps.append((active, self.piece[edge]))
-            at = self.start[edge]
+            at = at - self.size[edge]
             going = at > stop
             active, at, stop = active[going], at[going], stop[going]
         counts = np.zeros(len(units), dtype=np.int64)
@@ -303,10 +306,10 @@ def _encoder(vocabulary, alpha: float):
         sampler = Sampler(vocabulary.value, alpha)
         spelling = Spelling(vocabulary.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text")
             seeds = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
-            for a, b in _slices(texts):
-                part = texts[a:b]
+            for a, b in _slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                part = texts.slice(a, b - a).to_pylist()
                 values, sizes = sampler.encode([t or "" for t in part], seeds[a:b])
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
                 missing = np.array([t is None for t in part])
@@ -327,16 +330,16 @@ def _encoder(vocabulary, alpha: float):
     return run
 
 
-def _slices(texts: list[str | None], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about so many characters, so that results stay small."""
+def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``SLICE_BYTES`` of text, so that texts in work and results stay small."""
     first, size = 0, 0
-    for at, text in enumerate(texts):
-        size += len(text or "")
-        if size >= chars:
+    for at, more in enumerate(sizes):
+        size += more
+        if size >= SLICE_BYTES:
             yield first, at + 1
             first, size = at + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 def encode(

@@ -162,6 +162,16 @@ def test_encoding_is_lossless_and_repeatable(spark):
     assert {r.doc_id: r.pieces for r in piece_sampling.encode(docs, seed=1).collect()}[6] != by_id[6]
 
 
+def test_a_sampler_stays_small_over_many_distinct_units():
+    sampler = piece_sampling.Sampler(piece_sampling.Vocabulary())
+    largest = 0
+    for part in range(8):  # 2.4 million characters in units that do not repeat
+        texts = [" ".join(f"unit{(part * 20 + row) * 1000 + k:08d}ends" for k in range(1000)) for row in range(20)]
+        sampler.encode(texts, np.arange(20).astype(np.uint64))
+        largest = max(largest, sum(v.nbytes for v in vars(sampler).values() if isinstance(v, np.ndarray)))
+    assert largest < 50_000_000
+
+
 def test_archives_round_trip(spark):
     page = "<p>" + "é" * 80 + "</p>"
     rows = [(3, "http://a/x y%20\r\n", page), (1, None, page), (2, "u", None), (4, "u", "s"), (5, "v", "s"), (None, "n", page), (6, "w", page + "!")]
