@@ -51,14 +51,15 @@ def rejected(enriched: DataFrame) -> DataFrame:
     return enriched.where(~is_loadable())
 
 
-def load(clauses: DataFrame, newest_first: list[Column], offered: Observation | None = None) -> DataFrame:
+def load(clauses: DataFrame, newest_first: list[Column], offered: Observation | None = None, within: tuple[str, ...] = ()) -> DataFrame:
     """K4: one row per ``clause_id``, the newest; loading the same rows again changes nothing.
 
     The clauses are computed once and shuffled once, by their id, and older rows of a task are cut below the shuffle.
     To find the repeated ids first would compute the clauses three times over and, once these ids are too many for a
     broadcast, shuffle them whole twice. ``offered`` observes rows and refused rows in the read that brings the rows.
+    ``within`` names columns in which rows of one id always agree: rows that are dealt by these are not shuffled again.
     """
     observed = clauses
     if offered is not None:
         observed = clauses.observe(offered, F.count("*").alias("rows"), F.count_if(~is_loadable()).alias("refused"))
-    return latest_per_key(observed.where(is_loadable()), ["clause_id"], newest_first)
+    return latest_per_key(observed.where(is_loadable()), [*within, "clause_id"], newest_first)

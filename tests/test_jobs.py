@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 import time
@@ -5,8 +6,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from clausemill.catalog import star
+from clausemill.catalog import curation, profiling, star  # noqa: F401  (they register their queries)
+from clausemill.catalog.registry import QUERIES
 from clausemill.operators.curate import assign_buckets
+from clausemill.operators.enrich import ENRICHED_COLUMNS
 from clausemill.operators import extract as extract_module
 from clausemill.operators.extract import extract, extract_listed, with_lines
 from clausemill.plans.corpus import build_corpus, label_report
@@ -270,3 +273,38 @@ def test_choices_are_made_on_narrow_rows(spark, folder, tmp_path):
     assert "text" not in pool.split("ReadSchema:")[1]
     lengths = _plan(A.length_summary(A.length_counts(store)))
     assert "ReadSchema: struct<label:string,text_len:int>" in lengths
+
+
+def _star(spark, folder):
+    """Three orders, one of them twice; two items of one order have one id."""
+    rows = {
+        "nation": ([(1, "CANADA")], "n_nationkey long, n_name string"),
+        "customer": ([(1, "A", 1, 5.0, "MACHINERY"), (2, "B", 1, -5.0, "BUILDING")], "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string"),
+        "orders": (
+            [(o, c, "F", datetime.datetime(1996, 1, 2), f"{p}-X") for o, c, p in [(7, 1, 1), (7, 1, 1), (8, 2, 4), (9, 1, 5)]],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+        ),
+        "lineitem": (
+            [(o, n, p, datetime.datetime(1997, 1, d)) for o, n, p, d in [(7, 1, 10, 1), (7, 6, 20, 2), (7, 2, 11, 3), (8, 1, 10, 4), (9, 1, 12, 5), (9, 2, 13, 6)]],
+            "l_orderkey long, l_linenumber long, l_partkey long, l_shipdate timestamp",
+        ),
+        "documents": ([(0, "zero"), (1, "one one"), (2, None)], "doc_id long, text string"),
+    }
+    for name, (values, kind) in rows.items():
+        spark.createDataFrame(values, kind).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_a_store_without_texts_is_not_shuffled_by_id(spark, tmp_path):
+    folder = _star(spark, tmp_path)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("w6_longest_per_label", "p5_label_industry_year"):
+            assert "hashpartitioning(clause_id" not in QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        found = star.with_texts(spark, folder, star.store_narrow(spark, folder)).select(*ENRICHED_COLUMNS).collect()
+        expected = star.store(spark, folder).select(*ENRICHED_COLUMNS).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert {row.text for row in expected} == {"zero", "one one"}
+    assert sorted(map(str, found)) == sorted(map(str, expected))
