@@ -15,15 +15,15 @@ def upsert_manifest(manifest: DataFrame, finished: DataFrame) -> DataFrame:
 
     A new key keeps the attributes it first came with; a known key only gets its status and time
     refreshed. Both inputs carry ``downloaded_at``; among rows of one time the order of the attributes
-    decides, so the result does not depend on partitioning. Hash aggregation cannot hold strings, but
-    both sides combine before the shuffle, so a key with many copies travels once per task.
+    decides, so the result does not depend on partitioning. Hash aggregation cannot hold strings, so rows
+    are sorted, once and in shares of the shuffle, not of the scans and joins below it; the copies of a key meet in one task.
     """
     attributes = F.struct("cik", "company", "form_type", "file_type")
     rows = manifest.withColumn("_new", F.lit(0)).unionByName(
         finished.withColumns({"_new": F.lit(1), "status": F.lit("done")}).select(*manifest.columns, "_new")
     )
     first = F.min(F.struct("_new", "downloaded_at", attributes.alias("attributes")))["attributes"]
-    merged = rows.groupBy("accession", "filename").agg(
+    merged = rows.repartition("accession", "filename").groupBy("accession", "filename").agg(
         first.alias("first"),
         F.max(F.struct("_new", "downloaded_at", "status")).alias("last"),
     )

@@ -194,3 +194,14 @@ def test_texts_of_the_store_are_joined_last(spark, tmp_path):
         assert kept[0] == kept[1] and len(kept[0]) > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_manifest_is_sorted_above_its_shuffle_alone(spark):
+    kind = "accession string, filename string, cik string, company string, form_type string, file_type string, status string, downloaded_at timestamp"
+    old = [("a", "f", "1", "old", "10-K", "EX", "failed", datetime.datetime(2020, 1, 1)), (None, "f", "2", None, None, None, "failed", None)]
+    new = [("a", "f", "1", "new", "8-K", "EX", "failed", datetime.datetime(2021, 1, d)) for d in (1, 2, 2)]
+    merged = K.upsert_manifest(spark.createDataFrame(old, kind), spark.createDataFrame(new, kind))
+    below = merged._jdf.queryExecution().executedPlan().toString().split("hashpartitioning(accession")
+    assert len(below) == 2 and "Aggregate" not in below[1]
+    rows = {row.accession: (row.company, row.status, row.downloaded_at) for row in merged.collect()}
+    assert rows == {"a": ("old", "done", datetime.datetime(2021, 1, 2)), None: (None, "failed", None)}
