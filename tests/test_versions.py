@@ -103,6 +103,37 @@ def test_a_load_writes_what_changes_and_older_versions_stay(spark):
     assert store.commit_load(_rows(spark), path) == 4 and set(_texts(spark, path)) == {"x"}
 
 
+def test_files_of_replaced_rows_alone_are_not_written_again(spark):
+    path = scratch_path(spark, "store")
+    rows = _rows(spark, *[(f"i{k}", f"a: {k % 2} %", f"c{k % 4}", f"a{k}", f"t{k}") for k in range(20)])
+    store.commit_load(rows, path)
+    store.commit_load(rows.withColumn("text", F.lit("new")), path)
+    assert len(_texts(spark, path)) == 20 and {text for _, text in _texts(spark, path).values()} == {"new"}
+    assert not any("-kept" in name for name in store.version_files(spark, path, 2))
+    place, system = store._hadoop(spark, f"{path}/data/*-kept")
+    assert not system.globStatus(place)
+
+
+def test_a_load_without_texts_equals_one_with_them(spark):
+    texts = spark.createDataFrame([(1, "one"), (2, "two"), (3, None), (4, "four"), (5, "five")], "place int, text string")
+    made = [("A", "h", "1", "x", 5, 1), ("A", "h", "1", "x", 7, 2), ("A", "h", "1", "y", 1, 5), ("B", "h", "2", "x", 1, 3), (None, "h", "2", "x", 1, 4), ("B", "i", None, "x", 1, 4)]
+    rows = spark.createDataFrame(made + made[:2], "label string, section_header string, cik string, accession string, at int, place int")
+    nothing = {name: F.lit(None).cast("string") for name in ("company", "form_type", "file_type", "filing_year")}
+    whole = rows.join(texts, "place").withColumns({"filename": F.lit("f"), **nothing})
+    there = {"text_len": F.length("text"), "text_hash": F.xxhash64("text"), "text": F.when(F.col("text").isNotNull(), F.lit(""))}
+    companies = spark.createDataFrame([("1", "10", "Mining")], "cik string, sic string, sic_description string")
+    dates = spark.createDataFrame([("1", "x", "1998-01-02")], "cik string, accession string, filing_date string")
+    found = []
+    for corpus, fetch in ((whole.drop("place"), None), (whole.withColumns(there), lambda kept: kept.drop("text").join(texts, "place"))):
+        path, refused = scratch_path(spark, "store"), scratch_path(spark, "refused")
+        counts = build_store(corpus, companies, dates, path, refused, ("at",), texts=fetch, within=("accession",))
+        assert (counts.rows, counts.refused) == (8, 3)
+        read = [store.read_store(spark, path), spark.read.schema(schemas.ENRICHED).parquet(refused)]
+        found.append([sorted(map(str, kept.select(*ENRICHED_COLUMNS).collect())) for kept in read])
+    assert found[0] == found[1] and [len(kept) for kept in found[0]] == [2, 3]
+    assert "text='two'" in "".join(found[0][0]) and "text='four'" in "".join(found[0][1])
+
+
 def test_sets_of_a_store_without_texts_have_their_texts(spark):
     rows = _rows(spark, *[(f"i{k}", "Indemnification", f"c{k}", f"a{k}", f"t{k}") for k in range(200)])
     texts = rows.select("clause_id", "text")
