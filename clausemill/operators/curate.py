@@ -90,10 +90,10 @@ def sample_picks(
     return drawn.select("ord", "clause_id", "position")
 
 
-def _one_of(name: str, values: set[str]) -> Column:
-    """Whether a column is one of some values: short lists under a balanced tree, so that no scan recurses deeply."""
+def _one_of(name: str, values: set[str], size: int) -> Column:
+    """Whether a column is one of some values: lists of a size under a balanced tree, so that no scan recurses deeply."""
     quoted = [value.replace("\\", "\\\\").replace("'", "\\'") for value in sorted(values)]
-    lists = [quoted[at : at + LISTED_KEYS] for at in range(0, len(quoted), LISTED_KEYS)]
+    lists = [quoted[at : at + size] for at in range(0, len(quoted), size)]
     found = [F.expr(f"{name} IN ({', '.join(f"'{value}'" for value in part)})") for part in lists]
     while len(found) > 1:
         found = [reduce(Column.__or__, found[at : at + 2]) for at in range(0, len(found), 2)]
@@ -105,11 +105,12 @@ def _keys(rows: DataFrame) -> list[str]:
     return [name for name in ("clause_id", "accession") if name in rows.columns]
 
 
-def rows_of(clauses: DataFrame, chosen: DataFrame) -> DataFrame:
+def rows_of(clauses: DataFrame, chosen: DataFrame, computed: bool = False) -> DataFrame:
     """The wide rows of chosen ids, with the columns of ``chosen`` (``clause_id``, perhaps ``accession``, and any others).
 
     Up to ``PUSHED_KEYS`` keys become a filter of the scan, which a stored table answers from its statistics, page
-    indexes and Bloom filters; beyond that many, the rows are joined by the size of the chosen table.
+    indexes and Bloom filters; beyond that many, the rows are joined by the size of the chosen table. Keys that are
+    ``computed``, not stored, meet one list, since each list repeats their expression and many outgrow a compiled method.
     """
     names = _keys(chosen)
     keys = chosen.select(*names).limit(PUSHED_KEYS + 1).collect()
@@ -119,7 +120,7 @@ def rows_of(clauses: DataFrame, chosen: DataFrame) -> DataFrame:
         for name in names:
             if any(key[name] is None for key in keys):
                 continue
-            clauses = clauses.where(_one_of(name, {key[name] for key in keys}))
+            clauses = clauses.where(_one_of(name, {key[name] for key in keys}, PUSHED_KEYS if computed else LISTED_KEYS))
     return clauses.join(chosen.drop("accession"), "clause_id")
 
 
@@ -137,15 +138,15 @@ def pool(clauses: DataFrame, bucket: Column, taxonomy: Taxonomy = CONTRACTS) ->
 
 
 def stratified_sample(
-    clauses: DataFrame, per_category: int, company_cap: int, seed: int = SAMPLE_SEED, taxonomy: Taxonomy = CONTRACTS
+    clauses: DataFrame, per_category: int, company_cap: int, seed: int = SAMPLE_SEED, taxonomy: Taxonomy = CONTRACTS, computed: bool = False
 ) -> DataFrame:
-    """The sampled clauses, whole rows with ``ord`` and ``position``. ``clause_id`` must be unique.
+    """The sampled clauses, whole rows with ``ord`` and ``position``. ``clause_id`` must be unique; ``computed`` as in ``rows_of``.
 
     The choice runs on keys, in one narrow scan; the texts are read for the chosen rows only.
     """
     narrow = _stored(clauses.select(*_keys(clauses), "cik", "label"), "pool")
     picks = sample_picks(narrow, per_category, company_cap, seed, taxonomy)
-    return rows_of(clauses, _stored(with_accession(picks, narrow), "picks"))
+    return rows_of(clauses, _stored(with_accession(picks, narrow), "picks"), computed)
 
 
 def with_accession(chosen: DataFrame, narrow: DataFrame) -> DataFrame:

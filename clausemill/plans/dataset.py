@@ -56,12 +56,14 @@ def curated_sets(
     split_seed: str = SPLIT_SEED,
     assignments: DataFrame | None = None,
     texts: Callable[[DataFrame], DataFrame] | None = None,
+    computed: bool = False,
 ) -> dict[str, DataFrame]:
     """The three sets as DataFrames, ordered by label turn and pick.
 
     Companies belong to the buckets of a recorded split, if ``assignments`` has one, else to those of ``split_seed``.
     The store is scanned once, narrowly, for the keys of all sets, and read once for the rows that they chose; both
     are written to the shared folder. Where the store comes without its texts, ``texts`` gives the chosen rows theirs.
+    ``computed`` is that of ``rows_of``.
     """
     spark = store.sparkSession
     if assignments is None:
@@ -87,7 +89,7 @@ def curated_sets(
     )
     chosen_path = scratch_path(spark, "set-keys")
     chosen.write.parquet(chosen_path)
-    rows = rows_of(store, spark.read.schema(chosen.schema).parquet(chosen_path))
+    rows = rows_of(store, spark.read.schema(chosen.schema).parquet(chosen_path), computed)
     if texts is not None:
         rows = texts(rows)
     rows.write.partitionBy("set").parquet(rows_path)

@@ -134,6 +134,16 @@ def test_a_load_without_texts_equals_one_with_them(spark):
     assert "text='two'" in "".join(found[0][0]) and "text='four'" in "".join(found[0][1])
 
 
+def test_computed_keys_meet_one_list(spark):
+    rows = _rows(spark, *[(f"i{k}", "L", "c", f"a{k}", "t") for k in range(300)]).withColumn("clause_id", F.sha1("clause_id"))
+    place = scratch_path(spark, "chosen")
+    rows.select("clause_id", "accession").limit(200).write.parquet(place)
+    chosen = spark.read.schema("clause_id string, accession string").parquet(place)
+    found = curate.rows_of(rows, chosen, computed=True)
+    lists = found._jdf.queryExecution().optimizedPlan().toString()
+    assert lists.count("sha1(") <= 3 and found.count() == 200
+
+
 def test_sets_of_a_store_without_texts_have_their_texts(spark):
     rows = _rows(spark, *[(f"i{k}", "Indemnification", f"c{k}", f"a{k}", f"t{k}") for k in range(200)])
     texts = rows.select("clause_id", "text")
