@@ -15,7 +15,7 @@ from clausemill.session import scratch_path
 
 # So many chosen rows are fetched by their keys; more are joined.
 PUSHED_KEYS = 5000
-# So many keys stand in one list of a filter. Parquet walks a list as a chain as deep as it is long.
+# So many keys stand in one list of a filter: the longest that ``session.py`` has looked up key by key.
 LISTED_KEYS = 64
 
 

@@ -258,3 +258,11 @@ def test_many_chosen_keys_do_not_exhaust_the_stack(spark, tmp_path):
     chosen = spark.read.parquet(f"{tmp_path}/chosen")
     found = curate.rows_of(stored, chosen)
     assert sorted(r["clause_id"] for r in found.collect()) == sorted(r["clause_id"] for r in chosen.collect())
+
+
+def test_one_list_of_computed_keys_does_not_exhaust_the_stack(spark, tmp_path):
+    # The join hands the list to the scan of the chosen keys.
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("clause_id"), F.col("id").alias("n")).withColumn("clause_id", F.sha1("clause_id"))
+    rows.where(F.col("n") < curate.PUSHED_KEYS).select("clause_id").write.parquet(f"{tmp_path}/computed")
+    found = curate.rows_of(rows, spark.read.parquet(f"{tmp_path}/computed"), computed=True)
+    assert sorted(r["n"] for r in found.collect()) == list(range(curate.PUSHED_KEYS))
