@@ -196,6 +196,27 @@ def test_texts_of_the_store_are_joined_last(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_long_columns_of_readers_of_texts_are_made_above_all_shuffles(spark, tmp_path):
+    folder, day = str(tmp_path), datetime.datetime(2020, 1, 2)
+    documents = spark.createDataFrame([(n, f"text {n}") for n in range(3)], "doc_id long, text string")
+    lines = [(7, p, p, day) for p in range(6)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
+    documents.write.parquet(f"{folder}/documents.parquet")
+    orders = spark.createDataFrame([(7, 3, "F", "1-URGENT", day)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp")
+    orders.write.parquet(f"{folder}/orders.parquet")
+    customers = spark.createDataFrame([(3, "A", 1, 5.0, "BUILDING")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    customers.write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(f"{folder}/nation.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("k4_keyed_load", "p2_enriched_clauses"):
+            rows = QUERIES[name](spark, folder)
+            assert not any(_exchanges(rows, made)[0] for made in ("clause_id", "section_header", "filename")) and rows.count() == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_manifest_is_sorted_above_its_shuffle_alone(spark):
     kind = "accession string, filename string, cik string, company string, form_type string, file_type string, status string, downloaded_at timestamp"
     old = [("a", "f", "1", "old", "10-K", "EX", "failed", datetime.datetime(2020, 1, 1)), (None, "f", "2", None, None, None, "failed", None)]
