@@ -32,7 +32,7 @@ def read_corpus(spark: SparkSession, path: str, *columns: str) -> DataFrame:
 
 def write_table(rows: DataFrame, path: str, *partition_by: str) -> None:
     """Write a table anew."""
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:

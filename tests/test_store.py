@@ -13,6 +13,7 @@ from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, first_per_key,
 from clausemill.operators.topk import first_k
 from clausemill.operators.worklist import next_documents, not_yet_done, quarters_backward, unknown_companies
 from clausemill.sources import schemas
+from clausemill.sources.tables import write_table
 
 
 def _day(n):
@@ -217,6 +218,13 @@ def test_long_columns_of_readers_of_texts_are_made_above_all_shuffles(spark, tmp
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_written_tables_are_packed_closely(spark, tmp_path):
+    write_table(spark.range(3), f"{tmp_path}/rows")
+    write_table(spark.range(2), f"{tmp_path}/rows")
+    names = [f.name for f in (tmp_path / "rows").glob("*.parquet")]
+    assert names and all(".zstd." in name for name in names) and spark.read.parquet(f"{tmp_path}/rows").count() == 2
+
+
 def test_manifest_is_sorted_above_its_shuffle_alone(spark):
     kind = "accession string, filename string, cik string, company string, form_type string, file_type string, status string, downloaded_at timestamp"
     old = [("a", "f", "1", "old", "10-K", "EX", "failed", datetime.datetime(2020, 1, 1)), (None, "f", "2", None, None, None, "failed", None)]
