@@ -12,6 +12,7 @@ from clausemill.operators import upsert as K
 from clausemill.operators.enrich import ENRICHED_COLUMNS, enrich, first_per_key, with_filing_date, with_id_and_length
 from clausemill.operators.topk import first_k
 from clausemill.operators.worklist import next_documents, not_yet_done, quarters_backward, unknown_companies
+from clausemill.plans import store as plans_store
 from clausemill.sources import schemas
 from clausemill.sources.tables import write_table
 
@@ -218,6 +219,25 @@ def test_long_columns_of_readers_of_texts_are_made_above_all_shuffles(spark, tmp
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_load_does_not_shuffle_clauses_for_the_dimensions(spark, monkeypatch):
+    loaded = []
+    monkeypatch.setattr(plans_store, "commit_load", lambda rows, path, recreate: (loaded.append(rows), rows.count()))
+    made = [("Payment", f"h{n}", "", str(n % 2), "A", None, None, f"a{n % 2}", "f", None, 1, n) for n in range(6)]
+    columns = "label string, section_header string, text string, cik string, company string, form_type string, file_type string, accession string"
+    corpus = spark.createDataFrame(made, columns + ", filename string, filing_year string, text_len int, text_hash long").repartition("accession")
+    companies = spark.createDataFrame([("1", "10", "Mining"), ("1", "09", "Mining")], "cik string, sic string, sic_description string")
+    dates = spark.createDataFrame([("1", "a1", "1998-01-02"), ("0", "a0", "x")], "cik string, accession string, filing_date string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans_store.build_store(corpus, companies, dates, "unused", texts=lambda rows: rows, within=("accession",))
+        assert _exchanges(loaded[0], "section_header")[0] == 1  # the corpus' own
+        found = {(r["clause_id"], r["cik"], r["sic"], str(r["filing_date"])) for r in loaded[0].collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == 6 and {f[1:] for f in found} == {("1", "10", "1998-01-02"), ("0", None, "None")}
+
+
 def test_written_tables_are_packed_closely(spark, tmp_path):
     write_table(spark.range(3), f"{tmp_path}/rows")
     write_table(spark.range(2), f"{tmp_path}/rows")
